@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leafpress.jobs.queries import QUERIES
+
 FLAGSHIP = "search_benchmark"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: q.run for name, q in QUERIES.items()}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {name: q.sql for name, q in QUERIES.items() if q.sql}

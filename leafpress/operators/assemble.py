@@ -5,30 +5,37 @@ One exchange by book serves all windows: finer keys start with the book.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from leafpress.functions import text as T
 from leafpress.operators.contract import Contract
-from leafpress.operators.lines import BOOK, to_lines, type_lines
+from leafpress.operators.lines import in_book, to_lines, type_lines
 
-_BEFORE = BOOK.rowsBetween(Window.unboundedPreceding, -1)
-_SO_FAR = BOOK.rowsBetween(Window.unboundedPreceding, 0)
-_WHOLE = Window.partitionBy("book")
 #: Marks that end a sentence; fixed values.
 SENTENCE_ENDS = "。！？；：…”』"
 
 
+def _before() -> WindowSpec:
+    return in_book().rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _so_far() -> WindowSpec:
+    return in_book().rowsBetween(Window.unboundedPreceding, 0)
+
+
 def scoped(typed: DataFrame) -> DataFrame:
     """Add chapter and sub-chapter numbers and titles, and ``scope_id``: ``Cnn`` or ``Cnn-Snn``."""
     title = T.norm("tail")
-    chapters = typed.withColumn("chapter_seq", F.sum(F.col("chapter_line").cast("int")).over(_SO_FAR))
+    chapters = typed.withColumn("chapter_seq", F.sum(F.col("chapter_line").cast("int")).over(_so_far()))
     subs = chapters.withColumn("sub_seq", F.sum(F.col("sub_line").cast("int")).over(Window.partitionBy("book", "chapter_seq").orderBy("page", "line").rowsBetween(Window.unboundedPreceding, 0)))
     two = lambda c: F.lpad(F.col(c).cast("string"), 2, "0")
     return subs.select(
         "*",
-        F.coalesce(F.last(F.when(F.col("chapter_line"), title), ignorenulls=True).over(_SO_FAR), F.lit("")).alias("chapter"),
-        F.coalesce(F.last(F.when(F.col("chapter_line"), "").when(F.col("sub_line"), title), ignorenulls=True).over(_SO_FAR), F.lit("")).alias("sub_chapter"),
+        F.coalesce(F.last(F.when(F.col("chapter_line"), title), ignorenulls=True).over(_so_far()), F.lit("")).alias("chapter"),
+        F.coalesce(F.last(F.when(F.col("chapter_line"), "").when(F.col("sub_line"), title), ignorenulls=True).over(_so_far()), F.lit("")).alias("sub_chapter"),
         F.when(F.col("sub_seq") > 0, F.concat(F.lit("C"), two("chapter_seq"), F.lit("-S"), two("sub_seq"))).otherwise(F.concat(F.lit("C"), two("chapter_seq"))).alias("scope_id"),
     )
 
@@ -36,13 +43,13 @@ def scoped(typed: DataFrame) -> DataFrame:
 def opened(lines: DataFrame) -> DataFrame:
     """Add ``how`` a line opens a record (start, promoted, unmarked or null) and ``record``, the record's number in its book."""
     at = F.struct("page", "line")
-    first = lambda c: F.min(F.when(c, at)).over(_WHOLE)
+    first = lambda c: F.min(F.when(c, at)).over(Window.partitionBy("book"))
     marked = lines.withColumn("first_open", first(F.col("accepted") | F.col("candidate"))).withColumn("first_unmarked", first(F.col("unmarked_start")))
     marked = marked.withColumn("unmarked_open", F.col("unmarked_start") & (at == F.col("first_unmarked")) & F.coalesce(at < F.col("first_open"), F.lit(True)))
     number = F.when(F.col("accepted") | F.col("candidate") | F.col("unmarked_open"), F.col("start.number"))
     numbered = marked.withColumn("number", number).withColumn("nth", F.row_number().over(Window.partitionBy("book", "scope_id", "number").orderBy("page", "line")))
     how = F.when(F.col("accepted"), "start").when(F.col("unmarked_open"), "unmarked").when(F.col("candidate") & (F.col("nth") == 1), "promoted")
-    return numbered.withColumn("how", how).withColumn("record", F.sum(F.col("how").isNotNull().cast("int")).over(_SO_FAR)).drop("first_open", "first_unmarked", "nth")
+    return numbered.withColumn("how", how).withColumn("record", F.sum(F.col("how").isNotNull().cast("int")).over(_so_far())).drop("first_open", "first_unmarked", "nth")
 
 
 def stated(lines: DataFrame) -> DataFrame:
@@ -51,7 +58,7 @@ def stated(lines: DataFrame) -> DataFrame:
     inline = F.coalesce(F.col("inline.section").isNotNull(), F.lit(False))
     consumer = (F.col("record") > 0) & F.col("how").isNull() & ((F.col("mark").isNull() & ~inline) | F.col("mark").eqNullSafe("other"))
     event = F.when(step_only, "set").when(F.col("mark").eqNullSafe("footer") | F.col("how").isNotNull(), "reset").when(consumer, "use")
-    taking = lines.withColumn("event", event).withColumn("takes_step", F.coalesce((F.col("event") == "use") & (F.last("event", ignorenulls=True).over(_BEFORE) == "set"), F.lit(False)))
+    taking = lines.withColumn("event", event).withColumn("takes_step", F.coalesce((F.col("event") == "use") & (F.last("event", ignorenulls=True).over(_before()) == "set"), F.lit(False)))
     bare_name = F.col("mark").isNull() & ~F.col("takes_step") & F.col("grp").isNull() & F.col("named").isNotNull()
     none = F.struct(F.lit(None).cast("string").alias("sec"))
     change = (
@@ -60,7 +67,7 @@ def stated(lines: DataFrame) -> DataFrame:
         .when(bare_name, F.struct(F.col("named").alias("sec")))
         .when(F.col("mark").eqNullSafe("section"), F.struct(F.coalesce("named", F.lit("other")).alias("sec")))
     )
-    return taking.withColumn("is_name", bare_name).withColumn("is_inline", inline).withColumn("sec", F.last(change, ignorenulls=True).over(_SO_FAR)["sec"])
+    return taking.withColumn("is_name", bare_name).withColumn("is_inline", inline).withColumn("sec", F.last(change, ignorenulls=True).over(_so_far())["sec"])
 
 
 def pieces(lines: DataFrame, contract: Contract) -> DataFrame:
@@ -92,10 +99,10 @@ def pieces(lines: DataFrame, contract: Contract) -> DataFrame:
 def spliced(parts: DataFrame) -> DataFrame:
     """Add ``splice`` (the piece continues the block before it, across pages) and ``block``, counted in the book."""
     held = parts.where("record > 0 and text <> ''")
-    same = (F.lag("kind").over(BOOK) == F.col("kind")) & (F.lag("record").over(BOOK) == F.col("record")) & ~F.lag(F.substring("text", -1, 1)).over(BOOK).isin(*SENTENCE_ENDS) & (F.col("continued") | F.col("no_marker"))
+    same = (F.lag("kind").over(in_book()) == F.col("kind")) & (F.lag("record").over(in_book()) == F.col("record")) & ~F.lag(F.substring("text", -1, 1)).over(in_book()).isin(*SENTENCE_ENDS) & (F.col("continued") | F.col("no_marker"))
     on_page = Window.partitionBy("book", "page").orderBy("page", "line").rowsBetween(Window.unboundedPreceding, 0)
     joined = held.withColumn("joins", F.coalesce(same, F.lit(False))).withColumn("splice", F.min("joins").over(on_page))
-    return joined.withColumn("block", F.sum((~F.col("splice")).cast("int")).over(_SO_FAR))
+    return joined.withColumn("block", F.sum((~F.col("splice")).cast("int")).over(_so_far()))
 
 
 def records(lines: DataFrame, contract: Contract, errata: DataFrame | None = None) -> DataFrame:
@@ -115,16 +122,17 @@ def records(lines: DataFrame, contract: Contract, errata: DataFrame | None = Non
     return rows.join(again, ["book", "record"], "left").withColumn("recipe_id", F.when(F.col("listed"), F.concat("base_id", F.char(F.lit(96) + F.col("occurrence")))).otherwise(F.col("base_id"))).drop("listed")
 
 
-def assemble(pages: DataFrame, contract: Contract | None = None, errata: DataFrame | None = None) -> dict[str, DataFrame]:
+def assemble(pages: DataFrame, contract: Contract | None = None, errata: DataFrame | None = None, cut: Callable[[DataFrame, str], DataFrame] = lambda df, _: df) -> dict[str, DataFrame]:
     """All tables of a corpus from (book, page, text): typed lines, recipes, blocks, glossary, rejected and promoted starts.
 
-    Empty pages give nothing; null text is an empty page.  (book, page) should be unique.
+    Empty pages give nothing; null text is an empty page.  (book, page) should be unique.  ``cut`` may write the lines and
+    pieces, of which all other tables are made, and read them back.
     """
     contract = contract or Contract()
     typed = type_lines(to_lines(pages), contract)
     bare = F.coalesce(F.col("tail").rlike(contract.step_number_bare) & F.col("mark").eqNullSafe("step"), F.lit(False))
-    lines = stated(opened(scoped(typed)).withColumn("bare_number", bare))
-    parts = pieces(lines, contract)
+    lines = cut(stated(opened(scoped(typed)).withColumn("bare_number", bare)), "lines")
+    parts = cut(pieces(lines, contract), "pieces")
     heads = records(lines, contract, errata)
     ids = heads.select("book", "record", "recipe_id", "number")
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page", "line", "text"))), lambda x: x["text"]), "")

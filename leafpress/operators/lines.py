@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from leafpress.functions import text as T
 from leafpress.operators.contract import Contract
 
-BOOK = Window.partitionBy("book").orderBy("page", "line")
-BACKWARD = Window.partitionBy("book").orderBy(F.desc("page"), F.desc("line"))
-PAGE = Window.partitionBy("book", "page")
+
+
+def in_book() -> WindowSpec:
+    """A book's lines in order."""
+    return Window.partitionBy("book").orderBy("page", "line")
 
 
 def to_lines(pages: DataFrame) -> DataFrame:
@@ -26,12 +28,13 @@ def is_toc_line(c: Column | str, contract: Contract) -> Column:
 def page_flags(lines: DataFrame, contract: Contract) -> DataFrame:
     """Add ``toc_hit``, and of the line's page ``toc_page``, ``no_marker`` and ``continued``."""
     hit = is_toc_line("st", contract)
-    hits, all_lines = F.sum(F.col("toc_hit").cast("int")).over(PAGE), F.count("*").over(PAGE)
+    page = Window.partitionBy("book", "page")
+    hits, all_lines = F.sum(F.col("toc_hit").cast("int")).over(page), F.count("*").over(page)
     return lines.withColumn("toc_hit", hit).select(
         "*",
         ((hits >= 3) & (4 * hits >= all_lines)).alias("toc_page"),
-        (~F.max(F.col("st").startswith("@@")).over(PAGE)).alias("no_marker"),
-        F.max(F.col("st").startswith(contract.recipe_cont)).over(PAGE).alias("continued"),
+        (~F.max(F.col("st").startswith("@@")).over(page)).alias("no_marker"),
+        F.max(F.col("st").startswith(contract.recipe_cont)).over(page).alias("continued"),
     )
 
 
@@ -44,8 +47,8 @@ def toc_pages(lines: DataFrame, contract: Contract) -> DataFrame:
 def neighbours(lines: DataFrame, contract: Contract) -> DataFrame:
     """Add ``next_line`` and ``next_content`` (neither footer nor continuation mark), across pages."""
     content = F.when(~F.col("st").startswith(contract.footer) & ~F.col("st").startswith(contract.recipe_cont), F.col("st"))
-    after = BACKWARD.rowsBetween(Window.unboundedPreceding, -1)
-    return lines.withColumn("next_line", F.lead("st").over(BOOK)).withColumn("next_content", F.last(content, ignorenulls=True).over(after))
+    after = Window.partitionBy("book").orderBy(F.desc("page"), F.desc("line")).rowsBetween(Window.unboundedPreceding, -1)
+    return lines.withColumn("next_line", F.lead("st").over(in_book())).withColumn("next_content", F.last(content, ignorenulls=True).over(after))
 
 
 def is_section_line(c: Column, contract: Contract) -> Column:
