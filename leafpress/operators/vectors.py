@@ -50,7 +50,7 @@ def embed(inputs: DataFrame, encode: Callable[[list[str]], np.ndarray], size: in
         for frame in frames:
             for a in range(0, len(frame), size):
                 part = frame.iloc[a : a + size]
-                yield pd.DataFrame({"book": part["book"], "kind": part["kind"], "id": part["id"], "vec": pd.Series(list(np.asarray(encode(part["text"].tolist()), np.float32)), index=part.index, dtype=object)})
+                yield pd.DataFrame({**{c: part[c].astype(object) for c in ("book", "kind", "id")}, "vec": pd.Series(list(np.asarray(encode(part["text"].tolist()), np.float32)), index=part.index, dtype=object)})
 
     return inputs.select("book", "kind", "id", "text").mapInPandas(run, "book string, kind string, id string, vec array<float>")
 
