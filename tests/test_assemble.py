@@ -110,6 +110,8 @@ def model(pages):
             if pending and rec:
                 add("step", s, page)
                 pending = False
+            elif not rec and s.startswith("（2）"):  # an unmarked start
+                rec, sec, pending = 1, None, False
             elif s in names:
                 sec = names[s]
             else:
