@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafpress.llm import ann, langid, licenses, minhash, mixing, packing, pii, repetition, token_files, warc
@@ -30,7 +30,7 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    counts = [F.size(F.filter("pii", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+    counts = [F.expr(f"cast(size(filter(pii, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
     return found.select("doc_id", *counts, F.sha2(pii.spans_text("pii", base_only=True), 256).alias("base_sha256"), pii.spans_text("pii").alias("spans"))
 
 
@@ -42,7 +42,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_rules(_table(spark, sf_dir, "documents"))
 
 
-def held_out(id_col: str = "doc_id") -> F.Column:
+def held_out(id_col: str = "doc_id") -> Column:
     return F.expr(f"coalesce(crc32(cast(cast({id_col} as string) as binary)) % 4 = 2, false)")
 
 
@@ -81,7 +81,7 @@ ORACLES = {
             select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
         ), sets as (
             select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
-                else list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as s from words
+                else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as s from words
         ), classes as (
             select min(doc_id) as rep, any_value(len(s)) as n, any_value(s) as s from (select doc_id, s, list_sort(s) as k from sets where len(s) > 0) group by k
         ), items as (select rep, n, unnest(s) as x from classes),
@@ -97,7 +97,7 @@ ORACLES = {
         with p as (select page_id, coalesce(html, '') as html from pages),
         d as (select page_id, octet_length(encode(html)) as n, sha1(html) as h, max(page_id) over (partition by html) as top from p)
         select page_id, cast(n as bigint) as payload_bytes,
-            array_to_string(list_transform(range(32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(1 + ((cast('0x' || substr(h, 10 * (k // 8) + 1, 10) as bigint) >> cast(35 - 5 * (k % 8) as bigint)) & 31) as bigint), 1)), '') as payload_digest,
+            array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(1 + ((cast('0x' || substr(h, 10 * (k // 8) + 1, 10) as bigint) >> cast(35 - 5 * (k % 8) as bigint)) & 31) as bigint), 1)), '') as payload_digest,
             case when page_id < top then 'revisit' else 'response' end as record_type,
             case when page_id < top then top end as refers_to
         from d""",
