@@ -1,36 +1,43 @@
 """MinHash near-duplicate detection by an inverted join of signature coordinates.
 
-A document's signature is a set of (coordinate, value) elements.  Two documents whose shingle sets have the
-wanted similarity agree in at least ``matches`` of the ``coordinates`` but for a chance of about one in a
-million at the threshold itself.  A pair with that many agreements shares an element among the first
-``coordinates - matches + 1`` of each side, in any order common to all documents (prefix); frequent elements come
-last in that order, so common passages are seldom posted.  Within a posting list, pairs are counted in full
-only if their sizes allow the similarity and they are not yet connected (skip).  Links are then confirmed on
-the full shingle sets.
+The first coordinates of a document's signature are a set of (coordinate, value) elements.  Two documents whose shingle
+sets have the wanted similarity agree in so many of them, but for a chance of one in a million at the threshold itself, that
+they share an element among the first few of each side, in any order common to all documents (prefix); frequent
+elements come last in that order, so common passages are seldom posted.  Within a posting list, agreements in all
+coordinates are counted only for pairs whose sizes allow the similarity and that are not yet connected (skip), and pairs
+with too few are dropped.  Links are then confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+import math
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafpress.llm.interning import WordTable, text_chunks
 from leafpress.operators.components import connected_components
 from leafpress.storage import materialize
 
-COORDINATES, MATCHES = 32, 16
+#: Coordinates that are posted, and coordinates that are counted, with so many bits of each kept for counting.
+COORDINATES, COUNTED, BITS = 32, 128, 4
+#: Coordinates, one bit of each kept, that are counted besides in long posting lists.
+FINE = 4096
+#: Chance that a pair at the threshold has fewer agreements than the match threshold.
+MISS = 1e-6
 #: Counters of element frequency, whatever the input; they only order elements, so sharing one is harmless.
 COUNTERS = 1 << 18
 #: Longer posting lists are linked through a few of their members first.
 SHORT_LIST = 16
-_LANES = 4  # 8 coordinates of one byte in each
+#: Most central members of a long list that each of its members is compared with.
+PIVOTS = 4
+_LANES = COUNTED * BITS // 64
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -39,8 +46,17 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-_SEEDS = _mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
-_MULTIPLY, _ADD = _SEEDS[:COORDINATES] | np.uint64(1), _SEEDS[COORDINATES:]
+_SEEDS = _mix(np.arange(1, 2 * COUNTED + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
+_MULTIPLY, _ADD = (_SEEDS[:COUNTED] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (_SEEDS[COUNTED:] >> np.uint64(32)).astype(np.uint32)
+
+
+def match_threshold(coordinates: int, agree: float, miss: float = MISS) -> int:
+    """The most agreements that a pair, agreeing in each coordinate with probability ``agree``, falls short of with at most ``miss``."""
+    total, k = 0.0, 0
+    while total <= miss:
+        total += math.exp(math.lgamma(coordinates + 1) - math.lgamma(k + 1) - math.lgamma(coordinates - k + 1) + k * math.log(agree) + (coordinates - k) * math.log(1 - agree))
+        k += 1
+    return k - 1
 
 
 @cache
@@ -72,11 +88,33 @@ def shingle_sets(texts: list[bytes | None], words_in: int) -> list[np.ndarray]:
 
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The least value of each hash function over the set, as unsigned 32-bit."""
-    least = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
-    for a in range(0, len(shingles), 2048):
-        h = shingles[a : a + 2048, None] * _MULTIPLY + _ADD
-        np.minimum(least, h.min(axis=0), out=least)
-    return (_mix(least) >> np.uint64(32)).astype(np.uint32)
+    least = np.full(COUNTED, np.iinfo(np.uint32).max, np.uint32)
+    folded = (shingles >> np.uint64(32)).astype(np.uint32)
+    for a in range(0, len(folded), 4096):
+        np.minimum(least, (folded[a : a + 4096, None] * _MULTIPLY + _ADD).min(axis=0), out=least)
+    return (_mix(least.astype(np.uint64) + np.uint64(1)) >> np.uint64(32)).astype(np.uint32)
+
+
+@cache
+def _fine_functions() -> tuple[np.ndarray, np.ndarray]:
+    seeds = _mix(np.arange(10_001, 10_001 + 2 * FINE, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
+    return (seeds[:FINE] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (seeds[FINE:] >> np.uint64(32)).astype(np.uint32)
+
+
+def fine_signature(shingles: np.ndarray) -> np.ndarray:
+    """One bit of the least value of each of ``FINE`` hash functions, packed into longs."""
+    multiply, add = _fine_functions()
+    least = np.full(FINE, np.iinfo(np.uint32).max, np.uint32)
+    folded = (shingles >> np.uint64(32)).astype(np.uint32)
+    for a in range(0, len(folded), 64):
+        np.minimum(least, (folded[a : a + 64, None] * multiply + add).min(axis=0), out=least)
+    return np.packbits((_mix(least.astype(np.uint64) + np.uint64(1)) >> np.uint64(63)).astype(np.uint8)).view("<i8")
+
+
+def lanes(signs: np.ndarray) -> np.ndarray:
+    """The last bits of all coordinates, packed."""
+    low = (signs & np.uint32((1 << BITS) - 1)).astype(np.uint8)
+    return (low[..., 0::2] | low[..., 1::2] << np.uint8(4)).view("<i8")
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words_in: int) -> DataFrame:
@@ -87,11 +125,13 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words_in: int) -> Da
             for chunk in text_chunks(batch):
                 sets = shingle_sets(chunk.column("text").cast(pa.binary()).to_pylist(), words_in)
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-                signs = [signature(s).view(np.int32) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(signs, pa.list_(pa.int32()))], ["doc_id", "n_shingles", "digest", "sig"])
+                signs = [signature(s) if len(s) else None for s in sets]
+                posted = [None if x is None else x[:COORDINATES].view(np.int32) for x in signs]
+                counted = [None if x is None else lanes(x) for x in signs]
+                yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(posted, pa.list_(pa.int32())), pa.array(counted, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "digest", "sig", "lanes"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, n_shingles long, digest binary, sig array<int>")
+    return rows.mapInArrow(sign, "doc_id long, n_shingles long, digest binary, sig array<int>, lanes array<long>")
 
 
 def _elements(signs: np.ndarray) -> np.ndarray:
@@ -99,8 +139,8 @@ def _elements(signs: np.ndarray) -> np.ndarray:
     return (np.arange(COORDINATES, dtype=np.uint64) << np.uint64(32)) | signs.astype(np.uint64)
 
 
-def postings(nodes: DataFrame, matches: int) -> DataFrame:
-    """A row per node and prefix element: key, next_keys (the later elements one longer prefix holds), node, n, lanes."""
+def prefixes(nodes: DataFrame, matches: int) -> DataFrame:
+    """(node, n, lanes, prefix): the elements a node is posted under, in the common order."""
     keep = COORDINATES - matches + 1
     counted = nodes.select(F.posexplode("sig").alias("c", "v")).groupBy(F.pmod(F.xxhash64("c", "v"), F.lit(COUNTERS)).alias("slot")).agg(F.count("*").alias("n"))
     total = counted.agg(F.sum("n")).first()[0] or 0
@@ -117,28 +157,27 @@ def postings(nodes: DataFrame, matches: int) -> DataFrame:
                 signs = part.column("sig").flatten().to_numpy().view(np.uint32).reshape(-1, COORDINATES)
                 slots = part.column("slots").flatten().to_numpy().reshape(-1, COORDINATES)
                 keys = _elements(signs)
-                order = np.lexsort((keys, _mix(keys), frequent[slots]), axis=1)[:, : keep + 1]
+                order = np.lexsort((keys, _mix(keys), frequent[slots]), axis=1)[:, :keep]
                 keys = np.take_along_axis(keys, order, axis=1).view(np.int64)
-                lanes = (_mix(signs.astype(np.uint64)) >> np.uint64(56)).astype(np.uint8).view("<i8").reshape(-1, _LANES)
-                rows = np.repeat(np.arange(len(part)), keep)
-                later = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.tile(np.arange(keep, 0, -1), len(part)))]).astype(np.int32)), pa.array(np.concatenate([keys[:, k + 1 :] for k in range(keep)], axis=1).ravel()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[:, :keep].ravel()), later, *(part.column(c).take(pa.array(rows)) for c in ("node", "n")), *(pa.array(lanes[rows, k]) for k in range(_LANES))],
-                    ["key", "later", "node", "n", *(f"s{k}" for k in range(_LANES))],
-                )
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, keep, dtype=np.int32)), pa.array(np.ascontiguousarray(keys).ravel()))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("node", "n", "lanes")), lists], ["node", "n", "lanes", "prefix"])
+
+    return with_slots.select("node", "n", "sig", "lanes", "slots").mapInArrow(post, "node binary, n long, lanes array<long>, prefix array<long>")
 
-    lanes = ", ".join(f"s{k} long" for k in range(_LANES))
-    return with_slots.select("node", "n", "sig", "slots").mapInArrow(post, f"key long, later array<long>, node binary, n long, {lanes}")
+
+def postings(prefixed: DataFrame) -> DataFrame:
+    """A row per node and prefix element: place in the prefix, key, node, n, lanes."""
+    return prefixed.select(F.posexplode("prefix").alias("place", "key"), "node", "n", *(F.get("lanes", k).alias(f"s{k}") for k in range(_LANES)))
 
 
 def _agreements(a: str, b: str) -> Column:
-    """How many bytes agree in the lanes of both sides (at least as many as coordinates agree)."""
+    """In how many coordinates the kept bits agree."""
     parts = []
     for k in range(_LANES):
         any_bit = f"({a}s{k} ^ {b}s{k})"
-        for step in (4, 2, 1):  # the lowest bit of a byte becomes the OR of its bits
+        for step in (2, 1):  # the lowest of a coordinate's bits becomes the OR of them
             any_bit = f"({any_bit} | shiftrightunsigned({any_bit}, {step}))"
-        parts.append(f"8 - bit_count({any_bit} & {0x0101010101010101}L)")
+        parts.append(f"{64 // BITS} - bit_count({any_bit} & {0x1111111111111111}L)")
     return F.expr(" + ".join(parts))
 
 
@@ -164,53 +203,57 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return left.join(sets.selectExpr("node as b", "shingles as set_b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(confirm, "a binary, b binary")
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words_in: int) -> DataFrame:
-    """(node, shingles) of the documents that stand for the nodes in ``ids`` (node, doc_id)."""
+def _of_nodes(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words_in: int, name: str, kind: str, make: Callable[[np.ndarray], object], arrow: pa.DataType) -> DataFrame:
+    """(node, name) made of the shingle sets of the documents that stand for the nodes in ``ids`` (node, doc_id)."""
 
     def shingle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in text_chunks(batch):
-                sets = [s.tobytes() for s in shingle_sets(chunk.column("text").cast(pa.binary()).to_pylist(), words_in)]
-                digests = [hashlib.blake2b(s, digest_size=16).digest() for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], ["node", "shingles"])
+                sets = shingle_sets(chunk.column("text").cast(pa.binary()).to_pylist(), words_in)
+                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array([make(s) for s in sets], arrow)], ["node", name])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(ids.select("doc_id"), "doc_id", "left_semi")
-    return rows.select("text").mapInArrow(shingle, "node binary, shingles binary").join(ids.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    return rows.select("text").mapInArrow(shingle, f"node binary, {name} {kind}").join(ids.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in: int = 5, percent: int = 80, matches: int = MATCHES) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in: int = 5, percent: int = 80) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable over links) and ``kept``.
 
     Documents link when 100 * intersection >= percent * union of their sets of ``words_in``-word shingles.
     Equal sets are one node, so copies are never paired with each other.  Null or empty text: no
     shingles, linked with nothing, kept.  Null id: linked with nothing, no component, kept.  Repeated rows of one id: same component.
-    ``percent`` down to about 80 keeps the stated recall with the default ``matches``; use fewer for lower ones.
     Other columns are ignored; an empty table gives no rows.
     """
     signed = materialize(signatures(docs, id_col, text_col, words_in), "signatures")
-    nodes = signed.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+    nodes = signed.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("lanes").alias("lanes"))
     nodes = materialize(nodes.withColumnRenamed("digest", "node"), "nodes")
-    posted = materialize(postings(nodes, matches), "postings")
-    lanes = [f"s{k}" for k in range(_LANES)]
-    # Posting lists with two members or more, and four of the members as pivots, chosen alike in every list
-    member = F.struct("node", "n", *lanes)
-    turned = lambda seed: F.struct(F.xxhash64("node", F.lit(seed)).alias("h"), member.alias("m"))
-    lists = posted.groupBy("key").agg(F.count("*").alias("size"), F.min(turned(1)).alias("p1"), F.max(turned(1)).alias("p2"), F.min(turned(2)).alias("p3"), F.max(turned(2)).alias("p4")).where("size > 1")
-    few = materialize(posted.join(lists.select("key", "size"), "key"), "lists")
+    wanted = percent / 100
+    prefixed = materialize(prefixes(nodes, match_threshold(COORDINATES, wanted)), "prefixes")
+    posted = postings(prefixed)
+    matches = match_threshold(COUNTED, wanted + (1 - wanted) / (1 << BITS))
+    # Posting lists with two members or more; in short ones, every pair
+    lists = posted.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    few = materialize(posted.join(lists, "key"), "lists")
     short, long_ = few.where(f"size <= {SHORT_LIST}"), few.where(f"size > {SHORT_LIST}")
-    a, b = short.alias("x"), short.alias("y")
-    near = a.join(b, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & _may_link("x.", "y.", percent, matches)).selectExpr("x.node as a", "y.node as b")
-    pivots = lists.where(f"size > {SHORT_LIST}").select("key", F.explode(F.array_distinct(F.array(*(F.col(f"p{k}.m") for k in (1, 2, 3, 4))))).alias("p")).select("key", "p.*")
-    starred = long_.alias("x").join(pivots.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") != F.col("y.node")) & _may_link("x.", "y.", percent, matches)).selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b")
+    near = _pairs(short, short, F.col("x.node") < F.col("y.node"), percent, matches)
+    # In long ones, each member with the most central ones: those whose lists are longest
+    central = long_.groupBy("node").agg(F.sum("size").alias("central"))
+    placed = materialize(long_.join(central, "node"), "long")
+    order = Window.partitionBy("key").orderBy(F.desc("central"), "node")
+    pivots = placed.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PIVOTS).drop("nth")
+    starred = _pairs(placed, pivots, F.col("x.node") != F.col("y.node"), percent, matches)
     links = _links(docs, nodes, near.union(starred).distinct(), id_col, text_col, words_in, percent)
-    # Members of long lists that are not yet connected: all such pairs, now posted under two shared elements
     labels = connected_components(links)
-    placed = long_.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("key")
-    twice = materialize(placed.join(mixed, "key").withColumn("second", F.explode("later")).drop("later"), "mixed")
-    x, y = twice.alias("x"), twice.alias("y")
-    apart = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.second") == F.col("y.second")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _may_link("x.", "y.", percent, matches)).selectExpr("x.node as a", "y.node as b").distinct()
-    apart = materialize(apart, "apart")
+    # Members of long lists that are not connected yet: each such pair once, at the first element they share
+    mixed = _mixed(placed, prefixed, labels)
+    loose = materialize(nodes.join(mixed.select("node").distinct(), "node").select("node", "doc_id"), "loose")
+    fine = _of_nodes(docs, loose, id_col, text_col, words_in, "fine", "array<long>", fine_signature, pa.list_(pa.int64()))
+    mixed = materialize(mixed.join(fine, "node"), "mixed")
+    differ = FINE - match_threshold(FINE, (1 + wanted) / 2)
+    close = F.expr(f"aggregate(zip_with(x.fine, y.fine, (p, q) -> bit_count(p ^ q)), 0, (s, n) -> s + n) <= {differ}")
+    rule = (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
+    apart = materialize(_pairs(mixed, mixed, rule, percent, matches, ~F.arrays_overlap("x.earlier", "y.earlier") & close), "apart")
     if apart.limit(1).count():
         links = links.union(_links(docs, nodes, apart, id_col, text_col, words_in, percent))
         labels = connected_components(links)
@@ -222,9 +265,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(ids, "digest", "left").selectExpr("doc_id", "n_shingles", "coalesce(found, doc_id) as component_id", "coalesce(doc_id = coalesce(found, doc_id), true) as kept")
 
 
+def _pairs(x: DataFrame, y: DataFrame, rule: Column, percent: int, matches: int, last: Column | None = None) -> DataFrame:
+    """(a, b), a before b, of postings under one key that may link and obey ``rule``, and ``last``, which is looked at last."""
+    both = (F.col("x.key") == F.col("y.key")) & rule & _may_link("x.", "y.", percent, matches)
+    rows = x.alias("x").join(y.alias("y"), both if last is None else both & last)
+    return rows.selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b")
+
+
+def _mixed(placed: DataFrame, prefixed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Postings of long lists with several components, with ``component`` and the prefix elements ``earlier`` than the list's own."""
+    rows = placed.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("key")
+    rows = rows.join(mixed, "key")
+    return materialize(rows.join(prefixed.select("node", "prefix"), "node").withColumn("earlier", F.expr("slice(prefix, 1, place)")).drop("prefix"), "earlier")
+
+
 def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, id_col: str, text_col: str, words_in: int, percent: int) -> DataFrame:
     pairs = materialize(pairs, "pairs")
     needed = pairs.selectExpr("a as node").union(pairs.selectExpr("b as node")).distinct()
     ids = materialize(nodes.join(needed, "node").select("node", "doc_id"), "needed")
-    sets = materialize(_sets_of(docs, ids, id_col, text_col, words_in), "sets")
+    sets = materialize(_of_nodes(docs, ids, id_col, text_col, words_in, "shingles", "binary", np.ndarray.tobytes, pa.binary()), "sets")
     return materialize(_confirmed(pairs, sets, percent), "links")
