@@ -12,7 +12,6 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +20,7 @@ from leafpress.llm.interning import WordTable, text_chunks
 
 ORDER = 5
 #: Labelled rows drawn per language at most; one in so many of them is held back to calibrate rejection.
-FIT_ROWS, HELD_BACK = 1800, 6
+FIT_ROWS, HELD_BACK = 1200, 6
 #: Share of labelled calibration rows that the rejection limit lets pass before its margin, and the margin in bits a character.
 CALIBRATION_SHARE, MARGIN_BITS = 0.995, 0.75
 _WORD = re.compile(r"[^\W\d_]+")
@@ -199,27 +198,36 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     last = F.create_map(*(F.lit(x) for r in limits for x in (r["lang"], r["last"])))
     drawn = rows.where(F.col("draw") <= last[F.col("lang")]).withColumn("held", F.pmod(F.xxhash64("draw"), F.lit(HELD_BACK)) == 0)
 
-    def count(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for lang, texts in frame.groupby("lang")["text"]:
-                counts: dict[str, int] = {}
-                for t in texts:
-                    for w in _WORD.findall(t.lower()):
-                        counts[w] = counts.get(w, 0) + 1
-                yield pd.DataFrame({"lang": lang, "word": list(counts), "n": list(counts.values())})
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: dict[tuple[str, str], int] = {}
+            for lang, t in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                for w in _WORD.findall(t.lower()):
+                    counts[lang, w] = counts.get((lang, w), 0) + 1
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], ["lang", "word", "n"])
 
-    words = drawn.where("not held").select("lang", "text").mapInPandas(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    words = drawn.where("not held").select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counted = words.orderBy("lang", "word").toPandas()
     languages, models = [], []
     for lang, part in counted.groupby("lang", sort=True):
         languages.append(lang)
         models.append(CharModel.fit(part["word"].tolist(), part["n"].to_numpy(float)))
     fitted = LanguageModels(languages, models, np.full(len(models), np.inf), uuid.uuid4().hex)
-    held = drawn.where("held").select("lang", "text").toPandas()
+    sent = labelled.sparkSession.sparkContext.broadcast(fitted)  # bounded by the draw
+
+    def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = {lang: k for k, lang in enumerate(sent.value.languages)}
+        for batch in batches:
+            for chunk in text_chunks(batch):
+                own = [places.get(x, -1) for x in chunk.column("lang").to_pylist()]
+                entropy, _ = sent.value.entropies(chunk.column("text").to_pylist(), _table(sent.value))
+                bits = [float(e[k]) if k >= 0 else float("nan") for e, k in zip(entropy, own, strict=True)]
+                yield pa.RecordBatch.from_arrays([chunk.column("lang"), pa.array(bits)], ["lang", "bits"])
+
+    held = drawn.where("held").select("lang", "text").mapInArrow(measure, "lang string, bits double").where("not isnan(bits)").collect() if languages else []  # a number a drawn row
     for k, lang in enumerate(languages):
-        entropy, _ = fitted.entropies(held.loc[held["lang"] == lang, "text"].tolist())
-        own = entropy[:, k][~np.isnan(entropy[:, k])] if len(entropy) else np.empty(0)
-        if len(own):
+        own = [r["bits"] for r in held if r["lang"] == lang]
+        if own:
             fitted.limits[k] = np.quantile(own, CALIBRATION_SHARE) + MARGIN_BITS
     return fitted
 
