@@ -13,7 +13,7 @@ import re
 from collections.abc import Iterable, Iterator
 from functools import cache
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -130,14 +130,13 @@ def license_scan(df: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     other columns are ignored; an empty table gives no rows.
     """
 
-    def scan(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gate = re.compile(GATE)
-        names = ["doc_id", *(c.strip().split(" ")[0] for c in SCHEMA.split(","))]
-        for frame in frames:
-            rows = [(i, *r) for i, t in zip(frame["doc_id"].tolist(), frame["text"].tolist(), strict=True) for r in scan_text(t, gate)]
-            out = pd.DataFrame(rows, columns=names)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+        kinds = {"int": pa.int32(), "string": pa.string(), "double": pa.float64()}
+        schema = pa.schema([("doc_id", pa.int64()), *((n, kinds[k]) for n, k in (c.strip().split(" ") for c in SCHEMA.split(",")))])
+        for batch in batches:
+            rows = [(i, *r) for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for r in scan_text(t, gate)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").rlike(GATE))
-    return rows.mapInPandas(scan, f"doc_id long, {SCHEMA}")
+    return rows.mapInArrow(scan, f"doc_id long, {SCHEMA}")

@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -97,14 +96,15 @@ def fit_domains(labelled: DataFrame, domain: Column, text_col: str = "text", id_
     rows = labelled.select(F.col(text_col).alias("text"), domain.alias("domain"), F.xxhash64(F.col(id_col).cast("string"), F.lit(11)).alias("draw")).where(F.col("text").isNotNull() & F.col("domain").isin(*domains))
     last = rows.select("draw").orderBy("draw").limit(fit_rows).agg(F.max("draw")).first()[0]
 
-    def describe(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            slots, _ = _features([t.encode() for t in frame["text"]])
-            yield pd.DataFrame({"domain": frame["domain"], "slots": [s.tolist() for s in slots]})
+    def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in text_chunks(batch):
+                slots, _ = _features(chunk.column("text").cast(pa.binary()).to_pylist())
+                yield pa.RecordBatch.from_arrays([chunk.column("domain"), pa.array(slots, pa.list_(pa.int32()))], ["domain", "slots"])
 
-    drawn = rows.where(F.col("draw") <= last).select("text", "domain").mapInPandas(describe, "domain string, slots array<int>").toPandas() if last is not None else pd.DataFrame({"domain": [], "slots": []})
+    drawn = rows.where(F.col("draw") <= last).select("text", "domain").mapInArrow(describe, "domain string, slots array<int>").toPandas() if last is not None else None
     k = len(domains)
-    y = drawn["domain"].map({d: i for i, d in enumerate(domains)}).to_numpy(int) if len(drawn) else np.empty(0, int)
+    y = np.empty(0, int) if drawn is None else drawn["domain"].map({d: i for i, d in enumerate(domains)}).to_numpy(int)
     column = np.full(SLOTS, -1, np.int32)
     if not len(y):
         return DomainModel(domains, column, np.zeros((1, k)))
@@ -157,6 +157,10 @@ def _rates(p: np.ndarray, steps: np.ndarray) -> np.ndarray:
     return r
 
 
+def _posteriors(batch: pa.RecordBatch, domains: int) -> np.ndarray:
+    return batch.column("posterior").flatten().to_numpy(zero_copy_only=False).reshape(-1, domains)
+
+
 def solve_rates(members: DataFrame, weights: dict[str, float], total_tokens: float | None = None, iterations: int = ITERATIONS) -> tuple[np.ndarray, dict[str, tuple[float, float]]]:
     """Steps that lead every document from rate one to its rate, and (target, reached) tokens by domain.
 
@@ -168,17 +172,16 @@ def solve_rates(members: DataFrame, weights: dict[str, float], total_tokens: flo
     k = len(w)
 
     def sums(steps: np.ndarray, gram: bool) -> np.ndarray:
-        def add(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = np.zeros((k + 1, k))
-            for frame in frames:
-                if len(frame):
-                    p, t = np.stack(frame["posterior"].to_numpy()), frame["tokens"].to_numpy(float)
-                    out[0] += (t * _rates(p, steps)) @ p
-                    if gram:
-                        out[1:] += (p * t[:, None]).T @ p
-            yield pd.DataFrame({"i": np.arange(out.size), "x": out.ravel()})
-
-        found = members.select("tokens", "posterior").mapInPandas(add, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()  # (k + 1) k rows
+            for batch in batches:
+                p, t = _posteriors(batch, k), batch.column("tokens").to_numpy().astype(float)
+                out[0] += (t * _rates(p, steps)) @ p
+                if gram:
+                    out[1:] += (p * t[:, None]).T @ p
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(out.size, dtype=np.int32)), pa.array(out.ravel())], ["i", "x"])
+
+        found = members.select("tokens", "posterior").mapInArrow(add, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()  # (k + 1) k rows
         out = np.zeros((k + 1) * k)
         for row in found:
             out[row["i"]] = row["x"]
@@ -211,14 +214,14 @@ def mix(df: DataFrame, model: DomainModel, weights: dict[str, float] = WEIGHTS,
     members = materialize(domain_posteriors(df, model, text_col, id_col), "members")
     steps, _ = solve_rates(members, weights, total_tokens)
 
-    def rate(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            p = np.stack(frame["posterior"].to_numpy()) if len(frame) else np.zeros((0, len(weights)))
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "tokens": frame["tokens"], **{f"p_{d}": p[:, i] for i, d in enumerate(weights)}, "rate": _rates(p, steps)})
+    def rate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = _posteriors(batch, len(weights))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tokens"), *(pa.array(np.ascontiguousarray(p[:, i])) for i in range(len(weights))), pa.array(_rates(p, steps))], ["doc_id", "tokens", *(f"p_{d}" for d in weights), "rate"])
 
     shares = "".join(f", p_{d} double" for d in weights)
     kind = members.schema["doc_id"].dataType.simpleString()
-    return members.mapInPandas(rate, f"doc_id {kind}, tokens long{shares}, rate double").withColumn("copies", F.expr("cast(floor(rate + pmod(xxhash64(cast(doc_id as string), 13), 1000003) / 1000003.0D) as int)"))
+    return members.mapInArrow(rate, f"doc_id {kind}, tokens long{shares}, rate double").withColumn("copies", F.expr("cast(floor(rate + pmod(xxhash64(cast(doc_id as string), 13), 1000003) / 1000003.0D) as int)"))
 
 
 def label_domain(quality: str = "quality", toxic: str = "toxic") -> Column:
