@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 
 from leafpress.storage import materialize
 
-PROJECTIONS, CONFIDENCE = 10, 0.98
+PROJECTIONS, CONFIDENCE = 16, 0.95
 #: Points that the tree's splits are learnt on at most; all points are indexed.  Wanted points in a cell, most rows in a block of a cell.
-SAMPLE, CELL_ROWS, BLOCK_ROWS = 20_000, 2_000, 4_096
-#: Cells that a query visits before it has a distance to stop by.
-FIRST_CELLS = 2
+SAMPLE, CELL_ROWS, BLOCK_ROWS = 20_000, 3_000, 4_096
+#: Cells that a query visits before it has a distance to stop by; queries that a task compares at once; shares of the
+#: stopping distance up to which it verifies before it tightens that distance.
+FIRST_CELLS, AT_ONCE, SHELLS = 3, 256, (0.25, 0.5, 0.75, 1.0)
 
 
 def chi_square_quantile(p: float, m: int) -> float:
@@ -134,45 +135,59 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_i
             low, high, cells, blocks = shape.value
             for frame in frames:
                 q = sent.value.project(_matrix(frame["vec"], dims), queries=True)
-                out: dict[str, list] = {"cell": [], "block": [], "row": []}
-                for i in range(len(q)):
-                    gap = np.maximum(0.0, np.maximum(low - q[i], q[i] - high))
-                    far = (gap * gap).sum(axis=1)
-                    near = np.argsort(far, kind="stable")
-                    chosen = near[:FIRST_CELLS] if first else [c for c in near[FIRST_CELLS:] if far[c] <= frame["reach"].iat[i]]
-                    for c in chosen:
-                        out["cell"] += [cells[c]] * int(blocks[c])
-                        out["block"] += range(int(blocks[c]))
-                        out["row"] += [i] * int(blocks[c])
-                at = np.array(out.pop("row"), int)
-                yield pd.DataFrame({**out, "qid": frame["id"].to_numpy()[at], "qvec": frame["vec"].to_numpy()[at], "kth": frame["kth"].to_numpy()[at], "qpoint": pd.Series(list(q[at]), dtype=object)})
+                visits = []
+                for a in range(0, len(q), AT_ONCE):
+                    part = q[a : a + AT_ONCE, None, :]
+                    gap = np.maximum(0.0, np.maximum(low - part, part - high))
+                    far = (gap * gap).sum(axis=2)
+                    place = np.argsort(np.argsort(far, axis=1, kind="stable"), axis=1, kind="stable")
+                    chosen = place < FIRST_CELLS if first else (place >= FIRST_CELLS) & (far <= frame["reach"].to_numpy()[a : a + AT_ONCE, None])
+                    row, cell = np.nonzero(chosen)
+                    visits.append(np.stack([row + a, cell]))
+                row, cell = np.concatenate(visits, axis=1) if visits else np.zeros((2, 0), int)
+                row, cell = np.repeat(row, blocks[cell]), np.repeat(cell, blocks[cell])
+                new = np.r_[True, (row[1:] != row[:-1]) | (cell[1:] != cell[:-1])] if len(row) else np.zeros(0, bool)
+                at = np.arange(len(row))
+                block = at - np.maximum.accumulate(np.where(new, at, 0)) if len(row) else at
+                yield pd.DataFrame({"cell": cells[cell], "block": block, "qid": frame["id"].to_numpy()[row], "qvec": frame["vec"].to_numpy()[row], "kth": frame["kth"].to_numpy()[row], "qpoint": pd.Series(list(q[row]), dtype=object)})
 
         return go
 
     def verify(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Queries against one block of a cell: by projected distance, until the stopping test holds."""
-        found = []
-        if len(left) and len(right):
-            vectors, points, ids = _matrix(right["vec"], dims), _matrix(right["point"], PROJECTIONS), right["id"].to_numpy()
-            for qid, qvec, kth, qpoint in zip(left["qid"], left["qvec"], left["kth"], left["qpoint"], strict=True):
-                q = np.asarray(qvec, np.float64)
-                base = longest + (q * q).sum()
-                gap = ((points - qpoint) ** 2).sum(axis=1)
-                order = np.argsort(gap, kind="stable")
-                order = order[ids[order] != qid]
-                best_s, best_i, at, step = np.empty(0), np.empty(0, np.int64), 0, 2 * k
-                bound = kth if not np.isnan(kth) else np.inf
-                while at < len(order) and gap[order[at]] <= quantile * bound:
-                    take = order[at : at + step]
-                    at += step
-                    best_s = np.concatenate([best_s, (vectors[take] * q).sum(axis=1)])
-                    best_i = np.concatenate([best_i, ids[take]])
-                    top = np.lexsort((best_i, -best_s))[:k]
-                    best_s, best_i = best_s[top], best_i[top]
-                    if len(best_s) == k:
-                        bound = min(bound, max(0.0, base - 2 * best_s[-1]) * (1 + 1e-9))
-                found.append(pd.DataFrame({"query_id": qid, "vec_id": best_i, "score": best_s}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+        """Queries against one block of a cell: by shells of projected distance, until the stopping test holds."""
+        found = [pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})]
+        vectors, points, ids = _matrix(right["vec"], dims), _matrix(right["point"], PROJECTIONS), right["id"].to_numpy()
+        lengths = (points * points).sum(axis=1)
+        for a in range(0, len(left) if len(right) else 0, AT_ONCE):
+            part = left.iloc[a : a + AT_ONCE]
+            q, p, qid = _matrix(part["qvec"], dims), _matrix(part["qpoint"], PROJECTIONS), part["qid"].to_numpy()
+            base = longest + (q * q).sum(axis=1)
+            kth = part["kth"].to_numpy(float)
+            gap = np.maximum(0.0, lengths + (p * p).sum(axis=1)[:, None] - 2 * p @ points.T)
+            gap[qid[:, None] == ids] = np.inf
+            if np.isnan(kth).any():  # no distance yet: that of the k nearest in projection is one
+                own = np.sort(gap, axis=1)[:, min(k, gap.shape[1]) - 1]
+                near = gap <= own[:, None]
+            else:
+                near = np.zeros(gap.shape, bool)
+            bound, done, rows, columns, scores = np.where(np.isnan(kth), np.inf, kth), np.zeros(gap.shape, bool), [], [], []
+            for shell in (0.0, *SHELLS):
+                wanted = (near if shell == 0.0 else gap <= (shell * quantile * bound)[:, None]) & ~done & np.isfinite(gap)
+                i, j = np.nonzero(wanted)
+                done |= wanted
+                if not len(i):
+                    continue
+                rows, columns = np.r_[rows, i].astype(int), np.r_[columns, j].astype(int)
+                scores = np.r_[scores, np.concatenate([(vectors[j[c : c + 65536]] * q[i[c : c + 65536]]).sum(axis=1) for c in range(0, len(i), 65536)])]
+                order = np.lexsort((ids[columns], -scores, rows))
+                rows, columns, scores = rows[order], columns[order], scores[order]
+                place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+                last = place == k - 1
+                bound[rows[last]] = np.minimum(bound[rows[last]], np.maximum(0.0, base[rows[last]] - 2 * scores[last]) * (1 + 1e-9))
+                keep = (place < k) & (base[rows] - 2 * scores <= bound[rows] * (1 + 1e-9) + 1e-12)
+                rows, columns, scores = rows[keep], columns[keep], scores[keep]
+            found.append(pd.DataFrame({"query_id": qid[np.asarray(rows, int)], "vec_id": ids[np.asarray(columns, int)], "score": np.asarray(scores, float)}))
+        return pd.concat(found)
 
     routed = "cell long, block int, qid long, qvec array<double>, kth double, qpoint array<double>"
     in_blocks = points.join(spark.createDataFrame(pd.DataFrame({"cell": cells, "blocks": blocks})), "cell").withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
