@@ -44,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their ids and their places in sequences of 1024."""
     pieces = materialize(packing.token_pieces(docs), "pieces")
-    return packing.pack(packing.with_crc(pieces)).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return packing.pack(packing.with_crc(pieces), written=pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
