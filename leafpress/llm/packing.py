@@ -126,12 +126,13 @@ def with_crc(pieces: DataFrame) -> DataFrame:
     return pieces.mapInArrow(digest, f"{schema}, ids_crc32 long")
 
 
-def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 1024, written: DataFrame | None = None) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to a written table with ``part``, ``rank_in_part`` and ``length`` (1 to capacity).
 
+    ``written`` is the table that ``pieces`` was derived from row by row, if it was: lengths are then counted there.
     Pieces of a sequence lie gapless from 0.  Other columns pass through; an empty table stays empty.
     """
-    counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
+    counts = (pieces if written is None else written).groupBy("part", "length").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # a row per length: 1 to capacity
     runs = placement(plan_bins(histogram, capacity))
     #: Exact while one length has under 2**50 pieces.
