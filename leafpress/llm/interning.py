@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from itertools import repeat
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words that one worker remembers before it starts anew; bounds memory, never results.
-WORD_LIMIT = 800_000
+#: Words that one worker remembers; further ones are learnt each time anew.  Bounds memory, never results.
+WORD_LIMIT = 650_000
+#: Longer words are never remembered.
+LONGEST_WORD = 200
 #: Bytes of text that are turned into words at once.
 CHUNK_BYTES = 4_000_000
 
@@ -25,33 +27,36 @@ class WordTable:
     def __init__(self, learn: Callable[[list], Sequence[np.ndarray]], limit: int = WORD_LIMIT):
         self.learn, self.limit = learn, limit
         self.index: dict = {}
+        self.size = 0  # rows that are kept
         self.fields: list[np.ndarray] = []
 
     def rows(self, words: Sequence) -> np.ndarray:
+        """Row numbers, good until the next call."""
         found = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         gaps = np.flatnonzero(found < 0)
         if not len(gaps):
             return found
-        new = list(dict.fromkeys([words[i] for i in gaps.tolist()]))
-        if self.index and len(self.index) + len(new) > self.limit:
-            self.index, self.fields = {}, []
-            return self.rows(words)
-        self._add(new)
-        found[gaps] = [self.index[words[i]] for i in gaps.tolist()]
+        missing = [words[i] for i in gaps.tolist()]
+        new = dict(zip(dict.fromkeys(missing), count(self.size), strict=False))
+        self._learn(list(new))
+        found[gaps] = np.fromiter(map(new.__getitem__, missing), np.int64, len(missing))
+        if self.size + len(new) <= self.limit:
+            self.index |= new if max(map(len, new)) <= LONGEST_WORD else {w: i for w, i in new.items() if len(w) <= LONGEST_WORD}
+            self.size += len(new)
         return found
 
-    def _add(self, new: list) -> None:
-        first = len(self.index)
+    def _learn(self, new: list) -> None:
+        """Put the new words' values behind those that are remembered."""
+        first = self.size
         learnt = [np.asarray(x) for x in self.learn(new)]
         if not self.fields:
             self.fields = [np.empty((0, *x.shape[1:]), x.dtype) for x in learnt]
         for k, x in enumerate(learnt):
             if first + len(new) > len(self.fields[k]):
-                grown = np.empty((max(4096, 2 * (first + len(new))), *x.shape[1:]), x.dtype)
+                grown = np.empty((max(4096, int(1.5 * (first + len(new)))), *x.shape[1:]), x.dtype)
                 grown[:first] = self.fields[k][:first]
                 self.fields[k] = grown
             self.fields[k][first : first + len(new)] = x
-        self.index.update(zip(new, range(first, first + len(new)), strict=True))
 
 
 def text_chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterable[pa.RecordBatch]:

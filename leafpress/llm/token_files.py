@@ -24,7 +24,7 @@ from leafpress.llm.tokens import tokenizer_path, word_encoder
 SCHEMA = "part int, doc_id long, start_in_part long, n_tokens long, tokens array<int>"
 #: Writer settings of the format.
 WRITER = {
-    "compression": "zstd",
+    "compression": "snappy",
     "parquet.writer.version": "v2",
     "parquet.block.size": str(32 << 20),
     "parquet.page.size": str(256 << 10),

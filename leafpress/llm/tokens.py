@@ -3,7 +3,7 @@
 A byte-level BPE splits a text into pre-tokens and encodes each on its own.  A run of letters with the white-space
 character before it both starts and ends at pre-token bounds, unless an apostrophe joins it to what
 precedes; so a text may be cut around such runs and its parts encoded separately.  Texts with characters whose
-class two Unicode versions may see differently, with NUL or with very long parts are encoded whole.
+class two Unicode versions may see differently, or with NUL, are encoded whole.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import os
 import re
 import unicodedata
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -19,16 +20,28 @@ from tokenizers import Tokenizer
 
 from leafpress.llm.interning import WordTable
 
-#: A part of more characters is not remembered; its text is encoded whole.
-LONGEST_PART = 200
 _WORD = re.compile(r"((?:\s|(?<![^\W\d_])(?<!'))[^\W\d_]+)")
 _LETTERS = re.compile(r"\s?[^\W\d_]+")
 #: Scripts and signs whose classes have long been stable.
 _STABLE = [(0x00, 0x24F), (0x370, 0x52F), (0x1E00, 0x1FFF), (0x2000, 0x206F), (0x20A0, 0x20AC), (0x3000, 0x30FF), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3), (0xFF00, 0xFFEF)]
 _UNSURE = re.compile("[^" + "".join(re.escape(chr(c)) for a, b in _STABLE for c in range(a, b + 1) if unicodedata.category(chr(c)) not in ("No", "Nl", "Cn") and not (c == 0 or 0x1C <= c <= 0x1F)) + "]")
+_LATIN_UNSURE = tuple(chr(c) for c in range(0x80, 0x100) if _UNSURE.match(chr(c)))
 _CONTROLS = ("\0", "\x1c", "\x1d", "\x1e", "\x1f")
 
 
+def _unsure(text: str) -> bool:
+    """Whether the text has characters that its tokenizer may class in another way than ``_WORD``."""
+    if any(c in text for c in _CONTROLS):
+        return True
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return bool(_UNSURE.search(text))
+    return any(c in text for c in _LATIN_UNSURE)
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
@@ -55,7 +68,7 @@ class WordEncoder:
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.words = WordTable(self._learn)
         self.pool = np.empty(0, np.uint32)
-        self.used = 0
+        self.used, self.mark = 0, (0, 0)
 
     def _ids(self, part: str) -> list[int]:
         if not _LETTERS.fullmatch(part):
@@ -66,8 +79,10 @@ class WordEncoder:
         return ids if before is None else before + ids
 
     def _learn(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if not self.words.index:
-            self.used = 0
+        """What was learnt last is overwritten if it was not remembered."""
+        known = self.words.size
+        self.mark = (known, self.used) if known != self.mark[0] else self.mark
+        self.used = self.mark[1]
         ids = list(map(self._ids, parts))
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         end = self.used + int(sizes.sum())
@@ -75,7 +90,7 @@ class WordEncoder:
             grown = np.empty(2 * end, np.uint32)
             grown[: self.used] = self.pool[: self.used]
             self.pool = grown
-        self.pool[self.used : end] = np.fromiter((i for x in ids for i in x), np.uint32, end - self.used)
+        self.pool[self.used : end] = np.fromiter(chain.from_iterable(ids), np.uint32, end - self.used)
         starts = self.used + np.cumsum(sizes) - sizes
         self.used = end
         return starts, sizes
@@ -88,13 +103,10 @@ class WordEncoder:
         for k, text in enumerate(texts):
             if not text:
                 continue
-            if any(c in text for c in _CONTROLS) or any(s in text for s in self.special) or not text.isascii() and _UNSURE.search(text):
-                found = None
-            else:
-                found = list(filter(None, _WORD.split(text)))
-            if found is None or len(text) > LONGEST_PART and max(map(len, found)) > LONGEST_PART:
+            if _unsure(text) or any(s in text for s in self.special):
                 whole[k] = self.tokenizer.encode(text, add_special_tokens=False).ids
                 continue
+            found = list(filter(None, _WORD.split(text)))
             counts[k] = len(found)
             parts += found
         rows = self.words.rows(parts)
