@@ -33,19 +33,57 @@ TEMPLATES = {
         "SPDX-License-Identifier: MIT",
     ],
     "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "Licensed under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause"],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0"],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0"],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
-    "CC0-1.0": ["This work is dedicated to the public domain under CC0 1.0."],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "SPDX-License-Identifier: GPL-2.0",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2 of the License",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",
+        "GNU General Public License Version 2, June 1991",
+    ],
+    "GPL-3.0": [
+        "This work is licensed under the GNU General Public License, version 3.",
+        "SPDX-License-Identifier: GPL-3.0",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 3 of the License",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 3 of the License",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License version 3 as published by the Free Software Foundation",
+        "GNU General Public License Version 3, 29 June 2007",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; version 3 of the License",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License version 3 as published by the Free Software Foundation",
+        "GNU Lesser General Public License Version 3, 29 June 2007",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation; either version 3 of the License",
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation; version 3 of the License",
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License version 3 as published by the Free Software Foundation",
+        "GNU Affero General Public License Version 3, 19 November 2007",
+    ],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0", "Mozilla Public License Version 2.0"],
+    "CC0-1.0": ["This work is dedicated to the public domain under CC0 1.0.", "Creative Commons Legal Code CC0 1.0 Universal"],
+    "CC-BY-4.0": [
+        "Licensed under CC BY 4.0.",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "Creative Commons Attribution 4.0 International Public License",
+    ],
+    "CC-BY-SA-4.0": [
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "Creative Commons Attribution-ShareAlike 4.0 International Public License",
+    ],
+    "CC-BY-NC-4.0": [
+        "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "Creative Commons Attribution-NonCommercial 4.0 International Public License",
+    ],
     "all-rights-reserved": ["Copyright * All rights reserved."],
 }
 #: Every template holds one of these; a block without any can match none.
-GATE = r"(?i)licen[sc]e|permission is hereby|redistribution and use|public domain|rights reserved"
+GATE = r"(?i)licen[sc]e|permission is hereby|redistribution and use|public domain|rights reserved|legal code"
 #: Words that may differ without changing what is granted: wording around the license's name.
 _LIGHT = frozenset("this work is released licensed under the a an of by to and in with or code file software source form terms subject".split())
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
@@ -81,18 +119,32 @@ def blocks_of(text: str) -> list[tuple[int, int]]:
 def differences(template: list[str], block: list[str]) -> tuple[bool, str]:
     """Whether the block says what the template says, and its other words: ``-missing`` and ``+added within``.
 
-    All weighty template words must stand in the block in order, with no weighty word between the first and last of them.
+    The weighty template words must stand in the block in order, with no other weighty word between them.  Light words may
+    vary on either side and between; those before and after are compared with the light words that touch the notice.  Of
+    several such places, the first with the fewest other words is reported.
     """
-    matcher = difflib.SequenceMatcher(None, template, block, autojunk=False)
-    codes = matcher.get_opcodes()
-    matched = [c for c in codes if c[0] == "equal"]
-    if not matched:
-        return False, ""
-    first, last = matched[0][3], matched[-1][4]
-    missing = [w for tag, a, b, _, _ in codes if tag in ("delete", "replace") for w in template[a:b]]
-    added = [w for tag, _, _, a, b in codes if tag in ("insert", "replace") for k, w in enumerate(block[a:b], a) if first <= k < last]
-    exact = not any(w not in _LIGHT for w in [*missing, *added])
-    return exact, " ".join([*(f"-{w}" for w in missing), *(f"+{w}" for w in added)])
+    heavy = [k for k, w in enumerate(template) if w not in _LIGHT]
+    at = [k for k, w in enumerate(block) if w not in _LIGHT]
+    wanted, said = [template[k] for k in heavy], [block[k] for k in at]
+    found = [_others(template, heavy, block, at, k) for k, w in enumerate(said) if w == wanted[0] and said[k : k + len(wanted)] == wanted]
+    return (True, " ".join(min(found, key=len))) if found else (False, "")
+
+
+def _others(template: list[str], heavy: list[int], block: list[str], at: list[int], k: int) -> list[str]:
+    """Light words that differ where the weighty words ``heavy`` of the template are those of the block from ``at[k]`` on."""
+    n = len(heavy)
+    ours = [at[k - 1] if k else -1, *at[k : k + n], at[k + n] if k + n < len(at) else len(block)]
+    theirs = [-1, *heavy, len(template)]
+    out = []
+    for i in range(n + 1):
+        a, b = template[theirs[i] + 1 : theirs[i + 1]], block[ours[i] + 1 : ours[i + 1]]
+        codes = difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes()
+        equal = [c for c in codes if c[0] == "equal"]
+        first = 0 if i else equal[0][3] if equal else len(b)  # before the notice, only what follows a word of it is added within
+        last = len(b) if i < n else equal[-1][4] if equal else 0
+        out += [f"-{w}" for tag, x, y, _, _ in codes if tag in ("delete", "replace") for w in a[x:y]]
+        out += [f"+{w}" for tag, _, _, x, y in codes if tag in ("insert", "replace") for w in b[max(x, first) : min(y, last)]]
+    return out
 
 
 def scan_text(text: str, gate: re.Pattern) -> list[tuple]:

@@ -297,6 +297,25 @@ def test_license_scan(spark):
     assert licenses.license_scan(docs(spark, [])).count() == 0
 
 
+def licenses_in(text):
+    return sorted(r[3] for r in licenses.scan_text(text, re.compile(licenses.GATE)))
+
+
+def test_license_after_other_words():
+    """Light words far from a notice do not widen it; headers and openings of the license texts count."""
+    header = "# This {} is free software{} you can redistribute it and/or modify\n# it under the terms of the GNU {}General Public License as published by\n# the Free Software Foundation{} either version {} of the License, or"
+    prose = "this is the work of a long line in which many ordinary words stand " * 20
+    assert licenses_in("This file is part of Foo and is licensed under the GNU General Public License, version 2.") == ["GPL-2.0"]
+    assert licenses_in(f"{prose}This work is licensed under the GNU Affero General Public License, version 3. {prose}") == ["AGPL-3.0"]
+    assert licenses_in(header.format("program", ";", "", ";", 2)) == ["GPL-2.0"]
+    assert licenses_in(header.format("program", ":", "", ",", 3)) == ["GPL-3.0"]
+    assert licenses_in(header.format("library", ":", "Lesser ", ",", 3)) == ["LGPL-3.0"]
+    assert licenses_in("Mozilla Public License Version 2.0") == ["MPL-2.0"]
+    assert licenses_in("Creative Commons Legal Code\n\nCC0 1.0 Universal") == licenses_in("This work is licensed under the GNU General Public blue License, version 2.") == []
+    assert licenses_in("Creative Commons Legal Code\nCC0 1.0 Universal") == ["CC0-1.0"]
+    assert all(re.search(licenses.GATE, t) for group in licenses.TEMPLATES.values() for t in group)
+
+
 # Mixing
 
 
