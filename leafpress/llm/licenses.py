@@ -80,7 +80,7 @@ TEMPLATES = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "Creative Commons Attribution-NonCommercial 4.0 International Public License",
     ],
-    "all-rights-reserved": ["Copyright * All rights reserved."],
+    "all-rights-reserved": ["Copyright * All rights reserved.", "All rights reserved."],
 }
 #: Every template holds one of these; a block without any can match none.
 GATE = r"(?i)licen[sc]e|permission is hereby|redistribution and use|public domain|rights reserved|legal code"
@@ -96,9 +96,9 @@ def words_of(text: str) -> list[str]:
 
 
 @cache
-def _compressors() -> tuple[zstandard.ZstdCompressor, list[tuple[str, str, list[str], zstandard.ZstdCompressor]]]:
+def _compressors() -> tuple[zstandard.ZstdCompressor, list[tuple[str, str, list[list[str]], zstandard.ZstdCompressor]]]:
     options = {"level": 9, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
-    found = [(name, t, words_of(t.replace("*", " ")), zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT), **options)) for name, group in TEMPLATES.items() for t in group]
+    found = [(name, t, [words_of(run) for run in t.split("*")], zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT), **options)) for name, group in TEMPLATES.items() for t in group]
     return zstandard.ZstdCompressor(**options), found
 
 
@@ -116,28 +116,38 @@ def blocks_of(text: str) -> list[tuple[int, int]]:
     return lines + paragraphs
 
 
-def differences(template: list[str], block: list[str]) -> tuple[bool, str]:
+def differences(template: list[list[str]], block: list[str]) -> tuple[bool, str]:
     """Whether the block says what the template says, and its other words: ``-missing`` and ``+added within``.
 
-    The weighty template words must stand in the block in order, with no other weighty word between them.  Light words may
-    vary on either side and between; those before and after are compared with the light words that touch the notice.  Of
-    several such places, the first with the fewest other words is reported.
+    The template is the runs of words between its free words.  The weighty words of a run must stand in the block in order,
+    with no other weighty word between them; runs follow each other with any words between, which are not reported.  Light
+    words may vary on either side and between; those before and after are compared with the light words that touch the run.
+    Of several such places, the first with the fewest other words is reported; earlier runs are the nearest before it.
     """
-    heavy = [k for k, w in enumerate(template) if w not in _LIGHT]
     at = [k for k, w in enumerate(block) if w not in _LIGHT]
-    wanted, said = [template[k] for k in heavy], [block[k] for k in at]
-    found = [_others(template, heavy, block, at, k) for k, w in enumerate(said) if w == wanted[0] and said[k : k + len(wanted)] == wanted]
-    return (True, " ".join(min(found, key=len))) if found else (False, "")
-
-
-def _others(template: list[str], heavy: list[int], block: list[str], at: list[int], k: int) -> list[str]:
-    """Light words that differ where the weighty words ``heavy`` of the template are those of the block from ``at[k]`` on."""
+    said = [block[k] for k in at]
+    ends: list[tuple[int, list[str]]] = [(0, [])]  # where the runs so far end, and their other words
+    for run in template:
+        heavy = [k for k, w in enumerate(run) if w not in _LIGHT]
+        wanted = [run[k] for k in heavy]
+        after, near = [], 0
+        for k, w in enumerate(said):
+            if ends and w == wanted[0] and said[k : k + len(wanted)] == wanted and ends[0][0] <= k:
+                while near + 1 < len(ends) and ends[near + 1][0] <= k:
+                    near += 1
+                after.append((k + len(wanted), ends[near][1] + _others(run, heavy, block, at, k)))
+        ends = after
+    return (True, " ".join(min((other for _, other in ends), key=len))) if ends else (False, "")
+
+
+def _others(run: list[str], heavy: list[int], block: list[str], at: list[int], k: int) -> list[str]:
+    """Light words that differ where the weighty words ``heavy`` of the run are those of the block from ``at[k]`` on."""
     n = len(heavy)
     ours = [at[k - 1] if k else -1, *at[k : k + n], at[k + n] if k + n < len(at) else len(block)]
-    theirs = [-1, *heavy, len(template)]
+    theirs = [-1, *heavy, len(run)]
     out = []
     for i in range(n + 1):
-        a, b = template[theirs[i] + 1 : theirs[i + 1]], block[ours[i] + 1 : ours[i + 1]]
+        a, b = run[theirs[i] + 1 : theirs[i + 1]], block[ours[i] + 1 : ours[i + 1]]
         codes = difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes()
         equal = [c for c in codes if c[0] == "equal"]
         first = 0 if i else equal[0][3] if equal else len(b)  # before the notice, only what follows a word of it is added within
@@ -166,7 +176,7 @@ def scan_text(text: str, gate: re.Pattern) -> list[tuple]:
             name, template, wanted, _ = templates[i]
             if name in named:
                 continue
-            exact, other = differences(wanted, said) if set(wanted) - _LIGHT <= set(said) else (False, "")
+            exact, other = differences(wanted, said) if {w for run in wanted for w in run} - _LIGHT <= set(said) else (False, "")
             if exact and not any(n == name and s >= start and e <= end for n, s, e in taken):
                 named.add(name)
                 taken.add((name, start, end))

@@ -316,6 +316,17 @@ def test_license_after_other_words():
     assert all(re.search(licenses.GATE, t) for group in licenses.TEMPLATES.values() for t in group)
 
 
+def test_license_with_free_words():
+    for text in ("Copyright 2024 Acme Corp. All rights reserved.", "x\nCopyright (c) 1999-2024, the Foo Authors and others.\nAll rights reserved.\ny", "All rights reserved.", "A line. All rights reserved. Copyright 2024", "Copyright Acme: all of its rights in this work. " * 9 + "All rights reserved."):
+        assert licenses_in(text) == ["all-rights-reserved"], text
+    assert licenses_in("Copyright 2024 Acme Corp. All Acme rights reserved.") == licenses_in("Copyright 2024. All our rights reserved, rights reserved") == []
+    free = [licenses.words_of(run) for run in "Copyright * All rights reserved.".split("*")]
+    said = lambda text: licenses.differences(free, licenses.words_of(text))
+    assert said("Copyright 2024 Acme Corp. All rights reserved.") == said("Copyright Copyright 2 All rights reserved. Copyright") == (True, "")
+    assert said("All of the rights reserved. Copyright 2024") == said("All rights reserved.") == (False, "")
+    assert said("Copyright All rights. Copyright 2024 X. All the rights reserved.") == (True, "+the")
+
+
 # Mixing
 
 
