@@ -2,8 +2,8 @@
 
 A block (a line, or a paragraph of several lines) that names licensing at all is compressed with each template as a
 zstandard raw dictionary.  The more of a template a block repeats, the smaller it gets beside its own compression;
-templates are ranked by that reduction.  The best ones are confirmed by their exact words: every word of the template
-that is not free text must occur in order, and what the block adds or lacks is reported.
+templates are ranked by that reduction.  In that order, every template whose weighty words all occur in the block is
+confirmed by its exact words: those that are not free text must occur in order, and what the block adds or lacks is reported.
 """
 
 from __future__ import annotations
@@ -87,7 +87,6 @@ GATE = r"(?i)licen[sc]e|permission is hereby|redistribution and use|public domai
 #: Words that may differ without changing what is granted: wording around the license's name.
 _LIGHT = frozenset("this work is released licensed under the a an of by to and in with or code file software source form terms subject".split())
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
-LEAST_REDUCTION, TRIED = 0.15, 4
 SCHEMA = "block int, start int, end int, license string, template string, plain_bytes int, dict_bytes int, reduction double, place int, differences string, text string"
 
 
@@ -169,10 +168,7 @@ def scan_text(text: str, gate: re.Pattern) -> list[tuple]:
         sizes = [(len(c.compress(raw)), i) for i, (*_, c) in enumerate(templates)]
         place, named = 0, set()
         for size, i in sorted(sizes):
-            reduction = (alone - size) / alone
-            if reduction < LEAST_REDUCTION and place >= TRIED:
-                break
-            place += 1
+            reduction, place = (alone - size) / alone, place + 1
             name, template, wanted, _ = templates[i]
             if name in named:
                 continue

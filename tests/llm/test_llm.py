@@ -316,6 +316,15 @@ def test_license_after_other_words():
     assert all(re.search(licenses.GATE, t) for group in licenses.TEMPLATES.values() for t in group)
 
 
+def test_all_licenses_of_a_long_line():
+    """However many templates rank before it, a notice is tried."""
+    prose = "".join(f"w{k * 7919 % 1009} of x{k * 104729 % 997} " for k in range(150))
+    named = {"MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.", "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.", "CC-BY-4.0": "Licensed under CC BY 4.0."}
+    for text in (prose + " ".join(named.values()), f" {prose}".join(named.values())):
+        assert licenses_in(text) == sorted(named)
+    assert licenses_in(prose + " ".join(t.replace("*", "2024") for group in licenses.TEMPLATES.values() for t in group)) == sorted(licenses.TEMPLATES)
+
+
 def test_license_with_free_words():
     for text in ("Copyright 2024 Acme Corp. All rights reserved.", "x\nCopyright (c) 1999-2024, the Foo Authors and others.\nAll rights reserved.\ny", "All rights reserved.", "A line. All rights reserved. Copyright 2024", "Copyright Acme: all of its rights in this work. " * 9 + "All rights reserved."):
         assert licenses_in(text) == ["all-rights-reserved"], text
