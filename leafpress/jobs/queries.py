@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafpress.functions import text as T
@@ -501,13 +501,40 @@ _FLAG = f"""
 @query(f"with {_FLAG} select query_id, record_id, cast(rank as int) as rank, round(1.0::double / (60 + rank), 9) as score from rk where rank <= 5")
 def search_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five documents that share most with the head of each benchmark passage, by their best line."""
+    return _flag_hits(spark, sf_dir, F.substring(T.norm("text"), 1, 40))
+
+
+def _flag_hits(spark: SparkSession, sf_dir: str, q: Column, across: bool = False) -> DataFrame:
     blocks = lines.to_lines(table(spark, sf_dir, "documents").selectExpr("0 as book", "doc_id as page", "text")).selectExpr("page as record_id", "line as block_id", "st as text")
-    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.substring(T.norm("text"), 1, 40).alias("q"))
-    hits = search.rrf({"lex": search.lexical_layer(asked, blocks)})
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), q.alias("q"))
+    lex = search.lexical_layer(asked, blocks)
+    if across:  # a line that holds the passage has 2 already, any other line 1 at most
+        texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), T.norm("text").alias("nt"))
+        held = texts.join(F.broadcast(asked), F.expr("contains(nt, q)")).select("query_id", "record_id").distinct().withColumn("whole", F.lit(1.0))
+        lex = lex.join(held, ["query_id", "record_id"], "left").withColumn("score", F.least("score", F.lit(1.0)) + F.coalesce("whole", F.lit(0.0))).drop("whole")
+    hits = search.rrf({"lex": lex})
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "first", "record_id")
     return hits.withColumn("rank", F.row_number().over(order)).where("rank <= 5").select("query_id", "record_id", "rank", F.round("score", 9).alias("score"))
 
 
+_WHOLE_FLAG = f"""
+    q as (select item_id as query_id, {_norm("text")} as nq from benchmark),
+    ln as (select doc_id as record_id, unnest(string_split(text, chr(10))) as raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 as block_id from documents),
+    bl as (select record_id, block_id, {_norm("raw")} as nt from ln where {_norm("raw")} <> ''),
+    qg as (select query_id, nq, {_GRAMS.format("nq")} as g from q), bg as (select record_id, block_id, unnest({_GRAMS.format("nt")}) as gram from bl),
+    sh as (select a.query_id, b.record_id, b.block_id, count(*) as c, any_value(a.n) as n from (select query_id, len(g) as n, unnest(g) as gram from qg) a join bg b using (gram) group by 1, 2, 3),
+    wh as (select distinct query_id, doc_id as record_id, true as held from q join (select doc_id, {_norm("text")} as nd from documents) d on contains(d.nd, q.nq)),
+    be as (select query_id, record_id, max(c / cast(n as double)) as best, min(block_id) as tie from sh group by 1, 2),
+    lex as (select query_id, record_id, best + case when held then 1 else 0 end as score, tie from be left join wh using (query_id, record_id)),
+    rk as (select query_id, record_id, row_number() over (partition by query_id order by score desc, tie, record_id) as rank from lex)"""
+
+
+@query(f"with {_WHOLE_FLAG} select query_id, record_id, cast(rank as int) as rank, round(1.0::double / (60 + rank), 9) as score from rk where rank <= 5")
+def search_benchmark_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five documents that share most with each whole benchmark passage, by their best line; those that hold all of it, across lines too, first."""
+    return _flag_hits(spark, sf_dir, T.norm("text"), across=True)
+
+
 # Scans and manifests
 
 

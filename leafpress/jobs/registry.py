@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from leafpress.jobs.queries import QUERIES
 
-FLAGSHIP = "search_benchmark"
+FLAGSHIP = "search_benchmark_whole"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

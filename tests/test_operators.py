@@ -5,6 +5,7 @@ import os
 import numpy as np
 from pyspark.sql import functions as F
 
+from leafpress.jobs import registry
 from leafpress.operators import audit, components, evaluate, index, quality, search, vectors
 from leafpress.sources import readers
 from leafpress.streaming import pages as stream
@@ -123,3 +124,28 @@ def test_page_stream(spark, tmp_path):
     (root / "B01" / "_pages" / "p0001.md").write_text("@@RECIPE_START 2 乙\n")
     run()
     assert count() == {"B01": 2, "B02": 1}
+
+
+def brute_ranks(asked, found):
+    """Records of each query by their best block, and one more if the record holds all of the query; ``found``: texts of blocks."""
+    norm, grams = lambda x: "".join(x.split()), lambda x: {x[i : i + 2] for i in range(len(x) - 1)}
+    out = {}
+    for i, q in asked:
+        q = norm(q)
+        shares = {r: [(k, len(grams(q) & grams(norm(b))) / len(grams(q))) for k, b in enumerate(blocks) if grams(q) & grams(norm(b))] for r, blocks in found.items()}
+        scores = {r: (-max(s for _, s in x) - (q in norm("".join(found[r]))), min(k for k, _ in x), r) for r, x in shares.items() if x}
+        out[i] = sorted(scores, key=scores.get)
+    return out
+
+
+def test_flagship_asks_whole_passages(spark, tmp_path):
+    """Documents with only the head, only the rest, or all of a passage, in one line or across lines."""
+    head, rest = "the quick brown fox jumps over the lazy dog and then it", " sits waltzing by grumpy zebras; vexing MMXIX,\nBQZ KWY!"
+    asked = [(1, head + rest), (2, "zz top")]
+    docs = {1: head, 2: "a\n" + rest, 3: "x " + (head + rest).replace("\n", " ") + " y", 4: "nothing here but THE dog", 5: "b\nc\n" + head + rest, 6: head + "\n" + head[::-1], 7: "ZZ", 8: "azz topaz"}
+    spark.createDataFrame(asked, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(list(docs.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    hits = registry.queries()[registry.FLAGSHIP](spark, str(tmp_path)).orderBy("query_id", "rank").collect()
+    wanted = brute_ranks(asked, {d: text.split("\n") for d, text in docs.items()})
+    assert wanted[1][:2] == [3, 5]
+    assert [(r["query_id"], r["record_id"]) for r in hits] == [(i, d) for i, _ in asked for d in wanted[i][:5]]
