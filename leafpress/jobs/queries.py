@@ -414,8 +414,12 @@ _LEX = f"""
     lex as (select query_id, record_id, max(c / cast(n as double) + case when whole then 1 else 0 end) as score, min(block_id) as tie from sh group by 1, 2)"""
 
 
-def _queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.substring(T.norm("text"), 1, 24).alias("q"))
+def _head(c: str) -> Column:
+    return F.substring(T.norm(c), 1, 24)
+
+
+def _queries(spark: SparkSession, sf_dir: str, cut: Callable[[str], Column] = _head) -> DataFrame:
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), cut("text").alias("q"))
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,9 +441,9 @@ _SEARCH = f"""{_LEX},
     hits as (select query_id, record_id, score, pin is not null as pinned, row_number() over (partition by query_id order by pin is null, pin, score desc, first, record_id) as rank from pi)"""
 
 
-def _hits(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
-    keys = table(spark, sf_dir, "conversations").where("turn = 0").select(F.substring(T.norm("text"), 1, 24).alias("key"), F.col("conv_id").alias("record_id"), F.col("conv_id").alias("ord"))
-    return search.search(_queries(spark, sf_dir), _turns(spark, sf_dir), keys, k=k)
+def _hits(spark: SparkSession, sf_dir: str, k: int, cut: Callable[[str], Column] = _head) -> DataFrame:
+    keys = table(spark, sf_dir, "conversations").where("turn = 0").select(cut("text").alias("key"), F.col("conv_id").alias("record_id"), F.col("conv_id").alias("ord"))
+    return search.search(_queries(spark, sf_dir, cut), _turns(spark, sf_dir), keys, k=k)
 
 
 @query(f"with {_SEARCH} select query_id, record_id, cast(rank as int) as rank, round(score, 9) as score, pinned from hits where rank <= 5")
@@ -453,11 +457,39 @@ def search_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     select query_id, record_id, cast(rank as int) as rank, cast(old_rank as int) as old_rank from re""")
 def reranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first twenty hits reordered by a table of scores that lacks some of them."""
-    hits = materialize(_hits(spark, sf_dir, 20), "hits")
+    return _reranked(_hits(spark, sf_dir, 20))
+
+
+def _reranked(found: DataFrame) -> DataFrame:
+    hits = materialize(found, "hits")
     scores = hits.where("record_id % 3 <> 0").selectExpr("query_id", "record_id", "cast((record_id * 7 + query_id) % 101 as double) as rerank")
     return search.apply_rerank(hits, scores).select("query_id", "record_id", "rank", "old_rank")
 
 
+# The same with whole passages and whole first turns
+
+_WHOLE_LEX, _WHOLE_SEARCH = (sql.replace(f"substr({_norm("text")}, 1, 24)", _norm("text")) for sql in (_LEX, _SEARCH))
+
+
+@query(f"with {_WHOLE_LEX} select query_id, record_id, round(score, 9) as score, tie from lex")
+def lexical_layer_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.lexical_layer(_queries(spark, sf_dir, T.norm), _turns(spark, sf_dir)).withColumn("score", F.round("score", 9))
+
+
+@query(f"with {_WHOLE_SEARCH} select query_id, record_id, cast(rank as int) as rank, round(score, 9) as score, pinned from hits where rank <= 5")
+def search_conversations_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword search without vectors: first turns equal to the whole passage, and shared bigrams."""
+    return _hits(spark, sf_dir, 5, T.norm).select("query_id", "record_id", "rank", F.round("score", 9).alias("score"), "pinned")
+
+
+@query(f"""with {_WHOLE_SEARCH}, sc as (select query_id, record_id, (record_id * 7 + query_id) % 101 as s from hits where rank <= 20 and record_id % 3 <> 0),
+    re as (select h.query_id, h.record_id, row_number() over (partition by h.query_id order by h.pinned desc, case when h.pinned then h.rank end, sc.s desc nulls last, h.rank) as rank, h.rank as old_rank from hits h left join sc using (query_id, record_id) where h.rank <= 20)
+    select query_id, record_id, cast(rank as int) as rank, cast(old_rank as int) as old_rank from re""")
+def reranked_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first twenty hits of the whole passages reordered by a table of scores that lacks some of them."""
+    return _reranked(_hits(spark, sf_dir, 20, T.norm))
+
+
 @query("""
     with d as (select doc_id, lead(doc_id) over (order by doc_id) as x from documents), c as (select label % 5 as book, unnest(['keyword', 'vector']) as mode, vec_id, label from embeddings),
     r as (select book, mode, case when (vec_id * (case mode when 'vector' then 3 else 5 end)) % 7 = 6 then null else (vec_id * (case mode when 'vector' then 3 else 5 end)) % 7 + 1 end as rank, 3 as topn from c)

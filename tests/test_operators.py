@@ -149,3 +149,18 @@ def test_flagship_asks_whole_passages(spark, tmp_path):
     wanted = brute_ranks(asked, {d: text.split("\n") for d, text in docs.items()})
     assert wanted[1][:2] == [3, 5]
     assert [(r["query_id"], r["record_id"]) for r in hits] == [(i, d) for i, _ in asked for d in wanted[i][:5]]
+
+
+def test_conversations_with_whole_passages(spark, tmp_path):
+    """First turns that differ after the head are no exact hits; a turn with only the head does not hold the passage."""
+    text = "a long first turn that many begin with, and which ends here"
+    turns = [(1, 0, text), (2, 0, text.replace("here", "elsewhere")), (3, 0, "x"), (3, 1, f"well, {text}!"), (4, 0, text[:40]), (5, 0, "begin with, and which ends here"), (6, 0, "zzz")]
+    spark.createDataFrame([(9, text)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(turns, "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    run = lambda name: registry.queries()[name](spark, str(tmp_path)).collect()
+    assert {r["record_id"]: r["score"] >= 1 for r in run("lexical_layer_whole")} == {1: True, 2: False, 3: True, 4: False, 5: False}
+    found = sorted(run("search_conversations_whole"), key=lambda r: r["rank"])
+    assert [r["record_id"] for r in found if r["pinned"]] == [1]
+    wanted = brute_ranks([(9, text)], {c: [t for k, _, t in turns if k == c] for c in range(1, 7)})[9]
+    assert [r["record_id"] for r in found] == wanted
+    assert [r["record_id"] for r in sorted(run("reranked_whole"), key=lambda r: r["old_rank"])] == wanted
