@@ -6,6 +6,8 @@ Models see a word as its letters in lower case between two blanks.  Each order k
 
 from __future__ import annotations
 
+import math
+import pickle
 import re
 import uuid
 from collections.abc import Iterable, Iterator
@@ -16,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafpress.llm.interning import WordTable, text_chunks
+from leafpress.llm.interning import WORD_LIMIT, Spans, WordTable, remembered, runs, text_bytes, text_chunks
 
 ORDER = 5
 #: Labelled rows drawn per language at most; one in so many of them is held back to calibrate rejection.
@@ -25,7 +27,8 @@ FIT_ROWS, HELD_BACK = 1200, 6
 CALIBRATION_SHARE, MARGIN_BITS = 0.995, 0.75
 _WORD = re.compile(r"[^\W\d_]+")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
-_LONG = 64
+#: Bytes of one worker's remembered entropies; bounds how many words are remembered, never results.
+MEMORY = 48_000_000
 UNKNOWN = "und"
 
 
@@ -113,7 +116,7 @@ class LanguageModels:
     limits: np.ndarray  # cross-entropy above which a language is rejected
     key: str = ""
 
-    def __post_init__(self) -> None:
+    def merge(self) -> None:
         """One sorted array of n-gram hashes an order for all languages, with a column a language; NaN where it has none."""
         self.keys, self.values, self.weights = [], [], []
         for n in range(ORDER if self.models else 0):
@@ -157,30 +160,69 @@ class LanguageModels:
         bits = np.stack([np.bincount(word, logs[:, k], len(words)) for k in range(len(self.models))], axis=1)
         return bits, np.array([len(w) + 1 for w in words])
 
-    def entropies(self, texts: list[str | None], table: WordTable | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def table(self) -> WordTable:
+        """This worker's memory of words, bounded by bytes."""
+
+        def make() -> WordTable:
+            self.merge()
+            return WordTable(self._learn, max(1000, min(WORD_LIMIT, MEMORY // (4 * len(self.models) + 30))))
+
+        return remembered(("languages", self.key), make)
+
+    def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        bits, chars = self.words([w.decode() for w in words])
+        return bits.astype(np.float32), chars.astype(np.int32)
+
+    def entropies(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Bits a character by text and language (NaN without words); whether the text holds a letter."""
-        table = table or WordTable(self.words)
-        found = [_WORD.findall(t.lower()) if t else [] for t in texts]
-        flat = [w for x in found for w in x]
-        long_words = [i for i, w in enumerate(flat) if len(w) > _LONG]
-        spared = [flat[i] for i in long_words]
-        for i in long_words:
-            flat[i] = ""
-        known = table.rows(flat)
-        bits = np.zeros((len(flat) + 1, len(self.languages)))
-        chars = np.zeros(len(flat) + 1)
-        if len(known):
-            bits[1:], chars[1:] = table.fields[0][known], table.fields[1][known]
-        for i, w in zip(long_words, spared, strict=True):  # not remembered
-            b, c = self.words([w])
-            bits[i + 1], chars[i + 1] = b[0], c[0]
+        spans, letters = letter_runs(column)
+        bits, chars = np.zeros((len(spans.starts) + 1, len(self.languages))), np.zeros(len(spans.starts) + 1)
+        if len(spans.starts):
+            table = self.table()
+            rows = table.rows(spans)
+            bits[1:], chars[1:] = table.fields[0][rows], table.fields[1][rows]
         np.cumsum(bits, axis=0, out=bits)
         np.cumsum(chars, out=chars)
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(int)
+        ends = np.concatenate([[0], np.cumsum(spans.counts)])
         with np.errstate(invalid="ignore", divide="ignore"):
-            entropy = -(bits[ends[1:]] - bits[ends[:-1]]) / (chars[ends[1:]] - chars[ends[:-1]])[:, None]
-        letters = np.array([bool(x) and any(c.isalpha() for w in x for c in w[:1]) or any(c.isalpha() for c in t or "") if x else False for x, t in zip(found, texts, strict=True)], bool)
-        return entropy, letters
+            return -(bits[ends[1:]] - bits[ends[:-1]]) / (chars[ends[1:]] - chars[ends[:-1]])[:, None], letters
+
+
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+
+
+def letter_runs(column: pa.Array) -> tuple[Spans, np.ndarray]:
+    """Words of each text: its runs of letters in lower case; and whether it holds a letter.
+
+    Texts with other characters than ASCII and U+00C0 to U+00FF are turned into their words, a blank between them, first.
+    """
+    data, bounds = text_bytes(column)
+    odd = np.flatnonzero((data >= 0xC4) | (data == 0xC2))
+    letters = np.zeros(len(column), bool)
+    if len(odd):
+        texts = column.to_pylist()
+        which = np.unique(np.searchsorted(bounds, odd, side="right") - 1).tolist()
+        for k in which:
+            found = _WORD.findall(texts[k].lower())
+            letters[k] = any(c.isalpha() for w in found for c in w)
+            texts[k] = " ".join(found)
+        data, bounds = text_bytes(pa.array(texts, pa.string()))
+    else:
+        which = []
+    inside = _LETTER[data]
+    data = _LOWER[data]
+    lead = np.flatnonzero(data == 0xC3)
+    last = data[lead + 1]
+    inside[lead[(last == 0x97) | (last == 0xB7)]] = inside[lead[(last == 0x97) | (last == 0xB7)] + 1] = False
+    upper = lead[(last <= 0x9E) & (last != 0x97)] + 1
+    data[upper] += 32
+    spans = runs(data, bounds, inside)
+    plain = np.ones(len(column), bool)
+    plain[which] = False
+    return spans, np.where(plain, spans.counts > 0, letters)
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", fit_rows: int = FIT_ROWS) -> LanguageModels:
@@ -190,13 +232,16 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     tasks; their counts, bounded by the draw, come to the driver.  Rows with null text, language or without letters
     teach nothing.  Without labelled rows there are no languages, and every text is rejected.
     """
-    rows = labelled.where(f"{text_col} is not null and {lang_col} is not null").select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.lit(7)).alias("draw"))
-    # The draw is made on hashes alone, then the texts are fetched
-    limits = rows.select("lang", "draw").withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).where(F.col("k") <= fit_rows).groupBy("lang").agg(F.max("draw").alias("last")).collect()
-    if not limits:
+    rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.lit(7)).alias("draw"))
+    sizes = rows.groupBy("lang").count().collect()  # a row a language
+    if not sizes:
         return LanguageModels([], [], np.empty(0), uuid.uuid4().hex)
-    last = F.create_map(*(F.lit(x) for r in limits for x in (r["lang"], r["last"])))
-    drawn = rows.where(F.col("draw") <= last[F.col("lang")]).withColumn("held", F.pmod(F.xxhash64("draw"), F.lit(HELD_BACK)) == 0)
+    # Hashes below a cut that leaves some more than are wanted, then the least of those
+    cut = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], _cut(fit_rows, r["count"]))))[F.col("lang")]
+    least = Window.partitionBy("lang").orderBy("draw")
+    last = rows.select("lang", "draw").where(F.col("draw") < cut).withColumn("k", F.row_number().over(least)).where(F.col("k") <= fit_rows).groupBy("lang").agg(F.max("draw").alias("last")).collect()
+    last = F.create_map(*(F.lit(x) for r in last for x in (r["lang"], r["last"])))[F.col("lang")]
+    drawn = rows.where(F.col("draw") <= last).withColumn("held", F.pmod(F.xxhash64("draw"), F.lit(HELD_BACK)) == 0)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,11 +252,15 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], ["lang", "word", "n"])
 
     words = drawn.where("not held").select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counted = words.orderBy("lang", "word").toPandas()
-    languages, models = [], []
-    for lang, part in counted.groupby("lang", sort=True):
-        languages.append(lang)
-        models.append(CharModel.fit(part["word"].tolist(), part["n"].to_numpy(float)))
+
+    def model(table: pa.Table) -> pa.Table:
+        table = table.sort_by("word")
+        fitted = CharModel.fit(table.column("word").to_pylist(), table.column("n").to_numpy().astype(float))
+        return pa.table({"lang": table.column("lang").slice(0, 1), "model": pa.array([pickle.dumps(fitted)], pa.binary())})
+
+    # A model a language, its size bounded by the draw
+    found = sorted((r["lang"], pickle.loads(r["model"])) for r in words.groupBy("lang").applyInArrow(model, "lang string, model binary").toLocalIterator())
+    languages, models = [x for x, _ in found], [m for _, m in found]
     fitted = LanguageModels(languages, models, np.full(len(models), np.inf), uuid.uuid4().hex)
     sent = labelled.sparkSession.sparkContext.broadcast(fitted)  # bounded by the draw
 
@@ -220,7 +269,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
         for batch in batches:
             for chunk in text_chunks(batch):
                 own = [places.get(x, -1) for x in chunk.column("lang").to_pylist()]
-                entropy, _ = sent.value.entropies(chunk.column("text").to_pylist(), _table(sent.value))
+                entropy, _ = sent.value.entropies(chunk.column("text"))
                 bits = [float(e[k]) if k >= 0 else float("nan") for e, k in zip(entropy, own, strict=True)]
                 yield pa.RecordBatch.from_arrays([chunk.column("lang"), pa.array(bits)], ["lang", "bits"])
 
@@ -229,52 +278,44 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
         own = [r["bits"] for r in held if r["lang"] == lang]
         if own:
             fitted.limits[k] = np.quantile(own, CALIBRATION_SHARE) + MARGIN_BITS
+    sent.unpersist()
     return fitted
 
 
-_TABLES: dict[str, WordTable] = {}
-
-
-def _table(models: LanguageModels) -> WordTable:
-    """This worker's memory of words; a new model takes the place of an old one."""
-    if models.key not in _TABLES:
-        _TABLES.clear()
-        _TABLES[models.key] = WordTable(models.words)
-    return _TABLES[models.key]
+def _cut(wanted: int, rows: int) -> int:
+    """A 64-bit hash below which, of so many rows, at least ``wanted`` and not many more fall in all likelihood."""
+    share = min(1.0, (wanted + 8 * math.sqrt(wanted) + 64) / rows)
+    return min(2**63 - 1, int(-(2**63) + share * 2.0**64))
 
 
 def identify(df: DataFrame, models: LanguageModels, text_col: str = "text") -> DataFrame:
     """Add ``lang_pred``, ``score`` (share of the best language, 0 to 1), ``bits_per_char`` and ``rejected``.
 
     The language of the lowest cross-entropy, ties to the first by name.  Null text or text without a letter:
-    ``und``, score 0, rejected.  Rejected otherwise: a cross-entropy above the language's calibrated limit.  Input columns stay
-    (those of these four names are replaced); an empty table stays empty.
+    ``und``, score 0, rejected.  Rejected otherwise: a cross-entropy above the language's calibrated limit.  Input columns of any name
+    stay (those of these four names are replaced); only the text goes to Python; an empty table stays empty.
     """
     sent = df.sparkSession.sparkContext.broadcast(models)  # bounded by the fitting draw
-    kept = [c for c in df.columns if c not in ("lang_pred", "score", "bits_per_char", "rejected")]
     added = ["lang_pred", "score", "bits_per_char", "rejected"]
-    if "__text" in kept:
-        raise ValueError("column __text is reserved")
 
-    def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        for batch in batches:
-            for chunk in text_chunks(batch, "__text"):
-                texts = chunk.column("__text").to_pylist()
-                if m.languages:
-                    entropy, letters = m.entropies(texts, _table(m))
-                    good = letters & ~np.isnan(entropy[:, 0])
-                    filled = np.where(good[:, None], entropy, 0.0)
-                    best = filled.argmin(axis=1)
-                    least = filled[np.arange(len(best)), best]
-                    share = 1.0 / np.exp2(-np.minimum(50, 8 * (filled - least[:, None]))).sum(axis=1)
-                    names = [m.languages[b] if g else UNKNOWN for b, g in zip(best.tolist(), good.tolist(), strict=True)]
-                    columns = [pa.array(names), pa.array(np.where(good, share, 0.0)), pa.array(least, mask=~good), pa.array(~good | (least > m.limits[best]))]
-                else:
-                    n = len(texts)
-                    columns = [pa.array([UNKNOWN] * n), pa.array(np.zeros(n)), pa.nulls(n, pa.float64()), pa.array([True] * n)]
-                yield pa.RecordBatch.from_arrays([*(chunk.column(c) for c in kept), *columns], [*kept, *added])
-
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema if f.name in kept)
-    own = df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text_col}`").cast("string").alias("__text"))
-    return own.mapInArrow(predict, f"{schema}lang_pred string, score double, bits_per_char double, rejected boolean")
+    def predict(texts: pa.Array) -> pa.Array:
+        m, found = sent.value, []
+        for chunk in text_chunks(pa.RecordBatch.from_arrays([texts], ["text"])):
+            column = chunk.column("text")
+            entropy, letters = m.entropies(column) if m.languages else (np.full((len(column), 1), np.nan), np.zeros(len(column), bool))
+            good = letters & ~np.isnan(entropy[:, 0])
+            filled = np.where(good[:, None], entropy, 0.0)
+            best = filled.argmin(axis=1)
+            least = filled[np.arange(len(best)), best]
+            share = 1.0 / np.exp2(-np.minimum(50, 8 * (filled - least[:, None]))).sum(axis=1)
+            names = pa.array([*m.languages, UNKNOWN], pa.string()).take(pa.array(np.where(good, best, len(m.languages))))
+            above = least > m.limits[best] if m.languages else good
+            found.append(pa.StructArray.from_arrays([names, pa.array(np.where(good, share, 0.0)), pa.array(least, mask=~good), pa.array(~good | above)], added))
+        return pa.concat_arrays(found) if found else pa.array([], pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("bits_per_char", pa.float64()), ("rejected", pa.bool_())]))
+
+    # Not to be evaluated again for a filter on its result
+    judge = F.arrow_udf(predict, "lang_pred string, score double, bits_per_char double, rejected boolean").asNondeterministic()
+    kept = [c for c in df.columns if c not in added]
+    result = next(f"__found{i}" for i in range(len(kept) + 1) if f"__found{i}" not in kept)
+    found = df.select(*(F.col(f"`{c}`") for c in kept), judge(F.col(f"`{text_col}`").cast("string")).alias(result))
+    return found.select(*(F.col(f"`{c}`") for c in kept), *(F.col(result)[c].alias(c) for c in added))

@@ -5,30 +5,29 @@ sets have the wanted similarity agree in so many of them, but for a chance of on
 they share an element among the first few of each side, in any order common to all documents (prefix); frequent
 elements come last in that order, so common passages are seldom posted.  Within a posting list, agreements in all
 coordinates are counted only for pairs whose sizes allow the similarity and that are not yet connected (skip), and pairs
-with too few are dropped.  Links are then confirmed on the full shingle sets.
+with too few are dropped.  Links are then confirmed on the full shingle sets, in long lists after a comparison of parities
+that no link can fail.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Callable, Iterable, Iterator
-from functools import cache
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafpress.llm.interning import WordTable, text_chunks
+from leafpress.llm.interning import mix, text_chunks, words_of
 from leafpress.operators.components import connected_components
 from leafpress.storage import materialize
 
 #: Coordinates that are posted, and coordinates that are counted, with so many bits of each kept for counting.
 COORDINATES, COUNTED, BITS = 32, 128, 4
-#: Coordinates, one bit of each kept, that are counted besides in long posting lists.
-FINE = 4096
+#: Classes of shingles whose parities are compared before full sets are.
+PARITIES = 4096
 #: Chance that a pair at the threshold has fewer agreements than the match threshold.
 MISS = 1e-6
 #: Counters of element frequency, whatever the input; they only order elements, so sharing one is harmless.
@@ -37,16 +36,12 @@ COUNTERS = 1 << 18
 SHORT_LIST = 16
 #: Most central members of a long list that each of its members is compared with.
 PIVOTS = 4
+#: Members of a long list that meet in one group at most, and ids that are broadcast at most.
+BLOCK, SENT_IDS = 512, 1_000_000
 _LANES = COUNTED * BITS // 64
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
-
-
-_SEEDS = _mix(np.arange(1, 2 * COUNTED + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
+_SEEDS = mix(np.arange(1, 2 * COUNTED + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 _MULTIPLY, _ADD = (_SEEDS[:COUNTED] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (_SEEDS[COUNTED:] >> np.uint64(32)).astype(np.uint32)
 
 
@@ -59,30 +54,28 @@ def match_threshold(coordinates: int, agree: float, miss: float = MISS) -> int:
     return k - 1
 
 
-@cache
-def _word_hashes() -> WordTable:
-    return WordTable(lambda words: (np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)),))
-
-
-def shingle_sets(texts: list[bytes | None], words_in: int) -> list[np.ndarray]:
+def shingle_sets(column: pa.Array, words_in: int) -> list[np.ndarray]:
     """Per text, the sorted distinct 64-bit hashes of its shingles of ``words_in`` words.
 
     Words are runs of bytes other than ASCII white space, A-Z in lower case.  With fewer words, the
     sequence is one shingle; without words, the set is empty.
     """
-    words = [t.lower().split() if t else [] for t in texts]
-    flat = [w for x in words for w in x]
-    table = _word_hashes()
-    hashes = table.fields[0][rows] if len(rows := table.rows(flat)) else np.empty(0, np.uint64)
-    out, at = [], 0
-    for x in words:
-        h = hashes[at : at + len(x)]
-        at += len(x)
-        n = max(1, len(x) - words_in + 1) if len(x) else 0
-        s = np.zeros(n, np.uint64)
-        for k in range(min(words_in, len(x))):
-            s = _mix(s * np.uint64(0xD6E8FEB86659FD93) + h[k : k + n] + np.uint64(k + 1))
-        out.append(np.unique(s))
+    words = words_of(column, lower=True)
+    h, n = words.hashes(), words.counts
+    ends = np.cumsum(n)
+    s = np.zeros(max(0, len(h) - words_in + 1), np.uint64)
+    for k in range(words_in):
+        s = mix(s * np.uint64(0xD6E8FEB86659FD93) + h[k : k + len(s)] + np.uint64(k + 1))
+    out = []
+    for a, e in zip((ends - n).tolist(), ends.tolist(), strict=True):
+        if e - a >= words_in:
+            x = np.sort(s[a : e - words_in + 1])
+            out.append(x[np.r_[True, x[1:] != x[:-1]]])
+        else:
+            x = np.zeros(min(1, e - a), np.uint64)
+            for k in range(e - a):
+                x = mix(x * np.uint64(0xD6E8FEB86659FD93) + h[a + k] + np.uint64(k + 1))
+            out.append(x)
     return out
 
 
@@ -90,25 +83,20 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     """The least value of each hash function over the set, as unsigned 32-bit."""
     least = np.full(COUNTED, np.iinfo(np.uint32).max, np.uint32)
     folded = (shingles >> np.uint64(32)).astype(np.uint32)
-    for a in range(0, len(folded), 4096):
-        np.minimum(least, (folded[a : a + 4096, None] * _MULTIPLY + _ADD).min(axis=0), out=least)
-    return (_mix(least.astype(np.uint64) + np.uint64(1)) >> np.uint64(32)).astype(np.uint32)
-
+    for a in range(0, len(folded), 128):
+        x = folded[a : a + 128, None] * _MULTIPLY
+        x += _ADD
+        np.minimum(least, x.min(axis=0), out=least)
+    return (mix(least.astype(np.uint64) + np.uint64(1)) >> np.uint64(32)).astype(np.uint32)
 
-@cache
-def _fine_functions() -> tuple[np.ndarray, np.ndarray]:
-    seeds = _mix(np.arange(10_001, 10_001 + 2 * FINE, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
-    return (seeds[:FINE] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (seeds[FINE:] >> np.uint64(32)).astype(np.uint32)
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Of each of ``PARITIES`` classes of shingles, whether the set holds an odd number; packed into longs.
 
-def fine_signature(shingles: np.ndarray) -> np.ndarray:
-    """One bit of the least value of each of ``FINE`` hash functions, packed into longs."""
-    multiply, add = _fine_functions()
-    least = np.full(FINE, np.iinfo(np.uint32).max, np.uint32)
-    folded = (shingles >> np.uint64(32)).astype(np.uint32)
-    for a in range(0, len(folded), 64):
-        np.minimum(least, (folded[a : a + 64, None] * multiply + add).min(axis=0), out=least)
-    return np.packbits((_mix(least.astype(np.uint64) + np.uint64(1)) >> np.uint64(63)).astype(np.uint8)).view("<i8")
+    Two sets differ in at least as many shingles as their parities differ in bits.
+    """
+    odd = np.bincount((shingles & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
 def lanes(signs: np.ndarray) -> np.ndarray:
@@ -118,20 +106,21 @@ def lanes(signs: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words_in: int) -> DataFrame:
-    """(doc_id, n_shingles, digest of the set, signature); digest and signature are null for empty sets."""
+    """(doc_id, n_shingles, digest of the set, posted coordinates, bits of the counted ones, parities); null for empty sets but the first two."""
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in text_chunks(batch):
-                sets = shingle_sets(chunk.column("text").cast(pa.binary()).to_pylist(), words_in)
+                sets = shingle_sets(chunk.column("text"), words_in)
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 signs = [signature(s) if len(s) else None for s in sets]
                 posted = [None if x is None else x[:COORDINATES].view(np.int32) for x in signs]
                 counted = [None if x is None else lanes(x) for x in signs]
-                yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(posted, pa.list_(pa.int32())), pa.array(counted, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "digest", "sig", "lanes"])
+                odd = [parities(s) if len(s) else None for s in sets]
+                yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(posted, pa.list_(pa.int32())), *(pa.array(x, pa.list_(pa.int64())) for x in (counted, odd))], ["doc_id", "n_shingles", "digest", "sig", "lanes", "odd"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, n_shingles long, digest binary, sig array<int>, lanes array<long>")
+    return rows.mapInArrow(sign, "doc_id long, n_shingles long, digest binary, sig array<int>, lanes array<long>, odd array<long>")
 
 
 def _elements(signs: np.ndarray) -> np.ndarray:
@@ -140,7 +129,7 @@ def _elements(signs: np.ndarray) -> np.ndarray:
 
 
 def prefixes(nodes: DataFrame, matches: int) -> DataFrame:
-    """(node, n, lanes, prefix): the elements a node is posted under, in the common order."""
+    """(node, prefix): the elements a node is posted under, in the common order."""
     keep = COORDINATES - matches + 1
     counted = nodes.select(F.posexplode("sig").alias("c", "v")).groupBy(F.pmod(F.xxhash64("c", "v"), F.lit(COUNTERS)).alias("slot")).agg(F.count("*").alias("n"))
     total = counted.agg(F.sum("n")).first()[0] or 0
@@ -157,17 +146,12 @@ def prefixes(nodes: DataFrame, matches: int) -> DataFrame:
                 signs = part.column("sig").flatten().to_numpy().view(np.uint32).reshape(-1, COORDINATES)
                 slots = part.column("slots").flatten().to_numpy().reshape(-1, COORDINATES)
                 keys = _elements(signs)
-                order = np.lexsort((keys, _mix(keys), frequent[slots]), axis=1)[:, :keep]
+                order = np.lexsort((keys, mix(keys), frequent[slots]), axis=1)[:, :keep]
                 keys = np.take_along_axis(keys, order, axis=1).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, keep, dtype=np.int32)), pa.array(np.ascontiguousarray(keys).ravel()))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("node", "n", "lanes")), lists], ["node", "n", "lanes", "prefix"])
-
-    return with_slots.select("node", "n", "sig", "lanes", "slots").mapInArrow(post, "node binary, n long, lanes array<long>, prefix array<long>")
-
+                yield pa.RecordBatch.from_arrays([part.column("node"), lists], ["node", "prefix"])
 
-def postings(prefixed: DataFrame) -> DataFrame:
-    """A row per node and prefix element: place in the prefix, key, node, n, lanes."""
-    return prefixed.select(F.posexplode("prefix").alias("place", "key"), "node", "n", *(F.get("lanes", k).alias(f"s{k}") for k in range(_LANES)))
+    return with_slots.select("node", "sig", "slots").mapInArrow(post, "node binary, prefix array<long>")
 
 
 def _agreements(a: str, b: str) -> Column:
@@ -203,18 +187,21 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return left.join(sets.selectExpr("node as b", "shingles as set_b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(confirm, "a binary, b binary")
 
 
-def _of_nodes(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words_in: int, name: str, kind: str, make: Callable[[np.ndarray], object], arrow: pa.DataType) -> DataFrame:
-    """(node, name) made of the shingle sets of the documents that stand for the nodes in ``ids`` (node, doc_id)."""
+def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words_in: int) -> DataFrame:
+    """(node, shingles) of the documents that stand for the nodes in ``ids`` (node, doc_id), a written table."""
 
     def shingle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in text_chunks(batch):
-                sets = shingle_sets(chunk.column("text").cast(pa.binary()).to_pylist(), words_in)
+                sets = shingle_sets(chunk.column("text"), words_in)
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array([make(s) for s in sets], arrow)], ["node", name])
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(ids.select("doc_id"), "doc_id", "left_semi")
-    return rows.select("text").mapInArrow(shingle, f"node binary, {name} {kind}").join(ids.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    wanted = ids.select("doc_id")
+    wanted = F.broadcast(wanted) if ids.count() <= SENT_IDS else wanted
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(wanted, "doc_id", "left_semi")
+    # an id may come with several texts: only those of the nodes are wanted, and each once
+    return rows.select("text").mapInArrow(shingle, "node binary, shingles binary").join(ids.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in: int = 5, percent: int = 80) -> DataFrame:
@@ -226,63 +213,65 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Other columns are ignored; an empty table gives no rows.
     """
     signed = materialize(signatures(docs, id_col, text_col, words_in), "signatures")
-    nodes = signed.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("lanes").alias("lanes"))
+    nodes = signed.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), *(F.first(c).alias(c) for c in ("sig", "lanes", "odd")))
     nodes = materialize(nodes.withColumnRenamed("digest", "node"), "nodes")
     wanted = percent / 100
-    prefixed = materialize(prefixes(nodes, match_threshold(COORDINATES, wanted)), "prefixes")
-    posted = postings(prefixed)
+    posted = materialize(prefixes(nodes, match_threshold(COORDINATES, wanted)), "prefixes").select(F.explode("prefix").alias("key"), "node")
     matches = match_threshold(COUNTED, wanted + (1 - wanted) / (1 << BITS))
     # Posting lists with two members or more; in short ones, every pair
-    lists = posted.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    few = materialize(posted.join(lists, "key"), "lists")
+    few = posted.join(posted.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key")
+    few = materialize(few.join(nodes.select("node", "n", *(F.get("lanes", F.lit(k)).alias(f"s{k}") for k in range(_LANES))), "node"), "lists")
     short, long_ = few.where(f"size <= {SHORT_LIST}"), few.where(f"size > {SHORT_LIST}")
-    near = _pairs(short, short, F.col("x.node") < F.col("y.node"), percent, matches)
+    near = _pairs(short, short, "x.key = y.key and x.node < y.node", percent, matches)
     # In long ones, each member with the most central ones: those whose lists are longest
     central = long_.groupBy("node").agg(F.sum("size").alias("central"))
-    placed = materialize(long_.join(central, "node"), "long")
     order = Window.partitionBy("key").orderBy(F.desc("central"), "node")
-    pivots = placed.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PIVOTS).drop("nth")
-    starred = _pairs(placed, pivots, F.col("x.node") != F.col("y.node"), percent, matches)
+    pivots = materialize(long_.join(central, "node").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PIVOTS), "pivots")
+    starred = _pairs(long_, pivots, "x.key = y.key and x.node <> y.node", percent, matches)
     links = _links(docs, nodes, near.union(starred).distinct(), id_col, text_col, words_in, percent)
     labels = connected_components(links)
-    # Members of long lists that are not connected yet: each such pair once, at the first element they share
-    mixed = _mixed(placed, prefixed, labels)
-    loose = materialize(nodes.join(mixed.select("node").distinct(), "node").select("node", "doc_id"), "loose")
-    fine = _of_nodes(docs, loose, id_col, text_col, words_in, "fine", "array<long>", fine_signature, pa.list_(pa.int64()))
-    mixed = materialize(mixed.join(fine, "node"), "mixed")
-    differ = FINE - match_threshold(FINE, (1 + wanted) / 2)
-    close = F.expr(f"aggregate(zip_with(x.fine, y.fine, (p, q) -> bit_count(p ^ q)), 0, (s, n) -> s + n) <= {differ}")
-    rule = (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
-    apart = materialize(_pairs(mixed, mixed, rule, percent, matches, ~F.arrays_overlap("x.earlier", "y.earlier") & close), "apart")
+    apart = _apart(long_, nodes, labels, percent, matches)
     if apart.limit(1).count():
         links = links.union(_links(docs, nodes, apart, id_col, text_col, words_in, percent))
         labels = connected_components(links)
     # The smallest id of a component
-    smallest = nodes.join(labels, "node").groupBy("component").agg(F.min("doc_id").alias("least"))
-    linked = labels.join(smallest, "component").select("node", "least")
-    ids = nodes.select(F.col("node"), F.col("doc_id").alias("first_id")).join(linked, "node", "left").selectExpr("node as digest", "coalesce(least, first_id) as found")
-    rows = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
-    return rows.join(ids, "digest", "left").selectExpr("doc_id", "n_shingles", "coalesce(found, doc_id) as component_id", "coalesce(doc_id = coalesce(found, doc_id), true) as kept")
+    own = materialize(nodes.select("node", "doc_id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "own")
+    smallest = own.groupBy("component").agg(F.min("doc_id").alias("least"))
+    found = materialize(own.join(smallest, "component").select(F.col("node").alias("digest"), "least"), "found")
+    # Copies share a digest, whose rows Spark may split; rows without one get a key that no digest equals
+    rows = signed.select("doc_id", "n_shingles", F.expr("coalesce(if(doc_id is null, cast(concat('-', hex(digest)) as binary), digest), cast(concat('-', doc_id) as binary))").alias("digest"))
+    return rows.join(found, "digest", "left").selectExpr("doc_id", "n_shingles", "coalesce(least, doc_id) as component_id", "coalesce(doc_id = coalesce(least, doc_id), true) as kept")
 
 
-def _pairs(x: DataFrame, y: DataFrame, rule: Column, percent: int, matches: int, last: Column | None = None) -> DataFrame:
-    """(a, b), a before b, of postings under one key that may link and obey ``rule``, and ``last``, which is looked at last."""
-    both = (F.col("x.key") == F.col("y.key")) & rule & _may_link("x.", "y.", percent, matches)
-    rows = x.alias("x").join(y.alias("y"), both if last is None else both & last)
+def _pairs(x: DataFrame, y: DataFrame, rule: str, percent: int, matches: int) -> DataFrame:
+    """(a, b), a before b, of postings that obey ``rule`` and may link."""
+    rows = x.alias("x").join(y.alias("y"), F.expr(rule) & _may_link("x.", "y.", percent, matches))
     return rows.selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b")
 
 
-def _mixed(placed: DataFrame, prefixed: DataFrame, labels: DataFrame) -> DataFrame:
-    """Postings of long lists with several components, with ``component`` and the prefix elements ``earlier`` than the list's own."""
-    rows = placed.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("key")
-    rows = rows.join(mixed, "key")
-    return materialize(rows.join(prefixed.select("node", "prefix"), "node").withColumn("earlier", F.expr("slice(prefix, 1, place)")).drop("prefix"), "earlier")
+def _apart(long_: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, matches: int) -> DataFrame:
+    """Pairs (a, b) of members of a long list that are not connected yet and may link.
+
+    Members outside a list's largest component meet all its members, in groups of a block of the ones and a block of the
+    others, so that no group grows with a list.  Pairs whose parities differ in more shingles than linked sets can are dropped.
+    """
+    rows = long_.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    largest = rows.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.max("n").alias("n"), F.sum("n").alias("members")).where("n < members")
+    rows = materialize(rows.join(largest.selectExpr("key", "largest", f"cast(ceil((members - n) / {BLOCK}) as int) as p_blocks", f"cast(ceil(members / {BLOCK}) as int) as q_blocks"), "key"), "mixed")
+    x = rows.where("component <> largest").selectExpr("*", "cast(pmod(xxhash64(node, 1), p_blocks) as int) as p", "explode(sequence(0, q_blocks - 1)) as q")
+    y = rows.selectExpr("*", "cast(pmod(xxhash64(node, 2), q_blocks) as int) as q", "explode(sequence(0, p_blocks - 1)) as p")
+    rule = "x.key = y.key and x.p = y.p and x.q = y.q and x.component <> y.component and (y.component = y.largest or x.node < y.node)"
+    pairs = materialize(_pairs(x, y, rule, percent, matches).distinct(), "apart")
+    for end in ("a", "b"):
+        pairs = pairs.join(nodes.selectExpr(f"node as {end}", f"n as n_{end}", f"odd as odd_{end}"), end)
+    differ = "aggregate(zip_with(odd_a, odd_b, (p, q) -> bit_count(p ^ q)), 0, (s, n) -> s + n)"
+    # 100 * common >= percent * union, where n_a + n_b = union + common and the sets differ in union - common
+    return materialize(pairs.where(f"(100 + {percent}) * {differ} <= (100 - {percent}) * (n_a + n_b)").select("a", "b"), "close")
 
 
 def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, id_col: str, text_col: str, words_in: int, percent: int) -> DataFrame:
     pairs = materialize(pairs, "pairs")
     needed = pairs.selectExpr("a as node").union(pairs.selectExpr("b as node")).distinct()
     ids = materialize(nodes.join(needed, "node").select("node", "doc_id"), "needed")
-    sets = materialize(_of_nodes(docs, ids, id_col, text_col, words_in, "shingles", "binary", np.ndarray.tobytes, pa.binary()), "sets")
+    sets = materialize(_sets(docs, ids, id_col, text_col, words_in), "sets")
     return materialize(_confirmed(pairs, sets, percent), "links")

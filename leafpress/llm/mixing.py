@@ -1,18 +1,17 @@
 """Mixing to target weights with soft domain membership.
 
 A classifier fitted on labelled documents gives each document posteriors over domains.  Document rates then solve a
-nonnegative least-squares problem: the expected tokens of each domain, summed over documents by rate, tokens and
-posterior, should equal the targets.  The iterates are projected-gradient steps in the metric of the domains' Gram
-matrix, where the step is one; an iteration sums one vector with an entry a domain over all documents, and a document's rate follows from
-the few vectors so far, so no state per document is kept between iterations.
+nonnegative least-squares problem by projected gradient: the expected tokens of each domain, summed over documents by
+rate, tokens and posterior, should equal the targets.  An iteration sums a few vectors with an entry a domain over all
+documents, and a document's rate follows from its posteriors and the steps so far, so no state per document is kept.
 """
 
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafpress.llm.interning import WordTable, text_chunks
+from leafpress.llm.interning import WordTable, remembered, text_chunks, words_of
 from leafpress.storage import materialize
 
 #: Labelled rows that the classifier is fitted on at most, features it keeps, and hash slots of features.
@@ -28,8 +27,10 @@ FIT_ROWS, FEATURES, SLOTS = 8000, 600, 1 << 18
 #: Domains of a labelled document and the weights its tokens get in the mixture.
 DOMAINS = ("good", "poor", "toxic")
 WEIGHTS = {"good": 0.95, "poor": 0.045, "toxic": 0.005}
-#: Steps at most; shares of all tokens to which targets are met, and below which a step is the last.
-ITERATIONS, TOLERANCE, PROGRESS = 40, 1e-3, 2e-4
+#: Steps at most, and the share of all tokens to which targets are met.
+ITERATIONS, TOLERANCE = 60, 1e-3
+#: Steps that an iteration tries at once: lengths of gradients scaled by the Gram matrix plus so much of its trace.
+STEP_LENGTHS, DAMPING = (0.1, 0.3, 1.0, 2.0, 4.0, 8.0, 16.0), (1e-9, 1e-6, 1e-5, 1e-4, 3e-4, 1e-3, 1e-2, 1e-1)
 _PLAIN = re.compile(rb"[A-Za-z0-9\x80-\xff]+")
 
 
@@ -37,7 +38,6 @@ def _slot(feature: bytes) -> int:
     return xxhash.xxh3_64_intdigest(feature) % SLOTS
 
 
-@cache
 def _word_slots() -> WordTable:
     """Slots of a word in lower case and of the signs around its letters (-1: none); whether it is in capitals."""
 
@@ -45,31 +45,44 @@ def _word_slots() -> WordTable:
         cores = [b"".join(_PLAIN.findall(w)).lower() for w in words]
         signs = [_PLAIN.sub(b"", w) for w in words]
         return (
-            np.array([_slot(b"w" + c) if c else -1 for c in cores], np.int64),
-            np.array([_slot(b"s" + s[:8]) if s else -1 for s in signs], np.int64),
+            np.array([_slot(b"w" + c) if c else -1 for c in cores], np.int32),
+            np.array([_slot(b"s" + s[:8]) if s else -1 for s in signs], np.int32),
             np.array([len(w) > 1 and w.isupper() for w in words], bool),
         )
 
-    return WordTable(learn)
+    return remembered("domain features", lambda: WordTable(learn))
 
 
-def _features(texts: list[bytes | None]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct feature slots of each text, and its number of words (runs of signs other than ASCII white space)."""
-    words = [t.split() if t else [] for t in texts]
+def _named(name: bytes, values: np.ndarray) -> np.ndarray:
+    """Slots of a feature's values, small whole numbers."""
+    kinds, at = np.unique(values, return_inverse=True)
+    return np.array([_slot(b"%s%d" % (name, v)) for v in kinds.tolist()], np.int64)[at]
+
+
+def _features(column: pa.Array, kept: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, feature slot) pairs, each once, by text; and each text's number of words (runs of signs other than ASCII white space).
+
+    With ``kept``, slots where it is negative are left out.
+    """
+    spans = words_of(column)
+    n, tokens = len(column), spans.counts
     table = _word_slots()
-    rows = table.rows([w for x in words for w in x])
-    out, at = [], 0
-    for x in words:
-        r = rows[at : at + len(x)]
-        at += len(x)
-        if not len(r):
-            out.append(np.array([_slot(b"empty")]))
-            continue
-        core, sign, capital = (f[r] for f in table.fields)
-        kinds = len(np.unique(r))
-        shape = [_slot(b"size%d" % int(np.log2(len(r)) // 2)), _slot(b"kinds%d" % int(4 * kinds / len(r))), _slot(b"capitals%d" % int(4 * capital.mean())), _slot(b"signs%d" % int(4 * (sign >= 0).mean()))]
-        out.append(np.unique(np.concatenate([core[core >= 0], sign[sign >= 0], shape])))
-    return out, np.array([len(x) for x in words], np.int64)
+    doc, some = spans.of_text(), np.flatnonzero(tokens)
+    pairs = [np.stack([np.flatnonzero(tokens == 0), np.full(n - len(some), _slot(b"empty"))])]
+    if len(doc):
+        rows = table.rows(spans)
+        core, sign, capital = (f[rows] for f in table.fields)
+        different = np.sort((doc << 32) | rows)
+        different = different[np.r_[True, different[1:] != different[:-1]]] >> 32
+        share = lambda found: np.bincount(found, minlength=n)[some] / tokens[some]
+        shapes = ((b"size", np.log2(tokens[some]) // 2), (b"kinds", 4 * share(different)), (b"capitals", 4 * share(doc[capital])), (b"signs", 4 * share(doc[sign >= 0])))
+        pairs += [np.stack([some, _named(name, values.astype(np.int64))]) for name, values in shapes]
+        pairs += [np.stack([doc[x >= 0], x[x >= 0]]) for x in (core, sign)]
+    text, slot = np.concatenate(pairs, axis=1)
+    if kept is not None:
+        text, slot = text[kept[slot] >= 0], slot[kept[slot] >= 0]
+    both = np.unique(text * SLOTS + slot)
+    return both // SLOTS, both % SLOTS, tokens
 
 
 @dataclass
@@ -78,13 +91,13 @@ class DomainModel:
     column: np.ndarray  # of each slot, -1 where no feature
     weights: np.ndarray  # feature x domain, the bias last
 
-    def posteriors(self, slots: list[np.ndarray]) -> np.ndarray:
-        logits = np.empty((len(slots), len(self.domains)))
-        for i, s in enumerate(slots):
-            c = self.column[s]
-            logits[i] = self.weights[c[c >= 0]].sum(axis=0) + self.weights[-1]
-        e = np.exp(logits - logits.max(axis=1, keepdims=True, initial=-np.inf)) if len(slots) else logits
-        return e / e.sum(axis=1, keepdims=True)
+    def posteriors(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Of each text, and its number of words."""
+        text, slot, tokens = _features(column, self.column)
+        own = self.weights[self.column[slot]]
+        logits = np.stack([np.bincount(text, own[:, d], len(tokens)) for d in range(len(self.domains))], axis=1) + self.weights[-1]
+        e = np.exp(logits - logits.max(axis=1, keepdims=True, initial=-np.inf))
+        return e / e.sum(axis=1, keepdims=True), tokens
 
 
 def fit_domains(labelled: DataFrame, domain: Column, text_col: str = "text", id_col: str = "doc_id", domains: tuple[str, ...] = DOMAINS, fit_rows: int = FIT_ROWS) -> DomainModel:
@@ -99,8 +112,9 @@ def fit_domains(labelled: DataFrame, domain: Column, text_col: str = "text", id_
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in text_chunks(batch):
-                slots, _ = _features(chunk.column("text").cast(pa.binary()).to_pylist())
-                yield pa.RecordBatch.from_arrays([chunk.column("domain"), pa.array(slots, pa.list_(pa.int32()))], ["domain", "slots"])
+                text, slot, tokens = _features(chunk.column("text"))
+                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(tokens) + 1)).astype(np.int32)), pa.array(slot.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([chunk.column("domain"), lists], ["domain", "slots"])
 
     drawn = rows.where(F.col("draw") <= last).select("text", "domain").mapInArrow(describe, "domain string, slots array<int>").toPandas() if last is not None else None
     k = len(domains)
@@ -141,8 +155,7 @@ def domain_posteriors(df: DataFrame, model: DomainModel, text_col: str = "text",
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in text_chunks(batch):
-                slots, tokens = _features(chunk.column("text").cast(pa.binary()).to_pylist())
-                p = sent.value.posteriors(slots)
+                p, tokens = sent.value.posteriors(chunk.column("text"))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, p.size + 1, p.shape[1], dtype=np.int32)), pa.array(p.ravel()))
                 yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array(tokens), lists], ["doc_id", "tokens", "posterior"])
 
@@ -150,58 +163,88 @@ def domain_posteriors(df: DataFrame, model: DomainModel, text_col: str = "text",
     return rows.mapInArrow(predict, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, tokens long, posterior array<double>")
 
 
-def _rates(p: np.ndarray, steps: np.ndarray) -> np.ndarray:
-    r = np.ones(len(p))
-    for g in steps:
-        r = np.maximum(0.0, r + p @ g)
-    return r
+@dataclass
+class RateSteps:
+    """Projected-gradient steps from rate one; a document's rate follows from its posteriors alone."""
+
+    residuals: np.ndarray  # of each step, by domain: the negative gradient of a document is its posteriors times this
+    moves: np.ndarray  # of each step, by domain: what its posteriors are multiplied with
+    targets: dict[str, tuple[float, float]]  # by domain: (target, reached) tokens
+    converged: bool
+
+    def rates(self, p: np.ndarray) -> np.ndarray:
+        r = np.ones((len(p), 1))
+        for residual, move in zip(self.residuals, self.moves, strict=True):
+            r = _moved(r, p, residual, move[None])
+        return r[:, 0]
+
+
+def _moved(r: np.ndarray, p: np.ndarray, residual: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """A column of rates for each projected step; a rate of zero whose gradient holds it there stays."""
+    held = (r <= 0) & (p @ residual <= 0)[:, None]
+    return np.where(held, 0.0, np.maximum(0.0, r + p @ moves.T))
 
 
 def _posteriors(batch: pa.RecordBatch, domains: int) -> np.ndarray:
     return batch.column("posterior").flatten().to_numpy(zero_copy_only=False).reshape(-1, domains)
 
 
-def solve_rates(members: DataFrame, weights: dict[str, float], total_tokens: float | None = None, iterations: int = ITERATIONS) -> tuple[np.ndarray, dict[str, tuple[float, float]]]:
-    """Steps that lead every document from rate one to its rate, and (target, reached) tokens by domain.
+def solve_rates(members: DataFrame, weights: dict[str, float], total_tokens: float | None = None, iterations: int = ITERATIONS) -> RateSteps:
+    """Nonnegative rates whose expected domain tokens come nearest to ``weights`` times ``total_tokens``.
 
-    Minimises the distance of expected domain tokens from ``weights`` times ``total_tokens`` over rates of at least 0.
-    Without a total, it is the largest, with a margin of a twentieth, for which no domain needs more tokens than it has.
+    Without a total, it is the largest for which no domain needs more tokens than it has, and a twentieth more.  Projected
+    gradient in rates scaled by document length; the gradient is scaled further by the damped inverse of the Gram matrix of
+    documents with a rate above zero.  Each pass over ``members`` tries several dampings and lengths at once, the unscaled step (1 /
+    largest eigenvalue) among them, and the one that comes nearest is taken.  Ends when every domain is within ``TOLERANCE`` of
+    all tokens, or no step shrinks the distance by a thousandth (then ``converged`` says whether targets are met).
     """
     w = np.array(list(weights.values()), float)
     w /= w.sum()
     k = len(w)
 
-    def sums(steps: np.ndarray, gram: bool) -> np.ndarray:
+    def sums(done: RateSteps, residual: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """By move: tokens of each domain after it, and the Gram matrix of documents with a rate above zero then."""
+
         def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = np.zeros((k + 1, k))
+            out = np.zeros((len(moves), k + 1, k))
             for batch in batches:
                 p, t = _posteriors(batch, k), batch.column("tokens").to_numpy().astype(float)
-                out[0] += (t * _rates(p, steps)) @ p
-                if gram:
-                    out[1:] += (p * t[:, None]).T @ p
+                squares = (p[:, :, None] * p[:, None, :]).reshape(len(p), -1)
+                after = _moved(done.rates(p)[:, None], p, residual, moves)
+                out[:, 0] += (t[:, None] * after).T @ p
+                out[:, 1:] += ((t[:, None] * (after > 0)).T @ squares).reshape(-1, k, k)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(out.size, dtype=np.int32)), pa.array(out.ravel())], ["i", "x"])
 
-        found = members.select("tokens", "posterior").mapInArrow(add, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()  # (k + 1) k rows
-        out = np.zeros((k + 1) * k)
+        found = members.select("tokens", "posterior").mapInArrow(add, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()  # moves x (k + 1) k rows
+        out = np.zeros(len(moves) * (k + 1) * k)
         for row in found:
             out[row["i"]] = row["x"]
-        return out.reshape(k + 1, k)
+        out = out.reshape(len(moves), k + 1, k)
+        return out[:, 0], out[:, 1:]
 
-    steps = np.zeros((0, k))
-    first = sums(steps, True)
-    reached, gram = first[0], first[1:]
+    steps = RateSteps(np.zeros((0, k)), np.zeros((0, k)), {}, True)
+    (reached,), (gram,) = sums(steps, np.zeros(k), np.zeros((1, k)))
     has = reached[w > 0] / w[w > 0]
     total = float(total_tokens) if total_tokens is not None else 1.05 * float(has[has > 0].min(initial=np.inf) if (has > 0).any() else 0.0)
     target = w * total
-    inverse = np.linalg.pinv(gram + 1e-9 * np.trace(gram) * np.eye(k))
+    met = lambda x: bool(np.abs(x - target).max() <= TOLERANCE * max(total, 1.0))
     for _ in range(iterations):
-        if not reached.sum() or np.abs(reached - target).max() <= TOLERANCE * max(total, 1.0):
+        residual = target - reached
+        size = np.trace(gram)
+        if met(reached) or not size > 0:
             break
-        steps = np.vstack([steps, inverse @ (target - reached)])
-        was, reached = reached, sums(steps, False)[0]
-        if np.abs(reached - was).max() <= PROGRESS * max(total, 1.0):
+        scaled = [np.linalg.solve(gram + d * size * np.eye(k), residual) for d in DAMPING]
+        moves = np.stack([*(x * length for x in scaled for length in STEP_LENGTHS), residual / np.linalg.eigvalsh(gram)[-1]])
+        tried, grams = sums(steps, residual, moves)
+        far = np.linalg.norm(target - tried, axis=1)
+        best = int(far.argmin())
+        if far[best] > 0.999 * np.linalg.norm(residual):
             break
-    return steps, {d: (float(t), float(x)) for d, t, x in zip(weights, target, reached, strict=True)}
+        steps.residuals, steps.moves = np.vstack([steps.residuals, residual]), np.vstack([steps.moves, moves[best]])
+        reached, gram = tried[best], grams[best]
+    steps.targets = {d: (float(t), float(x)) for d, t, x in zip(weights, target, reached, strict=True)}
+    steps.converged = met(reached) or not reached.sum()
+    return steps
 
 
 def mix(df: DataFrame, model: DomainModel, weights: dict[str, float] = WEIGHTS, total_tokens: float | None = None, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -209,15 +252,18 @@ def mix(df: DataFrame, model: DomainModel, weights: dict[str, float] = WEIGHTS,
 
     ``copies`` rounds the rate by a hash of the id, so its expectation is the rate and a rerun decides alike.  Null or
     empty text: no tokens, a rate like that of any such document.  Repeated rows get equal rates; null ids one common draw;
-    other columns are ignored; an empty table gives no rows.
+    other columns are ignored; an empty table gives no rows.  Targets that nonnegative rates cannot reach are approached as near as
+    they can be, with a warning that names them.
     """
     members = materialize(domain_posteriors(df, model, text_col, id_col), "members")
-    steps, _ = solve_rates(members, weights, total_tokens)
+    steps = solve_rates(members, weights, total_tokens)
+    if not steps.converged:
+        warnings.warn(f"mixing targets not met, (target, reached) tokens: {steps.targets}", stacklevel=2)
 
     def rate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = _posteriors(batch, len(weights))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tokens"), *(pa.array(np.ascontiguousarray(p[:, i])) for i in range(len(weights))), pa.array(_rates(p, steps))], ["doc_id", "tokens", *(f"p_{d}" for d in weights), "rate"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tokens"), *(pa.array(np.ascontiguousarray(p[:, i])) for i in range(len(weights))), pa.array(steps.rates(p))], ["doc_id", "tokens", *(f"p_{d}" for d in weights), "rate"])
 
     shares = "".join(f", p_{d} double" for d in weights)
     kind = members.schema["doc_id"].dataType.simpleString()

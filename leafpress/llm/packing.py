@@ -93,7 +93,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for chunk in text_chunks(batch):
-                ids, sizes = word_encoder(tokenizer).encode_with_end(chunk.column("text").to_pylist(), end_id)
+                ids, sizes = word_encoder(tokenizer).encode_with_end(chunk.column("text"), end_id)
                 pieces = -(-sizes // capacity)
                 doc = np.repeat(np.arange(len(sizes)), pieces)
                 number = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)

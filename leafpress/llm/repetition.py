@@ -4,15 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafpress.llm.interning import WordTable, text_chunks
+from leafpress.llm.interning import text_chunks, words_of
 
 #: n-gram lengths, and the share of word characters that duplicated ones of that length may cover (fixed values of
 #: published web-corpus rules); then the share of characters in duplicated lines.
@@ -32,11 +30,6 @@ def code_points(text: bytes) -> int:
     return len(text.translate(None, _TAILS))
 
 
-@cache
-def _words() -> WordTable:
-    return WordTable(lambda words: (np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), np.fromiter(map(code_points, words), np.int64, len(words))))
-
-
 def rolling(hashes: np.ndarray, n: int) -> np.ndarray:
     """A 64-bit hash of each window of ``n`` words."""
     out = np.zeros(max(0, len(hashes) - n + 1), np.uint64)
@@ -111,11 +104,12 @@ def repetition_readings(df: DataFrame, text_col: str = "text", id_col: str = "do
         for batch in batches:
             for chunk in text_chunks(batch):
                 texts = [t or b"" for t in chunk.column("text").cast(pa.binary()).to_pylist()]
-                words = [t.split() for t in texts]
-                rows = _words().rows([w for x in words for w in x])
-                hashes, chars = (f[rows] for f in _words().fields) if len(rows) else (np.empty(0, np.uint64), np.empty(0, np.int64))
-                ends = np.cumsum([len(x) for x in words])
-                found = [measure(t, hashes[e - len(x) : e], chars[e - len(x) : e]) for t, x, e in zip(texts, words, ends.tolist(), strict=True)]
+                words = words_of(chunk.column("text"))
+                hashes = words.hashes()
+                points = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80)])
+                chars = points[words.starts + words.sizes] - points[words.starts]
+                ends = np.cumsum(words.counts)
+                found = [measure(t, hashes[a:e], chars[a:e]) for t, a, e in zip(texts, (ends - words.counts).tolist(), ends.tolist(), strict=True)]
                 columns = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], ["doc_id", *names])
 

@@ -62,7 +62,7 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
         part, start = TaskContext.get().partitionId(), 0
         for batch in batches:
             for chunk in text_chunks(batch):
-                ids, sizes = word_encoder(tokenizer).encode_with_end(chunk.column("text").to_pylist(), end_id)
+                ids, sizes = word_encoder(tokenizer).encode_with_end(chunk.column("text"), end_id)
                 ends = start + np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sizes), part, np.int32)), chunk.column("doc_id"), pa.array(ends - sizes), pa.array(sizes), list_array(ids, sizes, pa.int32())], ["part", "doc_id", "start_in_part", "n_tokens", "tokens"])
                 start = int(ends[-1])

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -37,7 +38,7 @@ def test_word_encoder_equals_the_tokenizer():
     rnd = random.Random(1)
     signs = [*"ab' .,\n12_-é’ñß²½　中ф\t\xa0 Ạ\x1c\0Z", "  ", "\n\n", " '", "'s", "'ll", "\U0001f600", "<|endoftext|>"]
     texts = ODD + ["".join(rnd.choice(signs) for _ in range(rnd.randint(1, 25))) for _ in range(3000)]
-    ids, counts = ours.encode(texts)
+    ids, counts = ours.encode(pa.array(texts))
     at = 0
     for t, n in zip(texts, counts, strict=True):
         assert ids[at : at + n].tolist() == whole.encode(t or "", add_special_tokens=False).ids, repr(t)
@@ -258,6 +259,7 @@ def test_quality_rules(spark):
 def test_kneser_ney_sums_to_one():
     words = ["banana", "bandana", "cab", "abc", "nab"]
     model = langid.LanguageModels(["x"], [langid.CharModel.fit(words, np.array([3.0, 1, 2, 1, 1]))], np.array([9.0]))
+    model.merge()
     assert np.isfinite(model.words(["", "b", "ban", "zz", "x" * 500])[0]).all()
     letters = sorted({c for w in words for c in w})
     grams = dict(zip(model.models[0].grams[0].tolist(), model.models[0].probabilities[0].tolist(), strict=True))
@@ -343,11 +345,31 @@ def test_mixing_meets_targets(spark):
     rnd = np.random.default_rng(1)
     p = rnd.dirichlet([0.3, 0.3, 0.3], 3000)
     members = spark.createDataFrame(pd.DataFrame({"doc_id": range(3000), "tokens": rnd.integers(0, 500, 3000), "posterior": p.tolist()}))
-    steps, totals = mixing.solve_rates(members, {"a": 0.5, "b": 0.3, "c": 0.2}, total_tokens=400_000)
-    rates = mixing._rates(p, steps)
-    assert (rates >= 0).all()
-    assert all(abs(t - x) <= 0.002 * 400_000 for t, x in totals.values())
-    assert mixing.solve_rates(members.limit(0), {"a": 1.0, "b": 1.0, "c": 1.0})[0].shape[1] == 3
+    steps = mixing.solve_rates(members, {"a": 0.5, "b": 0.3, "c": 0.2}, total_tokens=400_000)
+    assert steps.converged and (steps.rates(p) >= 0).all()
+    assert all(abs(t - x) <= 0.002 * 400_000 for t, x in steps.targets.values())
+    nothing = mixing.solve_rates(members.limit(0), {"a": 1.0, "b": 1.0, "c": 1.0})
+    assert len(nothing.moves) == 0 and nothing.converged
+
+
+@pytest.mark.parametrize("seed, weights, share", [(0, (0.95, 0.045, 0.005), 0.4), (1, (0.2, 0.2, 0.6), 1.0), (2, (0.999, 0.0, 0.001), 1.0), (3, (1.0, 0.0, 0.0), 0.5)])
+def test_rates_against_an_independent_solver(spark, seed, weights, share):
+    """Within 200 documents, no other nonnegative rates come nearer to the targets, whether these can be met or not."""
+    rnd = np.random.default_rng(seed)
+    p = rnd.dirichlet([1.5, 0.3, 0.1], 200)
+    t = rnd.integers(1, 900, 200).astype(float)
+    members = spark.createDataFrame(pd.DataFrame({"doc_id": range(200), "tokens": t.astype(int), "posterior": p.tolist()}))
+    target = np.array(weights) * share * t.sum()
+    steps = mixing.solve_rates(members, dict(zip("abc", weights, strict=True)), total_tokens=share * t.sum())
+    rates = np.ones(200)  # plain projected gradient, accelerated, without any scaling by a Gram matrix
+    a = np.sqrt(t)[:, None] * p
+    u = v = np.sqrt(t)
+    for k in range(20000):
+        new = np.maximum(0, v - a @ (v @ a - target) / np.linalg.eigvalsh(a.T @ a)[-1])
+        u, v = new, new + k / (k + 3) * (new - u)
+    rates = u / np.sqrt(t)
+    least, ours = (np.linalg.norm((r * t) @ p - target) for r in (rates, steps.rates(p)))
+    assert ours <= least + 0.002 * target.sum() and steps.converged == (np.abs((steps.rates(p) * t) @ p - target).max() <= mixing.TOLERANCE * target.sum())
 
 
 def test_mixing_prefers_what_is_labelled_good(spark):
