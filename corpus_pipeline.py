@@ -21,10 +21,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each near-duplicate group stays (five words, similarity 0.8); a repeated row stays once."""
+    """The smallest id of each near-duplicate group stays (five words, similarity 0.8); a repeated row stays once.
+
+    Rows with one id and different texts are separate documents of that id: each of these texts stays.
+    """
     kept = minhash.near_duplicates(docs, words_in=5, percent=80).where("kept").select("doc_id").distinct()
     null_ids = docs.where("doc_id is null")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(null_ids).select(*COLUMNS)
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(null_ids).select(*COLUMNS)
 
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,11 +37,12 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay with their rate as probability (none is repeated), so that good ones stay and toxic ones go."""
+    """As many copies of each document as its rate says: none of most toxic ones, several where a domain needs more than it has."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
     model = mixing.fit_domains(docs.select("doc_id", "text").join(labels, "doc_id"), mixing.label_domain())
-    chosen = mixing.mix(docs, model).where("copies > 0").select("doc_id").distinct()
-    return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi").select(*COLUMNS)
+    copies = mixing.mix(docs, model).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies"))
+    chosen = docs.alias("d").join(copies.alias("c"), F.expr("d.doc_id <=> c.doc_id")).withColumn("copy", F.explode(F.expr("sequence(1, c.copies)")))
+    return chosen.select(*(f"d.{c}" for c in COLUMNS))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only where it is unset (tests), a temporary one."""
+    """The folder named by ``spark.checkpoint.dir``, which driver and executors must share."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="leafpress-")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="leafpress-")  # one machine: driver and executor are one process
         spark.conf.set("spark.checkpoint.dir", found)
-        spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
