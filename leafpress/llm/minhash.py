@@ -38,6 +38,7 @@ SHORT_LIST = 16
 PIVOTS = 4
 #: Members of a long list that meet in one group at most, and ids that are broadcast at most.
 BLOCK, SENT_IDS = 512, 1_000_000
+_STEP = np.uint64(0xD6E8FEB86659FD93)
 _LANES = COUNTED * BITS // 64
 
 
@@ -65,7 +66,8 @@ def shingle_sets(column: pa.Array, words_in: int) -> list[np.ndarray]:
     ends = np.cumsum(n)
     s = np.zeros(max(0, len(h) - words_in + 1), np.uint64)
     for k in range(words_in):
-        s = mix(s * np.uint64(0xD6E8FEB86659FD93) + h[k : k + len(s)] + np.uint64(k + 1))
+        s = s * _STEP + h[k : k + len(s)]
+    s = mix(s + np.uint64(words_in))
     out = []
     for a, e in zip((ends - n).tolist(), ends.tolist(), strict=True):
         if e - a >= words_in:
@@ -74,8 +76,8 @@ def shingle_sets(column: pa.Array, words_in: int) -> list[np.ndarray]:
         else:
             x = np.zeros(min(1, e - a), np.uint64)
             for k in range(e - a):
-                x = mix(x * np.uint64(0xD6E8FEB86659FD93) + h[a + k] + np.uint64(k + 1))
-            out.append(x)
+                x = x * _STEP + h[a + k]
+            out.append(mix(x + np.uint64(e - a)))
     return out
 
 
