@@ -218,11 +218,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = signed.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), *(F.first(c).alias(c) for c in ("sig", "lanes", "odd")))
     nodes = materialize(nodes.withColumnRenamed("digest", "node"), "nodes")
     wanted = percent / 100
-    posted = materialize(prefixes(nodes, match_threshold(COORDINATES, wanted)), "prefixes").select(F.explode("prefix").alias("key"), "node")
+    prefixed = materialize(prefixes(nodes, match_threshold(COORDINATES, wanted)), "prefixes")
+    posted = prefixed.select(F.posexplode("prefix").alias("place", "key"), "node")
     matches = match_threshold(COUNTED, wanted + (1 - wanted) / (1 << BITS))
     # Posting lists with two members or more; in short ones, every pair
-    few = posted.join(posted.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key")
-    few = materialize(few.join(nodes.select("node", "n", *(F.get("lanes", F.lit(k)).alias(f"s{k}") for k in range(_LANES))), "node"), "lists")
+    sizes = materialize(posted.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    few = materialize(posted.join(sizes, "key").join(nodes.select("node", "n", *(F.get("lanes", F.lit(k)).alias(f"s{k}") for k in range(_LANES))), "node"), "lists")
     short, long_ = few.where(f"size <= {SHORT_LIST}"), few.where(f"size > {SHORT_LIST}")
     near = _pairs(short, short, "x.key = y.key and x.node < y.node", percent, matches)
     # In long ones, each member with the most central ones: those whose lists are longest
@@ -232,7 +233,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     starred = _pairs(long_, pivots, "x.key = y.key and x.node <> y.node", percent, matches)
     links = _links(docs, nodes, near.union(starred).distinct(), id_col, text_col, words_in, percent)
     labels = connected_components(links)
-    apart = _apart(long_, nodes, labels, percent, matches)
+    apart = _apart(long_, prefixed, nodes, labels, percent, matches)
     if apart.limit(1).count():
         links = links.union(_links(docs, nodes, apart, id_col, text_col, words_in, percent))
         labels = connected_components(links)
@@ -245,30 +246,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(found, "digest", "left").selectExpr("doc_id", "n_shingles", "coalesce(least, doc_id) as component_id", "coalesce(doc_id = coalesce(least, doc_id), true) as kept")
 
 
-def _pairs(x: DataFrame, y: DataFrame, rule: str, percent: int, matches: int) -> DataFrame:
-    """(a, b), a before b, of postings that obey ``rule`` and may link."""
-    rows = x.alias("x").join(y.alias("y"), F.expr(rule) & _may_link("x.", "y.", percent, matches))
+def _pairs(x: DataFrame, y: DataFrame, rule: str, percent: int, matches: int, last: str = "true") -> DataFrame:
+    """(a, b), a before b, of postings that obey ``rule``, may link, and obey ``last``, which is looked at last."""
+    rows = x.alias("x").join(y.alias("y"), F.expr(rule) & _may_link("x.", "y.", percent, matches) & F.expr(last))
     return rows.selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b")
 
 
-def _apart(long_: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, matches: int) -> DataFrame:
+def _apart(long_: DataFrame, prefixed: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, matches: int) -> DataFrame:
     """Pairs (a, b) of members of a long list that are not connected yet and may link.
 
     Members outside a list's largest component meet all its members, in groups of a block of the ones and a block of the
-    others, so that no group grows with a list.  Pairs whose parities differ in more shingles than linked sets can are dropped.
+    others, so that no group grows with a list.  A pair is looked at in the first list that both are in.  Pairs whose parities differ
+    in more shingles than linked sets can are dropped.
     """
-    rows = long_.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = long_.select("key", "place", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = materialize(rows, "members")
     largest = rows.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.max("n").alias("n"), F.sum("n").alias("members")).where("n < members")
-    rows = materialize(rows.join(largest.selectExpr("key", "largest", f"cast(ceil((members - n) / {BLOCK}) as int) as p_blocks", f"cast(ceil(members / {BLOCK}) as int) as q_blocks"), "key"), "mixed")
+    blocks = materialize(largest.selectExpr("key", "largest", f"cast(ceil((members - n) / {BLOCK}) as int) as p_blocks", f"cast(ceil(members / {BLOCK}) as int) as q_blocks"), "blocks")
+    about = prefixed.join(nodes.select("node", "n", "odd", *(F.get("lanes", F.lit(k)).alias(f"s{k}") for k in range(_LANES))), "node")
+    rows = materialize(rows.join(blocks, "key").join(about, "node").withColumn("earlier", F.expr("slice(prefix, 1, place)")).drop("prefix"), "mixed")
     x = rows.where("component <> largest").selectExpr("*", "cast(pmod(xxhash64(node, 1), p_blocks) as int) as p", "explode(sequence(0, q_blocks - 1)) as q")
     y = rows.selectExpr("*", "cast(pmod(xxhash64(node, 2), q_blocks) as int) as q", "explode(sequence(0, p_blocks - 1)) as p")
     rule = "x.key = y.key and x.p = y.p and x.q = y.q and x.component <> y.component and (y.component = y.largest or x.node < y.node)"
-    pairs = materialize(_pairs(x, y, rule, percent, matches).distinct(), "apart")
-    for end in ("a", "b"):
-        pairs = pairs.join(nodes.selectExpr(f"node as {end}", f"n as n_{end}", f"odd as odd_{end}"), end)
-    differ = "aggregate(zip_with(odd_a, odd_b, (p, q) -> bit_count(p ^ q)), 0, (s, n) -> s + n)"
-    # 100 * common >= percent * union, where n_a + n_b = union + common and the sets differ in union - common
-    return materialize(pairs.where(f"(100 + {percent}) * {differ} <= (100 - {percent}) * (n_a + n_b)").select("a", "b"), "close")
+    # 100 * common >= percent * union, where x.n + y.n = union + common and the sets differ in union - common
+    differ = "aggregate(zip_with(x.odd, y.odd, (p, q) -> bit_count(p ^ q)), 0, (s, n) -> s + n)"
+    last = f"not arrays_overlap(x.earlier, y.earlier) and (100 + {percent}) * {differ} <= (100 - {percent}) * (x.n + y.n)"
+    return materialize(_pairs(x, y, rule, percent, matches, last).distinct(), "apart")
 
 
 def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, id_col: str, text_col: str, words_in: int, percent: int) -> DataFrame:

@@ -57,12 +57,10 @@ def find_pii(df: DataFrame, text_col: str = "text", out: str = "pii") -> DataFra
     """Add ``out``: an array of (kind, start, end, score, value), by kind as in ``KINDS`` and then by start.
 
     Offsets count code points, the end is exclusive.  Null or empty text: an empty array.  All input columns
-    stay (one named ``out`` is replaced); repeated rows are treated alike; an empty table stays empty.
+    stay, whatever their names (one named ``out`` is replaced); repeated rows are treated alike; an empty table stays empty.
     """
     names = df.columns
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    if not set(names).isdisjoint({"__row", "__found", "__text"}):
-        raise ValueError("columns __row, __found and __text are reserved")
     staged = df.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("__row"), text.alias("__text"))
     empty = F.array().cast("array<string>")
     staged = staged.select("*", *(F.when(F.col("__text").rlike(k.gate), F.regexp_extract_all("__text", F.lit(k.pattern), 0)).otherwise(empty).alias(f"m_{k.name}") for k in KINDS))
