@@ -18,7 +18,7 @@ SHORT = 15
 #: Longer words are never remembered, nor are words of over ``SHORT`` bytes once they take so many bytes together.
 LONGEST_WORD, LONG_BYTES = 200, 24_000_000
 #: Bytes of text that are turned into words at once.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 
 _LOW = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 _ONE, _BITS = np.uint64(1), np.uint64(63)

@@ -82,8 +82,6 @@ TEMPLATES = {
     ],
     "all-rights-reserved": ["Copyright * All rights reserved.", "All rights reserved."],
 }
-#: Every template holds one of these; a block without any can match none.
-GATE = r"(?i)licen[sc]e|permission is hereby|redistribution and use|public domain|rights reserved|legal code"
 #: Words that may differ without changing what is granted: wording around the license's name.
 _LIGHT = frozenset("this work is released licensed under the a an of by to and in with or code file software source form terms subject".split())
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
@@ -94,6 +92,15 @@ def words_of(text: str) -> list[str]:
     return [m[0].lower() for m in _WORD.finditer(text)]
 
 
+def _gate() -> str:
+    """A pattern that every confirmed block matches: of each template, the longest word that must stand in the block."""
+    needed = {max((w for w in words_of(t.replace("*", " ")) if w not in _LIGHT), key=lambda w: (w[0].isalpha(), len(w), w)) for group in TEMPLATES.values() for t in group}
+    return "(?i)(?<![A-Za-z0-9])(?:" + "|".join(re.escape(w) for w in sorted(needed)) + ")(?![A-Za-z0-9])"
+
+
+GATE = _gate()
+
+
 @cache
 def _compressors() -> tuple[zstandard.ZstdCompressor, list[tuple[str, str, list[list[str]], zstandard.ZstdCompressor]]]:
     options = {"level": 9, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
@@ -184,7 +191,7 @@ def license_scan(df: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     """A row per confirmed license of a block: ``doc_id`` and the columns of ``SCHEMA``.
 
     ``start`` and ``end`` are code points; a paragraph is reported only for licenses that none of its lines has.  Blocks
-    without any gate word cannot match and are not compressed.  Null or empty text: no rows.  Null and repeated ids pass through;
+    that lack a word which each template needs one of cannot be confirmed and are not compressed.  Null or empty text: no rows.  Null and repeated ids pass through;
     other columns are ignored; an empty table gives no rows.
     """
 

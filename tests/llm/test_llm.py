@@ -267,6 +267,31 @@ def test_kneser_ney_sums_to_one():
     assert abs(sum(grams.values()) + model.models[0].floor - 1) < 1e-9
 
 
+def test_letter_runs_are_what_the_pattern_finds():
+    rnd = random.Random(3)
+    texts = ODD + ["".join(rnd.choice([*"aZ '1_.-\n×÷Éßÿºª²µŁΣσ中٣", " x", "İ"]) for _ in range(rnd.randint(0, 12))) for _ in range(2000)]
+    for group in (texts, [t for t in texts if t is not None and t.encode("utf-8").isascii()], [t for t in texts if t is not None and all(c < "Ā" and not "\x7f" < c < "À" for c in t)]):
+        spans, letters = langid.letter_runs(pa.array(group, pa.string()))
+        words = [w.decode() for w in spans.bytes_of(np.arange(len(spans.starts)))]
+        ends = np.cumsum(spans.counts)
+        for t, a, e, has in zip(group, (ends - spans.counts).tolist(), ends.tolist(), letters.tolist(), strict=True):
+            assert words[a:e] == re.findall(r"[^\W\d_]+", (t or "").lower()) and has == any(c.isalpha() for c in (t or "")), repr(t)
+
+
+def test_clashing_names_and_repeated_rows(spark):
+    """Operators that keep all columns, on names that they use themselves."""
+    df = docs(spark, ["Mail a@b.co now", "Mail a@b.co now", None]).withColumns({c: F.lit(c) for c in ("__text", "__row", "__found", "__found0", "m_email", "spans", "node", "key")})
+    found = pii.find_pii(df).toPandas()
+    assert [len(x) for x in found.sort_values("doc_id").pii] == [1, 1, 0] and set(df.columns) < set(found.columns)
+    named = langid.identify(df, langid.fit(df)).toPandas()
+    assert len(named) == 3 and set(df.columns) < set(named.columns) and (named.m_email == "m_email").all()
+    twice = df.unionByName(df)
+    assert len(licenses.license_scan(docs(spark, ["MIT License"] * 2)).collect()) in (0, 2)
+    assert repetition.quality_rules(twice).count() == 6 and minhash.near_duplicates(twice).count() == 6
+    pieces = packing.token_pieces(twice)
+    assert pieces.count() == 6
+
+
 def test_language_id(spark):
     en, fr = "the cat sat on the mat with a hat and then it went away", "le chat est assis sur le tapis avec un chapeau et puis il est parti"
     rnd = random.Random(6)
@@ -303,6 +328,18 @@ def licenses_in(text):
     return sorted(r[3] for r in licenses.scan_text(text, re.compile(licenses.GATE)))
 
 
+def test_the_gate_drops_no_notice():
+    """With and without the gate, the same licenses in lines made of pieces of notices."""
+    rnd = random.Random(12)
+    notices = [t.replace("*", "2024 Acme") for group in licenses.TEMPLATES.values() for t in group] + ["Released under CC BY-NC 4.0.", "mit", "we license it", "Version 2.0", "all of it is reserved"]
+    gate, none = re.compile(licenses.GATE), re.compile("")
+    for _ in range(150):
+        text = "\n".join(rnd.choice(["", "so "]) + " ".join(t if rnd.random() < 0.6 else " ".join(w for w in t.split() if rnd.random() < 0.8) for t in rnd.sample(notices, rnd.randint(1, 2))) for _ in range(rnd.randint(1, 3)))
+        found = {(r[3], r[1]) for r in licenses.scan_text(text, none)}
+        assert {n for n, _ in found} == {r[3] for r in licenses.scan_text(text, gate)}, text
+    assert licenses_in("Released under CC BY-NC 4.0.") == ["CC-BY-NC-4.0"]
+
+
 def test_license_after_other_words():
     """Light words far from a notice do not widen it; headers and openings of the license texts count."""
     header = "# This {} is free software{} you can redistribute it and/or modify\n# it under the terms of the GNU {}General Public License as published by\n# the Free Software Foundation{} either version {} of the License, or"
