@@ -3,13 +3,14 @@
 Writing: each task writes one archive of gzip members, a record each, beside its final name and moves it there when
 complete, so a lost attempt leaves nothing that a reader sees.  Reading: the driver lists the files and plans them into
 partitions; predicates on record type and headers are pushed into the reader, which parses a record's headers first and
-neither inflates nor decodes the payload of a record that fails them, or any payload when no payload column is asked for.
+seeks past a record that fails them, and past every payload when no payload column is asked for, without inflating it.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -27,7 +28,7 @@ from leafpress.storage import new_path
 SCHEMA = "file string, record_id string, record_type string, target_uri string, date string, refers_to string, payload_digest string, payload_length long, content_length long, payload binary, digest_ok boolean"
 #: Header of each column that a predicate can be pushed to.
 HEADERS = {"record_id": "warc-record-id", "record_type": "warc-type", "target_uri": "warc-target-uri", "date": "warc-date", "refers_to": "warc-refers-to", "payload_digest": "warc-payload-digest"}
-_READ = 1 << 20
+_READ = 1 << 18
 _BATCH_BYTES, _BATCH_ROWS = 8 << 20, 2000
 
 
@@ -40,12 +41,19 @@ def _open_fs(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
 
 
+#: Extra field of a gzip header that holds the member's length, so that a reader may skip it unread.  Other tools ignore it.
+_EXTRA = b"LM"
+
+
 def record(fields: dict[str, str | None], block: bytes) -> bytes:
-    """One record as a gzip member whose headers and block are separate deflate runs."""
+    """One record as a gzip member whose headers and block are separate deflate runs, and whose length its header tells."""
     lines = [f"{k}: {quote(v, safe=' !#$%&()*+,-./:;<=>?@[]^_{|}~') if k == 'WARC-Target-URI' else v}" for k, v in fields.items() if v is not None]
     head = ("WARC/1.1\r\n" + "\r\n".join(lines) + f"\r\nContent-Length: {len(block)}\r\n\r\n").encode()
-    packer = zlib.compressobj(3, zlib.DEFLATED, 31)
-    return packer.compress(head) + packer.flush(zlib.Z_FULL_FLUSH) + packer.compress(block + b"\r\n\r\n") + packer.flush()
+    packer, tail = zlib.compressobj(3, zlib.DEFLATED, -15), block + b"\r\n\r\n"
+    body = packer.compress(head) + packer.flush(zlib.Z_FULL_FLUSH) + packer.compress(tail) + packer.flush()
+    check = struct.pack("<II", zlib.crc32(tail, zlib.crc32(head)), (len(head) + len(tail)) & 0xFFFFFFFF)
+    start = b"\x1f\x8b\x08\x04" + bytes(5) + b"\xff" + struct.pack("<H2sHQ", 12, _EXTRA, 8, 24 + len(body) + len(check))
+    return start + body + check
 
 
 class Committed(WriterCommitMessage):
@@ -93,34 +101,56 @@ class Files(InputPartition):
         self.paths = paths
 
 
-class _Member:
-    """A file of gzip members: parses a member's header lines, then reads or skips the rest of it."""
+class _Members:
+    """A file of gzip members: parses a member's header lines, then reads or skips the rest of it.
+
+    ``bytes_read`` counts what is read of the file.  A member that tells its length is skipped by seeking; others are inflated
+    to their end, piece by piece, and dropped.
+    """
+
+    def __init__(self, file: pa.NativeFile):
+        self.file, self.size, self.at = file, file.size(), 0  # where ``raw`` begins
+        self.raw, self.bytes_read, self.ends = b"", 0, None
 
-    def __init__(self, stream):
-        self.stream, self.raw, self.packer = stream, b"", None
+    def _more(self) -> bool:
+        """Read on behind ``raw``."""
+        data = self.file.read_at(min(_READ, self.size - self.at - len(self.raw)), self.at + len(self.raw))
+        self.raw += data
+        self.bytes_read += len(data)
+        return bool(data)
 
     def _inflate(self, most: int = 0) -> bytes | None:
         """The next bytes of this member, None at its end."""
         while True:
             if self.packer.eof:
-                self.raw = self.packer.unused_data
+                self._drop(len(self.raw) - len(self.packer.unused_data))
                 return None
-            held = self.packer.unconsumed_tail or self.raw or self.stream.read(_READ)
-            self.raw = b""
-            if not held:
-                raise EOFError("a record is cut short")
-            if data := self.packer.decompress(held, most):
+            if held := self.packer.unconsumed_tail:
+                data = self.packer.decompress(held, most)
+            else:
+                self._drop(len(self.raw))
+                if not self._more():
+                    raise EOFError("a record is cut short")
+                data = self.packer.decompress(self.raw, most)
+            if data:
                 return data
 
+    def _drop(self, n: int) -> None:
+        self.at, self.raw = self.at + n, self.raw[n:]
+
     def headers(self) -> dict[str, str] | None:
-        if not self.raw and not (next_bytes := self.stream.read(_READ)):
+        while len(self.raw) < 24 and self.at + len(self.raw) < self.size:
+            self._more()
+        if not self.raw:
             return None
-        self.raw = self.raw or next_bytes
+        told = self.raw[:2] == b"\x1f\x8b" and len(self.raw) >= 24 and self.raw[3] & 4 and self.raw[12:14] == _EXTRA
+        self.ends = self.at + struct.unpack("<Q", self.raw[16:24])[0] if told else None
         self.packer, self.held = zlib.decompressobj(31), b""
+        data = self.packer.decompress(self.raw, 4096)
         while b"\r\n\r\n" not in self.held:
-            if (data := self._inflate(4096)) is None:
-                raise EOFError("a record has no end of headers")
             self.held += data
+            if b"\r\n\r\n" not in self.held and (data := self._inflate(4096)) is None:
+                raise EOFError("a record has no end of headers")
         head, _, self.held = self.held.partition(b"\r\n\r\n")
         lines = (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n")[1:])
         return {k.strip().lower(): v.strip() for k, _, v in lines}
@@ -132,9 +162,14 @@ class _Member:
         return b"".join(parts)[:length]
 
     def skip(self) -> None:
-        """To the next member; what is inflated on the way is dropped piece by piece, never joined or decoded."""
-        while self._inflate(1 << 16) is not None:
-            pass
+        """To the next member."""
+        if self.ends is None:
+            while self._inflate(1 << 16) is not None:
+                pass
+        elif self.ends <= self.at + len(self.raw):
+            self._drop(self.ends - self.at)
+        else:
+            self.at, self.raw = self.ends, b""
 
 
 class WarcReader(DataSourceReader):
@@ -173,8 +208,8 @@ class WarcReader(DataSourceReader):
         schema = pa.schema([(n, types.get(n, pa.string())) for n in self.names])
         rows, held = [], 0
         for path in partition.paths:
-            with system.open_input_stream(path, compression=None) as stream:
-                member = _Member(stream)
+            with system.open_input_file(path) as file:
+                member = _Members(file)
                 while (head := member.headers()) is not None:
                     if not self._passes(head):
                         member.skip()
