@@ -407,19 +407,15 @@ def _norm(c: str) -> str:
 
 _GRAMS = "case when length({0}) < 2 then [{0}] else list_distinct(list_transform(range(1, length({0})), lambda i: substr({0}, i, 2))) end"
 _LEX = f"""
-    q as (select item_id as query_id, substr({_norm("text")}, 1, 24) as nq from benchmark),
+    q as (select item_id as query_id, {_norm("text")} as nq from benchmark),
     bl as (select conv_id as record_id, turn as block_id, {_norm("text")} as nt from conversations),
     qg as (select query_id, nq, {_GRAMS.format("nq")} as g from q), bg as (select record_id, block_id, nt, unnest({_GRAMS.format("nt")}) as gram from bl),
     sh as (select a.query_id, b.record_id, b.block_id, count(*) as c, any_value(contains(b.nt, a.nq)) as whole, any_value(a.n) as n from (select query_id, nq, len(g) as n, unnest(g) as gram from qg) a join bg b using (gram) group by 1, 2, 3),
     lex as (select query_id, record_id, max(c / cast(n as double) + case when whole then 1 else 0 end) as score, min(block_id) as tie from sh group by 1, 2)"""
 
 
-def _head(c: str) -> Column:
-    return F.substring(T.norm(c), 1, 24)
-
-
-def _queries(spark: SparkSession, sf_dir: str, cut: Callable[[str], Column] = _head) -> DataFrame:
-    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), cut("text").alias("q"))
+def _queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), T.norm("text").alias("q"))
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -432,7 +428,7 @@ def lexical_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SEARCH = f"""{_LEX},
-    ks as (select conv_id as record_id, conv_id as ord, substr({_norm("text")}, 1, 24) as key from conversations where turn = 0),
+    ks as (select conv_id as record_id, conv_id as ord, {_norm("text")} as key from conversations where turn = 0),
     ex as (select query_id, record_id, 1.0 as score, min(ord) as tie from q join ks on ks.key = q.nq group by 1, 2),
     rk as (select query_id, record_id, 0 as layer, row_number() over (partition by query_id order by score desc, tie, record_id) as rank from ex
         union all select query_id, record_id, 1, row_number() over (partition by query_id order by score desc, tie, record_id) from lex),
@@ -441,9 +437,9 @@ _SEARCH = f"""{_LEX},
     hits as (select query_id, record_id, score, pin is not null as pinned, row_number() over (partition by query_id order by pin is null, pin, score desc, first, record_id) as rank from pi)"""
 
 
-def _hits(spark: SparkSession, sf_dir: str, k: int, cut: Callable[[str], Column] = _head) -> DataFrame:
-    keys = table(spark, sf_dir, "conversations").where("turn = 0").select(cut("text").alias("key"), F.col("conv_id").alias("record_id"), F.col("conv_id").alias("ord"))
-    return search.search(_queries(spark, sf_dir, cut), _turns(spark, sf_dir), keys, k=k)
+def _hits(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    keys = table(spark, sf_dir, "conversations").where("turn = 0").select(T.norm("text").alias("key"), F.col("conv_id").alias("record_id"), F.col("conv_id").alias("ord"))
+    return search.search(_queries(spark, sf_dir), _turns(spark, sf_dir), keys, k=k)
 
 
 @query(f"with {_SEARCH} select query_id, record_id, cast(rank as int) as rank, round(score, 9) as score, pinned from hits where rank <= 5")
@@ -466,28 +462,50 @@ def _reranked(found: DataFrame) -> DataFrame:
     return search.apply_rerank(hits, scores).select("query_id", "record_id", "rank", "old_rank")
 
 
-# The same with whole passages and whole first turns
+_HYBRID = f"""{_SEARCH.split(", rk as" if ", rk as" in _SEARCH else "rk as")[0].rstrip().rstrip(",")},
+    vh as (select query_id, record_id, score, row_number() over (partition by query_id order by score desc, record_id) as rank from (
+        select q.query_id, v.vec_id as record_id, list_dot_product(cast(e.embedding as double[]), cast(v.embedding as double[])) as score
+        from q join embeddings e on e.vec_id = q.query_id cross join (select * from embeddings where vec_id in (select conv_id from conversations)) v)),
+    rk as (select query_id, record_id, 0 as layer, row_number() over (partition by query_id order by score desc, tie, record_id) as rank from ex
+        union all select query_id, record_id, 1, row_number() over (partition by query_id order by score desc, tie, record_id) from lex
+        union all select query_id, record_id, 2, row_number() over (partition by query_id order by score desc, record_id) from vh where rank <= 10),
+    fu as (select query_id, record_id, coalesce(max(1.0::double / (60 + rank)) filter (layer = 0), 0) + coalesce(max(1.0::double / (60 + rank)) filter (layer = 1), 0) + coalesce(max(1.0::double / (60 + rank)) filter (layer = 2), 0) as score,
+        min(layer * 1000000000 + rank) as first, bool_or(layer = 2) as by_vector from rk group by 1, 2),
+    pi as (select fu.*, ex.tie as pin from fu left join ex using (query_id, record_id)),
+    hits as (select query_id, record_id, score, by_vector, row_number() over (partition by query_id order by pin is null, pin, score desc, first, record_id) as rank from pi)"""
+
+
+@query(f"with {_HYBRID} select query_id, record_id, cast(rank as int) as rank, round(score, 9) as score, by_vector from hits where rank <= 5")
+def search_three_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact first turns, shared bigrams and the ten nearest cards; the vector of a passage or conversation is that of its number."""
+    asked, turns, e = _queries(spark, sf_dir), _turns(spark, sf_dir), table(spark, sf_dir, "embeddings")
+    keys = table(spark, sf_dir, "conversations").where("turn = 0").select(T.norm("text").alias("key"), F.col("conv_id").alias("record_id"), F.col("conv_id").alias("ord"))
+    records = turns.select("record_id").distinct().withColumn("ord", F.col("record_id"))
+    cards = e.selectExpr("vec_id as id", "embedding as vec").join(records.selectExpr("record_id as id"), "id", "left_semi")
+    near = vectors.dot_topk(asked.select("query_id").join(e.selectExpr("vec_id as query_id", "embedding as qvec"), "query_id"), cards, 10)
+    hits = search.search(asked, turns, keys, search.vector_layer(near, records), k=5)
+    return hits.select("query_id", "record_id", "rank", F.round("score", 9).alias("score"), F.col("layers")["vector"].alias("by_vector"))
 
-_WHOLE_LEX, _WHOLE_SEARCH = (sql.replace(f"substr({_norm("text")}, 1, 24)", _norm("text")) for sql in (_LEX, _SEARCH))
 
+# Names that the queries with whole passages had first
 
-@query(f"with {_WHOLE_LEX} select query_id, record_id, round(score, 9) as score, tie from lex")
+@query(f"with {_LEX} select query_id, record_id, round(score, 9) as score, tie from lex")
 def lexical_layer_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.lexical_layer(_queries(spark, sf_dir, T.norm), _turns(spark, sf_dir)).withColumn("score", F.round("score", 9))
+    return search.lexical_layer(_queries(spark, sf_dir), _turns(spark, sf_dir)).withColumn("score", F.round("score", 9))
 
 
-@query(f"with {_WHOLE_SEARCH} select query_id, record_id, cast(rank as int) as rank, round(score, 9) as score, pinned from hits where rank <= 5")
+@query(f"with {_SEARCH} select query_id, record_id, cast(rank as int) as rank, round(score, 9) as score, pinned from hits where rank <= 5")
 def search_conversations_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyword search without vectors: first turns equal to the whole passage, and shared bigrams."""
-    return _hits(spark, sf_dir, 5, T.norm).select("query_id", "record_id", "rank", F.round("score", 9).alias("score"), "pinned")
+    return _hits(spark, sf_dir, 5).select("query_id", "record_id", "rank", F.round("score", 9).alias("score"), "pinned")
 
 
-@query(f"""with {_WHOLE_SEARCH}, sc as (select query_id, record_id, (record_id * 7 + query_id) % 101 as s from hits where rank <= 20 and record_id % 3 <> 0),
+@query(f"""with {_SEARCH}, sc as (select query_id, record_id, (record_id * 7 + query_id) % 101 as s from hits where rank <= 20 and record_id % 3 <> 0),
     re as (select h.query_id, h.record_id, row_number() over (partition by h.query_id order by h.pinned desc, case when h.pinned then h.rank end, sc.s desc nulls last, h.rank) as rank, h.rank as old_rank from hits h left join sc using (query_id, record_id) where h.rank <= 20)
     select query_id, record_id, cast(rank as int) as rank, cast(old_rank as int) as old_rank from re""")
 def reranked_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first twenty hits of the whole passages reordered by a table of scores that lacks some of them."""
-    return _reranked(_hits(spark, sf_dir, 20, T.norm))
+    return _reranked(_hits(spark, sf_dir, 20))
 
 
 @query("""
@@ -521,7 +539,7 @@ def rerank_ab(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The flagship: passages over lines of documents
 
 _FLAG = f"""
-    q as (select item_id as query_id, substr({_norm("text")}, 1, 40) as nq from benchmark),
+    q as (select item_id as query_id, {_norm("text")} as nq from benchmark),
     ln as (select doc_id as record_id, unnest(string_split(text, chr(10))) as raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 as block_id from documents),
     bl as (select record_id, block_id, {_norm("raw")} as nt from ln where {_norm("raw")} <> ''),
     qg as (select query_id, nq, {_GRAMS.format("nq")} as g from q), bg as (select record_id, block_id, nt, unnest({_GRAMS.format("nt")}) as gram from bl),
@@ -532,8 +550,8 @@ _FLAG = f"""
 
 @query(f"with {_FLAG} select query_id, record_id, cast(rank as int) as rank, round(1.0::double / (60 + rank), 9) as score from rk where rank <= 5")
 def search_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five documents that share most with the head of each benchmark passage, by their best line."""
-    return _flag_hits(spark, sf_dir, F.substring(T.norm("text"), 1, 40))
+    """The five documents that share most with each benchmark passage, by their best line."""
+    return _flag_hits(spark, sf_dir, T.norm("text"))
 
 
 def _flag_hits(spark: SparkSession, sf_dir: str, q: Column, across: bool = False) -> DataFrame:

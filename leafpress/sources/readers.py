@@ -76,3 +76,17 @@ def book_listing(recipes: DataFrame) -> DataFrame:
 
 def append_log(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
+
+
+def write_vectors(vectors: DataFrame, path: str) -> None:
+    """Rows (book, kind, id, vec), by book and kind, in id order within a file: ids stay with their vectors."""
+    rows = vectors.select("book", "kind", "id", "vec").repartition("book", "kind").sortWithinPartitions("book", "kind", "id")
+    rows.write.mode("overwrite").partitionBy("book", "kind").parquet(path)
+
+
+def read_vectors(spark: SparkSession, path: str, book: str | None = None, kind: str | None = None) -> DataFrame:
+    """(id, vec, book, kind); a book and a kind are found by their folders alone."""
+    rows = spark.read.parquet(path).withColumns({c: F.col(c).cast("string") for c in ("book", "kind")})
+    for c, v in (("book", book), ("kind", kind)):
+        rows = rows if v is None else rows.where(F.col(c) == v)
+    return rows
