@@ -16,29 +16,35 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per confirmed license of a block of any document.  Null or empty text, or no rows: no rows; repeated rows are scanned alike."""
     return licenses.license_scan(_table(spark, sf_dir, "documents"))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per token piece with its place in a sequence of 1024.  Null or empty text: its end id alone; repeated rows are packed as rows."""
     pieces = materialize(packing.token_pieces(_table(spark, sf_dir, "documents")), "pieces")
     return packing.pack(packing.with_crc(pieces), written=pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document with its group: three-word shingles, similarity 0.85.  Without words: linked with nothing and kept."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words_in=3, percent=85)
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document with counts, a digest of the base spans and all spans.  Null text: no spans."""
     found = pii.find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [F.expr(f"cast(size(filter(pii, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
     return found.select("doc_id", *counts, F.sha2(pii.spans_text("pii", base_only=True), 256).alias("base_sha256"), pii.spans_text("pii").alias("spans"))
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per page, read back from the archives.  Null html: an empty payload."""
     return warc.archive_and_read(_table(spark, sf_dir, "pages"), least_bytes=0)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document with its readings and verdicts.  Null text: no words, so it fails."""
     return repetition.quality_rules(_table(spark, sf_dir, "documents"))
 
 
@@ -47,6 +53,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document with its language.  Null text or text without letters: ``und``, score 0."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     models = langid.fit(docs.where(~held_out()))
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
@@ -54,18 +61,21 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document, read back from the files.  Null or empty text: its end id alone."""
     path = new_path(spark, "tokens")
     token_files.write_token_files(_table(spark, sf_dir, "documents"), path)
     return token_files.token_index(spark, path)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document with posteriors, rate and copies.  Null or empty text: no tokens."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labelled = docs.join(_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id")
     return mixing.mix(docs, mixing.fit_domains(labelled, mixing.label_domain()))
 
 
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20.  Unusable vectors take no part."""
     rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.nearest(rows, rows.where("vec_id % 20 = 0"), k=20)
 
