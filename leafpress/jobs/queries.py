@@ -44,7 +44,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents_as_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").selectExpr("source as book", "cast(doc_id as int) as page", "text")
+    return table(spark, sf_dir, "documents").selectExpr("source as book", "doc_id as page", "text")
 
 
 # Text functions and lines
@@ -171,7 +171,8 @@ def transcript_toc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""with {_ORDERS_SQL}
     select book, case when promoted then 'open_promoted' else 'open_start' end as kind, count(*) as n from rid group by 1, 2
     union all select book, 'rejected_unnumbered', count(*) from o where refused group by 1
-    union all select book, 'step_body', count(*) from b where kind = 1 group by 1""")
+    union all select book, 'step_body', count(*) from b where kind = 1 group by 1
+    union all select book, 'no_marker_page', count(*) from (select book, page from ({_TRANSCRIPT_SQL}) where page > 0 group by 1, 2 having not bool_or(starts_with(line, '@@'))) group by 1""")
 def transcript_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.drift_counts(corpus(spark, sf_dir))
 

@@ -7,6 +7,8 @@ A page holds 40 lines; page 0 is the table of contents.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,8 +47,17 @@ SQL = f"""
 
 def transcript_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(book, page, text) of all orders."""
-    for name in ("orders", "lineitem"):
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-    rows = spark.sql(SQL)
+    return as_pages(over_tables(spark, sf_dir, SQL, "orders", "lineitem"))
+
+
+def over_tables(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
+    """``sql`` over tables of the folder, without a view of theirs in the session."""
+    for name in names:
+        sql = re.sub(rf"\bfrom {name}\b", f"from {{{name}}}", sql)
+    return spark.sql(sql, **{name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names})
+
+
+def as_pages(rows: DataFrame) -> DataFrame:
+    """(book, page, text) of (book, page, at_line, line)."""
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at_line", "line"))), lambda x: x["line"]), "\n")
     return rows.groupBy("book", "page").agg(text.alias("text"))

@@ -31,7 +31,7 @@ def scoped(typed: DataFrame) -> DataFrame:
     title = T.norm("tail")
     chapters = typed.withColumn("chapter_seq", F.sum(F.col("chapter_line").cast("int")).over(_so_far()))
     subs = chapters.withColumn("sub_seq", F.sum(F.col("sub_line").cast("int")).over(Window.partitionBy("book", "chapter_seq").orderBy("page", "line").rowsBetween(Window.unboundedPreceding, 0)))
-    two = lambda c: F.lpad(F.col(c).cast("string"), 2, "0")
+    two = lambda c: F.lpad(F.col(c).cast("string"), F.greatest(F.lit(2), F.length(F.col(c).cast("string"))), "0")
     return subs.select(
         "*",
         F.coalesce(F.last(F.when(F.col("chapter_line"), title), ignorenulls=True).over(_so_far()), F.lit("")).alias("chapter"),
@@ -160,12 +160,17 @@ def promoted_starts(recipes: DataFrame) -> DataFrame:
 
 
 def drift_counts(corpus: dict[str, DataFrame]) -> DataFrame:
-    """(book, kind, n): how often each tolerated variant occurs."""
+    """(book, kind, n): how often each tolerated variant, sub-chapter, page without marks, splice and spelling of an unmarked section occurs."""
     lines, parts = corpus["lines"], corpus["pieces"]
     via = parts.where("via in ('inline', 'group', 'bare_step', 'inline_step', 'step_body')").select("book", F.col("via").alias("kind"))
     how = lines.where("how is not null").select("book", F.concat(F.lit("open_"), "how").alias("kind"))
     refused = lines.where("rejected").select("book", F.concat(F.lit("rejected_"), "start.reason").alias("kind"))
-    return via.unionByName(how).unionByName(refused).groupBy("book", "kind").agg(F.count("*").alias("n"))
+    subs = lines.where("sub_line").select("book", F.lit("sub_chapter").alias("kind"))
+    spelt = lines.where("is_name").select("book", F.concat(F.lit("spelling_"), "st").alias("kind"))
+    rows = via.unionByName(how).unionByName(refused).unionByName(subs).unionByName(spelt).withColumn("n", F.lit(1))
+    unmarked = lines.where("no_marker").groupBy("book").agg(F.count_distinct("page").alias("n")).withColumn("kind", F.lit("no_marker_page"))
+    splices = corpus["blocks"].where("pieces > 1").select("book", F.lit("splice").alias("kind"), (F.col("pieces") - 1).alias("n"))
+    return rows.unionByName(unmarked).unionByName(splices).groupBy("book", "kind").agg(F.sum("n").alias("n"))
 
 
 def signature(rows: DataFrame, keys: list[str], order: Column | str, id_col: str, text_col: str, model: str, dtype: str, slug: str) -> DataFrame:

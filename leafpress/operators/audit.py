@@ -19,7 +19,8 @@ class Rule:
 RULES = (
     Rule("drive path", r"(?<![A-Za-z0-9:/])[A-Za-z]:[\\/]"),
     Rule("temp root", r"(?i)[A-Za-z]:\\[^\"'\n]*system-temp"),
-    Rule("e-mail", r"(?i)\b[\w.+-]+@[\w-]+\.[a-z]{2,}\b"),
+    # \b[\w.+-]+@[\w-]+\.[a-z]{2,}\b, tried once a run of such characters: long runs cost time in proportion
+    Rule("e-mail", r"(?i)(?<![\w.+-])[.+-]*+(?:\b\w|\w++[.+-])[\w.+-]*+@[\w-]++\.[a-z]{2,}\b"),
     Rule("token", r"\b(?:sk-[A-Za-z0-9]{16,}|gh[pous]_[A-Za-z0-9]{20,})\b"),
 )
 #: Lines that define rules may hold what the rules look for.
@@ -100,6 +101,24 @@ def layer_summary(rows: DataFrame) -> DataFrame:
     return rows.groupBy("layer").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
 
 
+def layer_digests(rows: DataFrame) -> DataFrame:
+    """(layer, sha256): a digest of the paths, sizes and digests of a layer's files.
+
+    Files are dealt to 4096 parts by a digest of their path; a part's lines are put in order of path and digested, then the
+    parts' digests in order.  So no group holds a whole layer, and the outcome does not depend on how rows are dealt.
+    """
+    line = F.concat_ws("\t", "path", F.col("bytes").cast("string"), "sha256")
+    parts = rows.groupBy("layer", F.substring(F.sha2("path", 256), 1, 3).alias("part")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(line)), "\n"), 256).alias("digest"))
+    whole = F.array_join(F.sort_array(F.collect_list(F.concat("part", "digest"))), "")
+    return parts.groupBy("layer").agg(F.sha2(whole, 256).alias("sha256"))
+
+
+def verify_layers(rows: DataFrame, recorded: DataFrame) -> DataFrame:
+    """(layer, state) of present files against recorded (layer, sha256): ok, bad, missing or extra."""
+    both = recorded.selectExpr("layer", "sha256 as s1").join(layer_digests(rows).selectExpr("layer", "sha256 as s2"), "layer", "full")
+    return both.select("layer", F.expr("case when s2 is null then 'missing' when s1 is null then 'extra' when s1 = s2 then 'ok' else 'bad' end").alias("state"))
+
+
 def excluded_summary(files: DataFrame, path: str = "path") -> DataFrame:
     """Count and three smallest paths of each reason; the smallest are kept while counting, never all paths."""
     nth = F.row_number().over(Window.partitionBy("reason").orderBy(path))

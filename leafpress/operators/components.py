@@ -8,18 +8,18 @@ from pyspark.sql import functions as F
 from leafpress.storage import materialize
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of ``edges``; the component is its smallest node.
 
     Each round takes the smallest label among a node's neighbours and then follows the label's own label, so the
-    number of rounds grows with the logarithm of long chains.  Labels are written after each round: lineage
+    number of rounds grows with the logarithm of long chains; labels only fall, so it ends.  Labels are written after each round: lineage
     stays short and lost executors cost one round.  Edges with a null end are ignored.  Nothing but one count per round
     reaches the driver.
     """
     both = edges.where(f"{a} is not null and {b} is not null and {a} <> {b}").selectExpr(f"{a} as node", f"{b} as other")
     both = materialize(both.union(both.selectExpr("other", "node")).distinct(), "edges")
     labels = materialize(both.groupBy("node").agg(F.min("other").alias("o")).selectExpr("node", "least(node, o) as component"), "labels")
-    for _ in range(rounds):
+    while True:
         near = both.join(labels.selectExpr("node as other", "component as c"), "other").groupBy("node").agg(F.min("c").alias("c"))
         lower = labels.join(near, "node").selectExpr("node", "component as was", "least(component, c) as c")
         jumped = lower.join(labels.selectExpr("node as c", "component as cc"), "c").selectExpr("node", "least(c, cc) as component", "was")
@@ -28,4 +28,3 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
         labels = new.select("node", "component")
         if not changed:
             return labels
-    raise RuntimeError(f"no fixed point in {rounds} rounds")

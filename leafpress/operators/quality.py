@@ -137,6 +137,16 @@ def registry_check(books: DataFrame, code: str = r"^[A-Z][0-9]{2,}$") -> DataFra
     return books.withColumn("fault", F.when(~F.col("code").rlike(code), "code").when(n > 1, "repeated").when(F.coalesce("source_basename", F.lit("")) == "", "no source"))
 
 
+#: Grammar of a series' id; a fixed value.
+SERIES_ID = r"^[a-z0-9]+(?:-[a-z0-9]+)*$"
+
+
+def series_check(series: DataFrame, required: tuple[str, ...] = ("id", "title", "out_root", "source_root")) -> DataFrame:
+    """Add ``missing``, the required columns that are null or empty, and ``id_ok``, whether the id keeps its grammar."""
+    lacks = F.array_compact(F.array(*(F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) == "", c) for c in required)))
+    return series.withColumn("missing", lacks).withColumn("id_ok", F.coalesce(F.col("id").rlike(SERIES_ID), F.lit(False)))
+
+
 def size_check(recorded: DataFrame, files: DataFrame, key: str = "path") -> DataFrame:
     """(key, recorded, actual, passes) of (key, bytes) on both sides; no file: null, not decidable."""
     return recorded.selectExpr(key, "bytes as recorded").join(files.selectExpr(key, "bytes as actual"), key, "left").withColumn("passes", F.col("recorded") == F.col("actual"))
@@ -157,6 +167,20 @@ def shape_outliers(pages: DataFrame, shape: list[str]) -> DataFrame:
     return pages.join(modal, "book").where(~same).drop(*(f"m_{c}" for c in shape))
 
 
+def book_shape(pages: DataFrame, images: DataFrame) -> DataFrame:
+    """Per book of pages (book, page, width, height, text_chars): page count, characters of the text layer, its most frequent page
+    size and, of images (book, page, image, px_width, px_height, bits, filter), its most frequent image size and the first image's
+    bits and filter.  Of equally frequent sizes the first seen; no images: nulls.
+    """
+    sums = pages.groupBy("book").agg(F.count("*").alias("pages"), F.coalesce(F.sum("text_chars"), F.lit(0)).alias("text_chars"))
+    sizes = modal_shape(pages, ["width", "height"]).select("book", "width", "height")
+    seen = images.withColumn("page", F.struct("page", "image"))
+    counted = seen.groupBy("book", "px_width", "px_height").agg(F.count("*").alias("n"), F.min("page").alias("first"), F.min_by(F.struct("bits", "filter"), "page").alias("look"))
+    # of equally frequent sizes the one seen first: the order by first place is kept by a minimum over (-n, first)
+    shapes = counted.groupBy("book").agg(F.min_by(F.struct("px_width", "px_height"), F.struct(-F.col("n"), F.col("first"))).alias("px"), F.min_by("look", "first").alias("look"))
+    return sums.join(sizes, "book").join(shapes.select("book", "px.*", "look.*"), "book", "left")
+
+
 #: Planner's tokens for a page; fixed values.
 IMAGE_TOKENS, TEXT_TOKENS = 1262, 250
 

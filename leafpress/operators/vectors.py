@@ -77,6 +77,28 @@ def vector_report(vectors: DataFrame, by: list[str], id_col: str = "id", vec: st
     return rows.withColumn("ids_unique", F.col("n") == F.col("ids")).withColumn("unit_norm", F.abs(F.col("longest") - 1) < 2e-3)
 
 
+def vector_gates(vectors: DataFrame, inputs: DataFrame, signatures: DataFrame, by: list[str], id_col: str = "id", vec: str = "vec") -> DataFrame:
+    """Per group of ``inputs``: whether there is a vector for each input, ids are unique, vectors are of unit length, and the
+    signature changes with the model's name and with the number type.
+
+    ``signatures``: (by, signature, other_model, other_dtype), made with the name in use and with each part changed.  A
+    group without vectors fails; vectors of groups without inputs are ignored.
+    """
+    wanted = inputs.groupBy(*by).agg(F.count("*").alias("wanted"))
+    rows = wanted.join(vector_report(vectors, by, id_col, vec), by, "left").join(signatures, by, "left")
+    no = lambda c: F.coalesce(c, F.lit(False))
+    return rows.select(
+        *by, no(F.col("n") == F.col("wanted")).alias("rows_match"), no(F.col("ids_unique")).alias("ids_unique"), no(F.col("unit_norm") & (F.abs(F.col("shortest") - 1) < 2e-3)).alias("unit_norm"),
+        no(F.col("signature") != F.col("other_model")).alias("model_matters"), no(F.col("signature") != F.col("other_dtype")).alias("dtype_matters"),
+    )
+
+
+def _best(scores: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` greatest scores, ties to the smaller id; only scores at or above the k-th are sorted."""
+    near = np.arange(len(scores)) if k >= len(scores) else np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+    return near[np.lexsort((own[near], -scores[near]))[:k]]
+
+
 def dot_topk(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """(query_id, id, score, rank) of (query_id, qvec) against (id, vec): exact, ties to the smaller id.
 
@@ -94,7 +116,7 @@ def dot_topk(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
             return pd.DataFrame({"query_id": q["query_id"][:0], "id": v["id"][:0], "score": np.empty(0)})
         scores = np.stack(q["qvec"].to_numpy()).astype(np.float64) @ np.stack(v["vec"].to_numpy()).astype(np.float64).T
         own = v["id"].to_numpy()
-        tops = [np.lexsort((own, -s))[:k] for s in scores]
+        tops = [_best(s, own, k) for s in scores]
         return pd.DataFrame({"query_id": np.repeat(q["query_id"].to_numpy(), [len(t) for t in tops]), "id": np.concatenate([own[t] for t in tops]), "score": np.concatenate([s[t] for s, t in zip(scores, tops, strict=True)])})
 
     found = left.groupBy("qb", "vb").cogroup(right.groupBy("qb", "vb")).applyInPandas(multiply, kinds)

@@ -164,3 +164,30 @@ def test_conversations_with_whole_passages(spark, tmp_path):
     wanted = brute_ranks([(9, text)], {c: [t for k, _, t in turns if k == c] for c in range(1, 7)})[9]
     assert [r["record_id"] for r in found] == wanted
     assert [r["record_id"] for r in sorted(run("reranked_whole"), key=lambda r: r["old_rank"])] == wanted
+
+
+def test_email_rule_reads_long_runs_once_and_finds_what_the_plain_pattern_finds(spark):
+    import random
+    import re
+
+    plain, rng = re.compile(r"\b[\w.+-]+@[\w-]+\.[a-z]{2,}\b", re.I | re.A), random.Random(5)
+    texts = ["".join(rng.choice("ab.+-@ c1_\n") for _ in range(30)) for _ in range(400)] + ["A" * 200_000, "+-" * 50_000 + "@x.com", ".a@b.co", "a@b@c.co"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "path int, text string")
+    found = {r["path"]: r["line"] for r in audit.scan_patterns(docs, rules=(audit.RULES[2],)).collect()}
+    assert found == {k: t[: m.start()].count("\n") + 1 for k, t in enumerate(texts) if (m := plain.search(t))}
+
+
+def test_series_without_values_lack_them(spark):
+    rows = spark.createDataFrame([("ab-1", "t", "o", "s"), (None, "", None, "s"), ("Ab", "t", "o", "s"), ("a--b", "t", "o", "s")], "id string, title string, out_root string, source_root string")
+    found = [(r["missing"], r["id_ok"]) for r in quality.series_check(rows).collect()]
+    assert found == [([], True), (["id", "title", "out_root"], False), ([], False), ([], False)]
+
+
+def test_digest_of_a_layer_does_not_depend_on_how_rows_are_dealt(spark):
+    rows = [(f"f{k}", "L", k, f"s{k}") for k in range(300)]
+    schema = "path string, layer string, bytes long, sha256 string"
+    a = audit.layer_digests(spark.createDataFrame(rows, schema).repartition(7)).collect()
+    assert a == audit.layer_digests(spark.createDataFrame(rows[::-1], schema)).collect()
+    assert a != audit.layer_digests(spark.createDataFrame(rows[1:], schema)).collect()
+    assert audit.verify_layers(spark.createDataFrame([], schema), spark.createDataFrame(a)).collect()[0]["state"] == "missing"
+    assert audit.layer_digests(spark.createDataFrame([], schema)).count() == 0
