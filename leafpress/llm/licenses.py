@@ -24,18 +24,16 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "Apache License Version 2.0, January 2004",
-        "SPDX-License-Identifier: Apache-2.0",
     ],
     "MIT": [
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
-        "SPDX-License-Identifier: MIT",
     ],
-    "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "Licensed under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause"],
+    "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "Licensed under the BSD 3-Clause License."],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License."],
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
-        "SPDX-License-Identifier: GPL-2.0",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2 of the License",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",
@@ -43,7 +41,6 @@ TEMPLATES = {
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
-        "SPDX-License-Identifier: GPL-3.0",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 3 of the License",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 3 of the License",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License version 3 as published by the Free Software Foundation",
@@ -63,7 +60,7 @@ TEMPLATES = {
         "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License version 3 as published by the Free Software Foundation",
         "GNU Affero General Public License Version 3, 19 November 2007",
     ],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0", "Mozilla Public License Version 2.0"],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Mozilla Public License Version 2.0"],
     "CC0-1.0": ["This work is dedicated to the public domain under CC0 1.0.", "Creative Commons Legal Code CC0 1.0 Universal"],
     "CC-BY-4.0": [
         "Licensed under CC BY 4.0.",
@@ -82,16 +79,38 @@ TEMPLATES = {
     ],
     "all-rights-reserved": ["Copyright * All rights reserved.", "All rights reserved."],
 }
+for _name in [n for n in TEMPLATES if "GPL" in n]:  # the same notices with the right to later versions, and both kinds of identifier
+    TEMPLATES[f"{_name}-or-later"] = [*(f"{t}, or (at your option) any later version" for t in TEMPLATES[_name] if "either version" in t), f"SPDX-License-Identifier: {_name}-or-later"]
+    TEMPLATES[_name].append(f"SPDX-License-Identifier: {_name}-only")
+for _name in [n for n in TEMPLATES if n != "all-rights-reserved" and not n.endswith("-or-later")]:
+    TEMPLATES[_name].append(f"SPDX-License-Identifier: {_name}")
+#: Words right before a notice, light words aside, that make it say the contrary.
+_NOT = frozenset("not never cannot neither nor longer".split())
 #: Words that may differ without changing what is granted: wording around the license's name.
 _LIGHT = frozenset("this work is released licensed under the a an of by to and in with or code file software source form terms subject".split())
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
 SCHEMA = "block int, start int, end int, license string, template string, plain_bytes int, dict_bytes int, reduction double, place int, differences string, text string"
 
 
+#: An identifier's tag with an expression of several identifiers.
+_EXPRESSION = re.compile(r"(SPDX-License-Identifier:)((?:[ \t(]*+(?:(?:AND|OR|WITH)[ \t(]++)?[A-Za-z0-9.-]++\+?+[ \t)]*+)(?:(?:AND|OR|WITH)[ \t(]++[A-Za-z0-9.-]++\+?+[ \t)]*+)*+)")
+
+
 def words_of(text: str) -> list[str]:
     return [m[0].lower() for m in _WORD.finditer(text)]
 
 
+def said_by(block: str) -> list[str]:
+    """The block's words; the tag of an SPDX expression is said before each of its identifiers (exceptions after WITH are left out)."""
+
+    def each(m: re.Match) -> str:
+        ids = re.sub(r"\bWITH[ \t(]+\S+", " ", m[2])
+        ids = [x for x in re.findall(r"[A-Za-z0-9.-]+\+?", ids) if x not in ("AND", "OR", "WITH")]
+        return " ".join(f"{m[1]} {x[:-1] + '-or-later' if x.endswith('+') else x}" for x in ids) + " "
+
+    return words_of(_EXPRESSION.sub(each, re.sub("n['’]t\\b", " not", block)))
+
+
 def _gate() -> str:
     """A pattern that every confirmed block matches: of each template, the longest word that must stand in the block."""
     needed = {max((w for w in words_of(t.replace("*", " ")) if w not in _LIGHT), key=lambda w: (w[0].isalpha(), len(w), w)) for group in TEMPLATES.values() for t in group}
@@ -128,17 +147,17 @@ def differences(template: list[list[str]], block: list[str]) -> tuple[bool, str]
     The template is the runs of words between its free words.  The weighty words of a run must stand in the block in order,
     with no other weighty word between them; runs follow each other with any words between, which are not reported.  Light
     words may vary on either side and between; those before and after are compared with the light words that touch the run.
-    Of several such places, the first with the fewest other words is reported; earlier runs are the nearest before it.
+    A place right after a negation does not count.  Of several such places, the first with the fewest other words is reported; earlier runs are the nearest before it.
     """
     at = [k for k, w in enumerate(block) if w not in _LIGHT]
     said = [block[k] for k in at]
     ends: list[tuple[int, list[str]]] = [(0, [])]  # where the runs so far end, and their other words
-    for run in template:
+    for nth, run in enumerate(template):
         heavy = [k for k, w in enumerate(run) if w not in _LIGHT]
         wanted = [run[k] for k in heavy]
         after, near = [], 0
         for k, w in enumerate(said):
-            if ends and w == wanted[0] and said[k : k + len(wanted)] == wanted and ends[0][0] <= k:
+            if ends and w == wanted[0] and said[k : k + len(wanted)] == wanted and ends[0][0] <= k and not (nth == 0 and k and said[k - 1] in _NOT):
                 while near + 1 < len(ends) and ends[near + 1][0] <= k:
                     near += 1
                 after.append((k + len(wanted), ends[near][1] + _others(run, heavy, block, at, k)))
@@ -163,6 +182,11 @@ def _others(run: list[str], heavy: list[int], block: list[str], at: list[int], k
     return out
 
 
+def _held(template: list[list[str]], said: list[str]) -> bool:
+    """Whether all weighty words of a template stand in the block, in any order."""
+    return {w for run in template for w in run} - _LIGHT <= set(said)
+
+
 def scan_text(text: str, gate: re.Pattern) -> list[tuple]:
     """Confirmed licenses of a text, a row for each block and license: the template with the greatest reduction."""
     plain, templates = _compressors()
@@ -171,15 +195,17 @@ def scan_text(text: str, gate: re.Pattern) -> list[tuple]:
         block = text[start:end]
         if not gate.search(block) or "\n" in block and all(any(s <= start + m.start() < e for _, s, e in taken) for m in gate.finditer(block)):
             continue  # in a paragraph, each mention is part of a line that is confirmed already
-        raw, alone, said = block.encode(), len(plain.compress(block.encode())), words_of(block)
+        raw, alone, said = block.encode(), len(plain.compress(block.encode())), said_by(block)
         sizes = [(len(c.compress(raw)), i) for i, (*_, c) in enumerate(templates)]
         place, named = 0, set()
+        # a notice with later versions holds the words of the one without, which is then not meant
+        later = [t for name, t, wanted, _ in templates if name.endswith("-or-later") and _held(wanted, said) and differences(wanted, said)[0]]
         for size, i in sorted(sizes):
             reduction, place = (alone - size) / alone, place + 1
             name, template, wanted, _ = templates[i]
-            if name in named:
+            if name in named or any(t != template and t.startswith(template) for t in later):
                 continue
-            exact, other = differences(wanted, said) if {w for run in wanted for w in run} - _LIGHT <= set(said) else (False, "")
+            exact, other = differences(wanted, said) if _held(wanted, said) else (False, "")
             if exact and not any(n == name and s >= start and e <= end for n, s, e in taken):
                 named.add(name)
                 taken.add((name, start, end))

@@ -401,6 +401,24 @@ def test_all_licenses_of_a_long_line():
     assert licenses_in(prose + " ".join(t.replace("*", "2024") for group in licenses.TEMPLATES.values() for t in group)) == sorted(licenses.TEMPLATES)
 
 
+@pytest.mark.parametrize(("text", "wanted"), [
+    ("SPDX-License-Identifier: LGPL-3.0-or-later", ["LGPL-3.0-or-later"]),
+    ("// SPDX-License-Identifier: GPL-2.0+", ["GPL-2.0-or-later"]),
+    ("SPDX-License-Identifier: GPL-2.0-only", ["GPL-2.0"]),
+    ("SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-2-Clause", ["Apache-2.0", "BSD-2-Clause", "MIT"]),
+    ("SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0", ["GPL-2.0"]),
+    ("SPDX-License-Identifier:", []),
+    ("This is not licensed under the MIT License.", []),
+    ("It isn't released under the MIT License.", []),
+    ("It isn't released under the MIT License. The rest is licensed under the MIT License.", ["MIT"]),
+    ("This is not free. Licensed under the MIT License.", ["MIT"]),
+    ("you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.", ["GPL-2.0-or-later"]),
+    ("you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License.", ["GPL-2.0"]),
+])
+def test_identifiers_later_versions_and_negations(text, wanted):
+    assert licenses_in(text) == wanted
+
+
 def test_license_with_free_words():
     for text in ("Copyright 2024 Acme Corp. All rights reserved.", "x\nCopyright (c) 1999-2024, the Foo Authors and others.\nAll rights reserved.\ny", "All rights reserved.", "A line. All rights reserved. Copyright 2024", "Copyright Acme: all of its rights in this work. " * 9 + "All rights reserved."):
         assert licenses_in(text) == ["all-rights-reserved"], text
