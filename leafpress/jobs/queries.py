@@ -382,7 +382,7 @@ def ledger_families(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Vectors
 
 
-@query("select label, count(*) as n, count(distinct vec_id) as ids, round(min(sqrt(list_inner_product(embedding::double[], embedding::double[]))), 4) as shortest, round(max(sqrt(list_inner_product(embedding::double[], embedding::double[]))), 4) as longest, true as ids_unique, true as unit_norm from embeddings group by label")
+@query("select label, count(*) as n, count(distinct vec_id) as ids, round(min(sqrt(list_inner_product(embedding::double[], embedding::double[]))), 4) as shortest, round(max(sqrt(list_inner_product(embedding::double[], embedding::double[]))), 4) as longest, count(*) = count(distinct vec_id) as ids_unique, abs(round(max(sqrt(list_inner_product(embedding::double[], embedding::double[]))), 4) - 1) < 2e-3 as unit_norm from embeddings group by label")
 def vector_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     scaled = table(spark, sf_dir, "embeddings").withColumn("vec", vectors.l2_normalize(F.transform("embedding", lambda x: x * 3)))
     return vectors.vector_report(scaled, ["label"], "vec_id")
@@ -401,7 +401,6 @@ def dot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Retrieval: benchmark passages over conversations and documents
 
 
-
 def _norm(c: str) -> str:
     return f"regexp_replace({c}, '{WS}+', '', 'g')"
 
@@ -479,13 +478,16 @@ _HYBRID = f"""{_SEARCH.split(", rk as" if ", rk as" in _SEARCH else "rk as")[0].
 @query(f"with {_HYBRID} select query_id, record_id, cast(rank as int) as rank, round(score, 9) as score, by_vector from hits where rank <= 5")
 def search_three_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact first turns, shared bigrams and the ten nearest cards; the vector of a passage or conversation is that of its number."""
+    return _three_layers(spark, sf_dir).select("query_id", "record_id", "rank", F.round("score", 9).alias("score"), F.col("layers")["vector"].alias("by_vector"))
+
+
+def _three_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked, turns, e = _queries(spark, sf_dir), _turns(spark, sf_dir), table(spark, sf_dir, "embeddings")
     keys = table(spark, sf_dir, "conversations").where("turn = 0").select(T.norm("text").alias("key"), F.col("conv_id").alias("record_id"), F.col("conv_id").alias("ord"))
     records = turns.select("record_id").distinct().withColumn("ord", F.col("record_id"))
     cards = e.selectExpr("vec_id as id", "embedding as vec").join(records.selectExpr("record_id as id"), "id", "left_semi")
     near = vectors.dot_topk(asked.select("query_id").join(e.selectExpr("vec_id as query_id", "embedding as qvec"), "query_id"), cards, 10)
-    hits = search.search(asked, turns, keys, search.vector_layer(near, records), k=5)
-    return hits.select("query_id", "record_id", "rank", F.round("score", 9).alias("score"), F.col("layers")["vector"].alias("by_vector"))
+    return search.search(asked, turns, keys, search.vector_layer(near, records), k=5)
 
 
 # Names that the queries with whole passages had first
@@ -509,34 +511,6 @@ def reranked_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reranked(_hits(spark, sf_dir, 20))
 
 
-@query("""
-    with d as (select doc_id, lead(doc_id) over (order by doc_id) as x from documents), c as (select label % 5 as book, unnest(['keyword', 'vector']) as mode, vec_id, label from embeddings),
-    r as (select book, mode, case when (vec_id * (case mode when 'vector' then 3 else 5 end)) % 7 = 6 then null else (vec_id * (case mode when 'vector' then 3 else 5 end)) % 7 + 1 end as rank, 3 as topn from c)
-    select book, mode, cast(count(*) filter (rank <= topn) as bigint) as hits, count(*) as cases, round(count(*) filter (rank <= topn) / count(*), 6) as recall from r group by grouping sets ((book, mode), (mode))""")
-def recall_by_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recall of made-up ranks by book and mode, with totals over all books."""
-    e = table(spark, sf_dir, "embeddings").select((F.col("label") % 5).alias("book"), F.explode(F.array(F.lit("keyword"), F.lit("vector"))).alias("mode"), "vec_id")
-    r = F.expr("vec_id * if(mode = 'vector', 3, 5) % 7")
-    return evaluate.recall_by_mode(e.select("book", "mode", F.when(r != 6, r + 1).alias("rank"), F.lit(3).alias("topn")))
-
-
-@query("""
-    with c as (select doc_id, quality, toxic, case when doc_id % 4 = 0 then null else doc_id % 6 end as rank_v, case when doc_id % 5 = 0 then null else doc_id % 4 end as rank_d, doc_id % 7 = 0 as expect_none, toxic = 1 as needs_vectors, quality = 1 as have from labels),
-    s as (select doc_id, case when have then case when (case when expect_none then rank_v is null else coalesce(rank_v <= 3, false) end) then 'PASS' else 'FAIL' end when needs_vectors then 'SKIP' else 'untested' end as v_state,
-        case when needs_vectors then 'not set' when (case when expect_none then rank_d is null else coalesce(rank_d <= 3, false) end) then 'PASS' else 'FAIL' end as d_state from c)
-    select doc_id, v_state, d_state, case when 'FAIL' in (v_state, d_state) then 'FAIL' when 'SKIP' in (v_state, d_state) then 'SKIP' else 'PASS' end as verdict from s""")
-def case_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "labels").selectExpr("doc_id", "if(doc_id % 4 = 0, null, doc_id % 6) as rank_v", "if(doc_id % 5 = 0, null, doc_id % 4) as rank_d", "3 as topn", "doc_id % 7 = 0 as expect_none", "toxic = 1 as needs_vectors", "quality = 1 as have_vectors")
-    return evaluate.case_verdict(rows).select("doc_id", "v_state", "d_state", "verdict")
-
-
-@query("""
-    with r as (select coalesce(doc_id % 6 + 1 <= 4, false) as a, coalesce(case when doc_id % 9 = 0 then null else doc_id % 5 + 1 end <= 4, false) as b from labels)
-    select count(*) as cases, count(*) filter (a) as ok_off, count(*) filter (b) as ok_on, count(*) filter (a and not b) as regressions, count(*) filter (b and not a) as improvements, count(*) filter (a and not b) = 0 as passes from r""")
-def rerank_ab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.rerank_ab(table(spark, sf_dir, "labels").selectExpr("doc_id as case_id", "cast(null as int) as topn", "doc_id % 6 + 1 as rank_off", "if(doc_id % 9 = 0, null, doc_id % 5 + 1) as rank_on"))
-
-
 # The flagship: passages over lines of documents
 
 _FLAG = f"""
@@ -555,14 +529,18 @@ def search_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flag_hits(spark, sf_dir, T.norm("text"))
 
 
+def _held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages and the documents that hold all of them: with a whole document as one block, these score above 1."""
+    whole = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), F.lit(0).alias("block_id"), "text")
+    return search.lexical_layer(_queries(spark, sf_dir), whole).where("score > 1").select("query_id", "record_id")
+
+
 def _flag_hits(spark: SparkSession, sf_dir: str, q: Column, across: bool = False) -> DataFrame:
     blocks = lines.to_lines(table(spark, sf_dir, "documents").selectExpr("0 as book", "doc_id as page", "text")).selectExpr("page as record_id", "line as block_id", "st as text")
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), q.alias("q"))
     lex = search.lexical_layer(asked, blocks)
     if across:  # a line that holds the passage has 2 already, any other line 1 at most
-        texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), T.norm("text").alias("nt"))
-        held = texts.join(F.broadcast(asked), F.expr("contains(nt, q)")).select("query_id", "record_id").distinct().withColumn("whole", F.lit(1.0))
-        lex = lex.join(held, ["query_id", "record_id"], "left").withColumn("score", F.least("score", F.lit(1.0)) + F.coalesce("whole", F.lit(0.0))).drop("whole")
+        lex = lex.join(_held(spark, sf_dir).withColumn("whole", F.lit(1.0)), ["query_id", "record_id"], "left").withColumn("score", F.least("score", F.lit(1.0)) + F.coalesce("whole", F.lit(0.0))).drop("whole")
     hits = search.rrf({"lex": lex})
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "first", "record_id")
     return hits.withColumn("rank", F.row_number().over(order)).where("rank <= 5").select("query_id", "record_id", "rank", F.round("score", 9).alias("score"))
@@ -586,6 +564,71 @@ def search_benchmark_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flag_hits(spark, sf_dir, T.norm("text"), across=True)
 
 
+# Retrieval judged by what the tables say is right
+
+
+_WANTED = f"select item_id as query_id, min(doc_id) as want from benchmark join documents on contains({_norm("documents.text")}, {_norm("benchmark.text")}) group by 1"
+
+
+@query(f"""
+    with l as (with {_FLAG} select query_id, record_id, rank from rk where rank <= 5), w as (with {_WHOLE_FLAG} select query_id, record_id, rank from rk where rank <= 5),
+    c as (select * from ({_WANTED}) cross join (values ('line'), ('whole')) m(mode)),
+    r as (select c.query_id % 5 as book, mode, case mode when 'line' then l.rank else w.rank end as rank from c left join l on l.query_id = c.query_id and l.record_id = want left join w on w.query_id = c.query_id and w.record_id = want)
+    select book, mode, cast(count(*) filter (rank <= 1) as bigint) as hits, count(*) as cases, round(count(*) filter (rank <= 1) / count(*), 6) as recall from r group by grouping sets ((book, mode), (mode))""")
+def recall_by_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a passage's first hit is the first document that holds it, by line or by whole text; passages in five groups, and all."""
+    wanted = _held(spark, sf_dir).groupBy("query_id").agg(F.min("record_id").alias("want"))
+    ranks = [search.rank_of(_flag_hits(spark, sf_dir, T.norm("text"), across), wanted).withColumn("mode", F.lit(mode)) for mode, across in (("line", False), ("whole", True))]
+    return evaluate.recall_by_mode(ranks[0].unionByName(ranks[1]).select((F.col("query_id") % 5).alias("book"), "mode", F.col("rank_of_want").alias("rank"), F.lit(1).alias("topn")))
+
+
+def _first_of_label(spark: SparkSession, sf_dir: str, hits: DataFrame, *ranks: str) -> DataFrame:
+    """Per query, the best of each rank among hits whose vector has the label of the query's vector."""
+    labels = table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    rows = hits.join(labels.toDF("query_id", "label"), "query_id").join(labels.toDF("record_id", "label"), ["record_id", "label"])
+    return rows.groupBy("query_id").agg(*(F.min(r).alias(r) for r in ranks))
+
+
+_OF_LABEL = "join embeddings eq on eq.vec_id = h.query_id join embeddings er on er.vec_id = h.record_id and er.label = eq.label group by 1"
+
+
+@query(f"""
+    with v as (with {_HYBRID} select h.query_id, min(rank) as rank from hits h {_OF_LABEL.replace("group", "where rank <= 5 group")}), d as (with {_SEARCH} select h.query_id, min(rank) as rank from hits h {_OF_LABEL.replace("group", "where rank <= 5 group")}),
+    known as (select distinct label from embeddings where vec_id in (select conv_id from conversations)),
+    c as (select item_id, v.rank as rank_v, d.rank as rank_d, e.vec_id is not null as have, e.vec_id is not null and k.label is null as expect_none, d.rank is null as needs
+        from benchmark left join embeddings e on e.vec_id = item_id left join known k on k.label = e.label left join v on v.query_id = item_id left join d on d.query_id = item_id),
+    s as (select item_id, case when have then case when (case when expect_none then rank_v is null else coalesce(rank_v <= 3, false) end) then 'PASS' else 'FAIL' end when needs then 'SKIP' else 'untested' end as v_state,
+        case when needs then 'not set' when (case when expect_none then rank_d is null else coalesce(rank_d <= 3, false) end) then 'PASS' else 'FAIL' end as d_state from c)
+    select item_id, v_state, d_state, case when 'FAIL' in (v_state, d_state) then 'FAIL' when 'SKIP' in (v_state, d_state) then 'SKIP' else 'PASS' end as verdict from s""")
+def case_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages are to find a conversation of their own label among three hits, with the vector layer and without.
+
+    A passage that keywords alone do not answer needs vectors; one whose label no conversation has expects none.
+    """
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), "label")
+    known = e.join(_turns(spark, sf_dir).select(F.col("record_id").alias("query_id")), "query_id", "left_semi").select("label", F.lit(True).alias("known")).distinct()
+    best = lambda hits, name: _first_of_label(spark, sf_dir, hits, "rank").withColumnRenamed("rank", name)
+    cases = _queries(spark, sf_dir).select("query_id").join(e, "query_id", "left").join(known, "label", "left")
+    cases = cases.join(best(_three_layers(spark, sf_dir), "rank_v"), "query_id", "left").join(best(_hits(spark, sf_dir, 5), "rank_d"), "query_id", "left")
+    cases = cases.selectExpr("query_id as item_id", "rank_v", "rank_d", "3 as topn", "label is not null and known is null as expect_none", "rank_d is null as needs_vectors", "label is not null as have_vectors")
+    return evaluate.case_verdict(cases).select("item_id", "v_state", "d_state", "verdict")
+
+
+@query(f"""
+    with re as (with {_SEARCH}, sc as (select query_id, record_id, list_dot_product(cast(a.embedding as double[]), cast(b.embedding as double[])) as s from hits join embeddings a on a.vec_id = query_id join embeddings b on b.vec_id = record_id where rank <= 20)
+        select h.query_id, h.record_id, row_number() over (partition by h.query_id order by h.pinned desc, case when h.pinned then h.rank end, sc.s desc nulls last, h.rank) as rank, h.rank as old_rank from hits h left join sc using (query_id, record_id) where h.rank <= 20),
+    b as (select h.query_id, min(old_rank) as off, min(rank) as new from re h {_OF_LABEL}),
+    r as (select coalesce(off <= 4, false) as a, coalesce(new <= 4, false) as b from benchmark left join b on b.query_id = item_id)
+    select count(*) as cases, count(*) filter (a) as ok_off, count(*) filter (b) as ok_on, count(*) filter (a and not b) as regressions, count(*) filter (b and not a) as improvements, count(*) filter (a and not b) = 0 as passes from r""")
+def rerank_ab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword hits before and after reranking by vectors: how often a conversation of the passage's label is among the first four."""
+    hits, e = materialize(_hits(spark, sf_dir, 20), "hits"), table(spark, sf_dir, "embeddings")
+    pairs = hits.select("query_id", "record_id").join(e.selectExpr("vec_id as query_id", "embedding as qvec"), "query_id").join(e.selectExpr("vec_id as record_id", "embedding as vec"), "record_id")
+    scores = pairs.select("query_id", "record_id", F.expr("aggregate(zip_with(qvec, vec, (a, b) -> double(a) * double(b)), 0D, (x, y) -> x + y)").alias("rerank"))
+    best = _first_of_label(spark, sf_dir, search.apply_rerank(hits, scores), "old_rank", "rank")
+    return evaluate.rerank_ab(_queries(spark, sf_dir).select("query_id").join(best, "query_id", "left").selectExpr("query_id as case_id", "cast(null as int) as topn", "old_rank as rank_off", "rank as rank_on"))
+
+
 # Scans and manifests
 
 
