@@ -229,7 +229,8 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     """Fit on whole texts of at most ``fit_rows`` rows a language, of which one in ``HELD_BACK`` calibrates rejection.
 
     Rows are drawn by a hash of their id, so the draw does not depend on the input's order.  Words are counted by the
-    tasks; their counts, bounded by the draw, come to the driver.  Rows with null text, language or without letters
+    tasks; their counts, bounded by the draw, come to the driver.  A language none of whose few rows were held back is calibrated on
+    the rows that it was fitted on, and no tighter than any other.  Rows with null text, language or without letters
     teach nothing.  Without labelled rows there are no languages, and every text is rejected.
     """
     rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.lit(7)).alias("draw"))
@@ -273,11 +274,19 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
                 bits = [float(e[k]) if k >= 0 else float("nan") for e, k in zip(entropy, own, strict=True)]
                 yield pa.RecordBatch.from_arrays([chunk.column("lang"), pa.array(bits)], ["lang", "bits"])
 
-    held = drawn.where("held").select("lang", "text").mapInArrow(measure, "lang string, bits double").where("not isnan(bits)").collect() if languages else []  # a number a drawn row
+    def measured(rows: DataFrame) -> dict[str, list[float]]:
+        bits: dict[str, list[float]] = {}
+        for r in rows.select("lang", "text").mapInArrow(measure, "lang string, bits double").where("not isnan(bits)").collect():  # a number a drawn row
+            bits.setdefault(r["lang"], []).append(r["bits"])
+        return bits
+
+    limit = lambda own: np.quantile(own, CALIBRATION_SHARE) + MARGIN_BITS
+    held = measured(drawn.where("held")) if languages else {}
+    lacking = [x for x in languages if x not in held]
+    own_rows = measured(drawn.where(~F.col("held") & F.col("lang").isin(lacking))) if lacking else {}
+    widest = max((limit(x) for x in held.values()), default=0.0)
     for k, lang in enumerate(languages):
-        own = [r["bits"] for r in held if r["lang"] == lang]
-        if own:
-            fitted.limits[k] = np.quantile(own, CALIBRATION_SHARE) + MARGIN_BITS
+        fitted.limits[k] = limit(held[lang]) if lang in held else max(widest, limit(own_rows[lang]))
     sent.unpersist()
     return fitted
 

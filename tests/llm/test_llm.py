@@ -3,6 +3,7 @@
 import collections
 import gzip
 import itertools
+import math
 import random
 import re
 import zlib
@@ -293,6 +294,60 @@ def test_kneser_ney_sums_to_one():
     assert abs(sum(grams.values()) + model.models[0].floor - 1) < 1e-9
 
 
+def direct_kneser_ney(counted):
+    """log2 probability of a word by the definition, from dictionaries of strings."""
+    order, tables = langid.ORDER, []
+    for n in range(1, order + 1):
+        table = collections.Counter()
+        for w, times in counted.items():
+            for end in range(max(1, n - 1), len(w) + 2):
+                table[f" {w} "[end - n + 1 : end + 1]] += times
+        tables.append(table)
+    probability, backoff, floor = [], [], 0.0
+    for n in range(order):
+        predecessors = collections.Counter(g[1:] for g in tables[n + 1]) if n + 1 < order else {}
+        count = {g: predecessors.get(g) or c for g, c in tables[n].items()}
+        ones, twos = (sum(c == x for c in count.values()) for x in (1, 2))
+        discount = min(0.95, max(0.1, ones / max(1, ones + 2 * twos)))
+        total, kinds = collections.Counter(), collections.Counter()
+        for g, c in count.items():
+            total[g[:-1]] += c
+            kinds[g[:-1]] += 1
+        backoff.append({h: discount * kinds[h] / total[h] for h in total})
+        if n == 0:
+            floor = backoff[0][""] / (len(count) + 1)
+            probability.append({g: (c - discount) / total[""] + floor for g, c in count.items()})
+        else:
+            probability.append({g: (c - discount) / total[g[:-1]] + backoff[n][g[:-1]] * probability[n - 1][g[1:]] for g, c in count.items()})
+
+    def bits(w):
+        s, out = f" {w} ", 0.0
+        for end in range(1, len(s)):
+            p = floor
+            for n in range(1, min(order, end + 1) + 1):
+                g = s[end - n + 1 : end + 1]
+                p = probability[n - 1][g] if g in probability[n - 1] else p * (backoff[n - 1].get(g[:-1], 1.0) if n > 1 else 1.0)
+            out += math.log2(p)
+        return out
+
+    return bits
+
+
+def test_models_against_the_definition():
+    rnd = random.Random(4)
+    word = lambda signs: "".join(rnd.choice(signs) for _ in range(rnd.randint(1, 9)))
+    samples = [{word(signs): rnd.randint(1, 4) for _ in range(200)} for signs in ("aabcde", "abbcéz")]
+    models = [langid.CharModel.fit(list(x), np.array(list(x.values()), float)) for x in samples]
+    both = langid.LanguageModels(["x", "y"], models, np.array([9.0, 9.0]))
+    both.merge()
+    asked = [*samples[0], *samples[1], *(word("abcdeéqz") for _ in range(200)), "q", "q" * 50]
+    found, chars = both.words(asked)
+    assert chars.tolist() == [len(w) + 1 for w in asked]
+    for k, x in enumerate(samples):
+        direct = direct_kneser_ney(x)
+        assert np.allclose(found[:, k], [direct(w) for w in asked], atol=1e-3)
+
+
 def test_letter_runs_are_what_the_pattern_finds():
     rnd = random.Random(3)
     texts = ODD + ["".join(rnd.choice([*"aZ '1_.-\n×÷Éßÿºª²µŁΣσ中٣", " x", "İ"]) for _ in range(rnd.randint(0, 12))) for _ in range(2000)]
@@ -329,6 +384,8 @@ def test_language_id(spark):
     assert sum(found[i]["lang_pred"] == l for i, _, l in rows[:200]) >= 198
     assert all(found[i]["lang_pred"] == "und" and found[i]["score"] == 0 and found[i]["rejected"] for i in (900, 901, 902))
     assert found[903]["lang_pred"] == "en" and 0 <= found[903]["score"] <= 1 and found[904]["rejected"]
+    few = langid.fit(spark.createDataFrame([(i, f"{w} word", w) for i, w in enumerate(["uno", "due", "tre"])], "doc_id long, text string, lang string"))
+    assert np.isfinite(few.limits).all()
     nothing = langid.fit(df.limit(0))
     assert {r["lang_pred"] for r in langid.identify(df, nothing).collect()} == {"und"}
     assert langid.identify(df.limit(0), models).count() == 0
