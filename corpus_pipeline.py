@@ -12,10 +12,19 @@ from leafpress.llm.queries import held_out
 from leafpress.storage import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Bytes of an Arrow batch; with Spark's own bound, a batch of 10,000 texts takes tens of megabytes in the executor and again in its worker.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches in this session, unless it has a bound of its own."""
+    if BATCH not in spark.conf.getAll:
+        spark.conf.set(BATCH, BATCH_BYTES)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no language model accepts go."""
+    bound_batches(spark)
     models = langid.fit(docs.where(~held_out()))
     return langid.identify(docs, models).where("not rejected").select(*COLUMNS)
 
@@ -25,6 +34,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows with one id and different texts are separate documents of that id: each of these texts stays.
     """
+    bound_batches(spark)
     kept = minhash.near_duplicates(docs, words_in=5, percent=80).where("kept").select("doc_id").distinct()
     null_ids = docs.where("doc_id is null")
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(null_ids).select(*COLUMNS)
@@ -38,6 +48,7 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many copies of each document as its rate says: none of most toxic ones, several where a domain needs more than it has."""
+    bound_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
     model = mixing.fit_domains(docs.select("doc_id", "text").join(labels, "doc_id"), mixing.label_domain())
     copies = mixing.mix(docs, model).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies"))
@@ -47,6 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their ids and their places in sequences of 1024."""
+    bound_batches(spark)
     pieces = materialize(packing.token_pieces(docs), "pieces")
     return packing.pack(packing.with_crc(pieces), written=pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
