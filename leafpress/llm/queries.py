@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafpress.llm import ann, langid, licenses, minhash, mixing, packing, pii, repetition, token_files, warc
+from leafpress.llm import ann, langid, lexical, licenses, minhash, mixing, packing, pii, repair, repetition, simhash, token_files, warc
+from leafpress.llm.oracles import REPAIR
 from leafpress.storage import materialize, new_path
 
 
@@ -80,11 +81,40 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(rows, rows.where("vec_id % 20 = 0"), k=20)
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document with its fingerprint and group: up to 4 of 64 bits differ.  Without words: fingerprint zero, linked like any other."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of every benchmark item, from an index of all documents.  Null text, or text without terms: no hits."""
+    path = new_path(spark, "lexical")
+    lexical.write_index(_table(spark, sf_dir, "documents"), path)
+    return lexical.search(spark, path, _table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per conversation, damaged and repaired.  No rows left: zeros, no edits and the digest of nothing."""
+    rows = _table(spark, sf_dir, "conversations")
+    return repair.report(rows, repair.damage(rows))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_best_fit_packing, op3_minhash_near_dedup, op4_pii, op5_warc, op6_quality_rules, op7_language_id, op8_token_files, op9_mixing, op10_nearest_neighbours)}
+    return {f.__name__: f for f in (op1_license_scan, op2_best_fit_packing, op3_minhash_near_dedup, op4_pii, op5_warc, op6_quality_rules, op7_language_id, op8_token_files, op9_mixing, op10_nearest_neighbours, op11_simhash_near_dedup, op12_lexical_search, op13_conversation_repair)}
 
 
 ORACLES = {
+    "op12_lexical_search": r"""
+        with d as (select row_number() over () as r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents where text is not null),
+        q as (select item_id, unnest(list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) as term from benchmark where text is not null),
+        c as (select count(*) as n_docs, sum(len(terms)) as n_terms from d where len(terms) > 0),
+        m as (select r, cast(100 - 90 + (90 * len(terms) * n_docs) // n_terms as bigint) as m from d, c where len(terms) > 0),
+        t as (select r, term, count(*) as tf from (select r, unnest(terms) as term from d) group by r, term),
+        w as (select term, cast(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) as bigint) as w from t, c group by term),
+        s as (select q.item_id, t.r, sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * m.m))) as score from (select distinct item_id, term from q) q join t using (term) join w using (term) join m using (r) group by q.item_id, t.r)
+        select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank, doc_id, cast(score as bigint) as score
+        from s join d using (r) where score > 0 qualify row_number() over (partition by item_id order by score desc, doc_id) <= 10""",
+    "op13_conversation_repair": REPAIR,
     # Every link of the contract over all pairs that share a shingle, then the smallest id that links reach.
     "op3_minhash_near_dedup": r"""
         with recursive words as (
