@@ -33,6 +33,8 @@ PAIRS = tuple(combinations(range(len(SEGMENTS)), 2))
 GOLAY = 0xC75
 #: A key with more fingerprints is left to ``_by_midpoints``.
 GROUP = 32_768
+#: Larger keys that are broadcast at most.
+SENT_KEYS = 1_000_000
 #: In groups of up to so many, all pairs are compared side by side.
 SMALL_GROUP = 16
 
@@ -233,12 +235,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
     nodes = materialize(signed.groupBy("print").agg(F.min("doc_id").alias("least")), "prints")
     posted = materialize(postings(nodes), "postings")
-    sizes = posted.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    shared = materialize(sizes, "sizes")
-    large = shared.where(F.col("size") > group)
-    edges = _by_key(posted.join(shared.where(F.col("size") <= group).select("key"), "key", "left_semi"), _connected, whole=True)
-    if large.limit(1).count():
-        edges = edges.union(_by_midpoints(posted.join(F.broadcast(large.select("key")) if large.count() <= 1_000_000 else large.select("key"), "key", "left_semi").select("print").distinct()))
+    large = materialize(posted.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > group).select("key"), "large")  # at most postings / group
+    n_large = large.count()
+    if not n_large:
+        edges = _by_key(posted, _connected, whole=True)
+    else:
+        sent = F.broadcast(large) if n_large <= SENT_KEYS else large
+        edges = _by_key(posted.join(sent, "key", "left_anti"), _connected, whole=True).union(_by_midpoints(posted.join(sent, "key", "left_semi").select("print").distinct()))
     labels = connected_components(edges)
     own = materialize(nodes.join(labels.selectExpr("node as print", "component"), "print", "left").select("print", "least", F.coalesce("component", "print").alias("component")), "own")
     found = own.join(own.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("print", "component_id")
