@@ -6,16 +6,16 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafpress.functions import text as T
 from leafpress.jobs.transcript import ITEMS, ORDERS, SQL, transcript_pages
 from leafpress.operators import assemble as A
-from leafpress.operators import audit, evaluate, index, lines, quality, search, vectors
+from leafpress.operators import audit, evaluate, gram_index, index, lines, quality, search, vectors
 from leafpress.operators.contract import Contract
 from leafpress.sources import readers
-from leafpress.storage import materialize
+from leafpress.storage import materialize, new_path
 
 #: White space in RE2, as the library sees it.
 WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -468,7 +468,7 @@ _HYBRID = f"""{_SEARCH.split(", rk as" if ", rk as" in _SEARCH else "rk as")[0].
         from q join embeddings e on e.vec_id = q.query_id cross join (select * from embeddings where vec_id in (select conv_id from conversations)) v)),
     rk as (select query_id, record_id, 0 as layer, row_number() over (partition by query_id order by score desc, tie, record_id) as rank from ex
         union all select query_id, record_id, 1, row_number() over (partition by query_id order by score desc, tie, record_id) from lex
-        union all select query_id, record_id, 2, row_number() over (partition by query_id order by score desc, record_id) from vh where rank <= 10),
+        union all select query_id, record_id, 2, row_number() over (partition by query_id order by score desc, record_id) from vh),
     fu as (select query_id, record_id, coalesce(max(1.0::double / (60 + rank)) filter (layer = 0), 0) + coalesce(max(1.0::double / (60 + rank)) filter (layer = 1), 0) + coalesce(max(1.0::double / (60 + rank)) filter (layer = 2), 0) as score,
         min(layer * 1000000000 + rank) as first, bool_or(layer = 2) as by_vector from rk group by 1, 2),
     pi as (select fu.*, ex.tie as pin from fu left join ex using (query_id, record_id)),
@@ -477,17 +477,16 @@ _HYBRID = f"""{_SEARCH.split(", rk as" if ", rk as" in _SEARCH else "rk as")[0].
 
 @query(f"with {_HYBRID} select query_id, record_id, cast(rank as int) as rank, round(score, 9) as score, by_vector from hits where rank <= 5")
 def search_three_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact first turns, shared bigrams and the ten nearest cards; the vector of a passage or conversation is that of its number."""
+    """Exact first turns, shared bigrams and all cards by their dot products; the vector of a passage or conversation is that of its number."""
     return _three_layers(spark, sf_dir).select("query_id", "record_id", "rank", F.round("score", 9).alias("score"), F.col("layers")["vector"].alias("by_vector"))
 
 
 def _three_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked, turns, e = _queries(spark, sf_dir), _turns(spark, sf_dir), table(spark, sf_dir, "embeddings")
     keys = table(spark, sf_dir, "conversations").where("turn = 0").select(T.norm("text").alias("key"), F.col("conv_id").alias("record_id"), F.col("conv_id").alias("ord"))
-    records = turns.select("record_id").distinct().withColumn("ord", F.col("record_id"))
-    cards = e.selectExpr("vec_id as id", "embedding as vec").join(records.selectExpr("record_id as id"), "id", "left_semi")
-    near = vectors.dot_topk(asked.select("query_id").join(e.selectExpr("vec_id as query_id", "embedding as qvec"), "query_id"), cards, 10)
-    return search.search(asked, turns, keys, search.vector_layer(near, records), k=5)
+    cards = e.selectExpr("vec_id as record_id", "vec_id as ord", "embedding as vec").join(turns.select("record_id"), "record_id", "left_semi")
+    near = search.VectorLayer(asked.select("query_id").join(e.selectExpr("vec_id as query_id", "embedding as qvec"), "query_id"), cards)
+    return search.search(asked, turns, keys, near, k=5)
 
 
 # Names that the queries with whole passages had first
@@ -529,6 +528,19 @@ def search_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flag_hits(spark, sf_dir, T.norm("text"))
 
 
+@query(f"with {_FLAG} select query_id, record_id, cast(rank as int) as rank, round(1.0::double / (60 + rank), 9) as score from rk where rank <= 5")
+def search_benchmark_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a written index of the lines' bigrams: no text is read for a batch of passages, nor a list that cannot matter."""
+    path = new_path(spark, "grams")
+    gram_index.write_index(_document_lines(spark, sf_dir), path)
+    hits = search.fuse({"lex": search.IndexLayer(path, _queries(spark, sf_dir))}, 5)
+    return hits.select("query_id", "record_id", "rank", F.round("score", 9).alias("score"))
+
+
+def _document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.to_lines(table(spark, sf_dir, "documents").selectExpr("0 as book", "doc_id as page", "text")).selectExpr("page as record_id", "line as block_id", "st as text")
+
+
 def _held(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages and the documents that hold all of them: with a whole document as one block, these score above 1."""
     whole = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), F.lit(0).alias("block_id"), "text")
@@ -536,14 +548,12 @@ def _held(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flag_hits(spark: SparkSession, sf_dir: str, q: Column, across: bool = False) -> DataFrame:
-    blocks = lines.to_lines(table(spark, sf_dir, "documents").selectExpr("0 as book", "doc_id as page", "text")).selectExpr("page as record_id", "line as block_id", "st as text")
+    blocks = _document_lines(spark, sf_dir)
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), q.alias("q"))
     lex = search.lexical_layer(asked, blocks)
     if across:  # a line that holds the passage has 2 already, any other line 1 at most
         lex = lex.join(_held(spark, sf_dir).withColumn("whole", F.lit(1.0)), ["query_id", "record_id"], "left").withColumn("score", F.least("score", F.lit(1.0)) + F.coalesce("whole", F.lit(0.0))).drop("whole")
-    hits = search.rrf({"lex": lex})
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "first", "record_id")
-    return hits.withColumn("rank", F.row_number().over(order)).where("rank <= 5").select("query_id", "record_id", "rank", F.round("score", 9).alias("score"))
+    return search.fuse({"lex": search.TableLayer(lex)}, 5).select("query_id", "record_id", "rank", F.round("score", 9).alias("score"))
 
 
 _WHOLE_FLAG = f"""

@@ -14,6 +14,8 @@ from leafpress.functions import text as T
 BATCH = 32
 #: Queries and vectors that meet in one matrix product.
 QUERY_BLOCK, VECTOR_BLOCK = 1024, 16_384
+#: Digits of a dot product that count; the order of additions changes later ones.
+DIGITS = 12
 
 
 def embedding_inputs(recipes: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -99,26 +101,52 @@ def _best(scores: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
     return near[np.lexsort((own[near], -scores[near]))[:k]]
 
 
+def _dealt(left: DataFrame, right: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of both sides in blocks of bounded size, each block with each of the other side."""
+    n_l, n_r = max(1, -(-left.count() // QUERY_BLOCK)), max(1, -(-right.count() // VECTOR_BLOCK))
+    deal = lambda d, c, own, n, other, m: d.withColumn(own, F.expr(f"cast(pmod(xxhash64({c}), {n}) as int)")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+    return deal(left, by, "qb", n_l, "vb", n_r), deal(right, "id", "vb", n_r, "qb", n_l)
+
+
+def _products(q: pd.Series, v: pd.Series) -> np.ndarray:
+    """All dot products; equal vectors give equal ones wherever they stand in the matrix."""
+    return np.round(np.stack(q.to_numpy()).astype(np.float64) @ np.stack(v.to_numpy()).astype(np.float64).T, DIGITS)
+
+
 def dot_topk(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """(query_id, id, score, rank) of (query_id, qvec) against (id, vec): exact, ties to the smaller id.
 
     Both sides are dealt into blocks of bounded size, and each pair of blocks is one matrix product that keeps its best
     ``k`` a query; so what is shuffled grows with queries times blocks, and no task holds a whole side.
     """
-    n_q, n_v = max(1, -(-queries.count() // QUERY_BLOCK)), max(1, -(-vectors.count() // VECTOR_BLOCK))
-    deal = lambda d, c, own, n, other, m: d.withColumn(own, F.expr(f"cast(pmod(xxhash64({c}), {n}) as int)")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
-    left = deal(queries.select("query_id", "qvec"), "query_id", "qb", n_q, "vb", n_v)
-    right = deal(vectors.select("id", "vec"), "id", "vb", n_v, "qb", n_q)
+    left, right = _dealt(queries.select("query_id", "qvec"), vectors.select("id", "vec"), "query_id")
     kinds = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {vectors.schema['id'].dataType.simpleString()}, score double"
 
     def multiply(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(v):
             return pd.DataFrame({"query_id": q["query_id"][:0], "id": v["id"][:0], "score": np.empty(0)})
-        scores = np.stack(q["qvec"].to_numpy()).astype(np.float64) @ np.stack(v["vec"].to_numpy()).astype(np.float64).T
-        own = v["id"].to_numpy()
+        scores, own = _products(q["qvec"], v["vec"]), v["id"].to_numpy()
         tops = [_best(s, own, k) for s in scores]
         return pd.DataFrame({"query_id": np.repeat(q["query_id"].to_numpy(), [len(t) for t in tops]), "id": np.concatenate([own[t] for t in tops]), "score": np.concatenate([s[t] for s, t in zip(scores, tops, strict=True)])})
 
     found = left.groupBy("qb", "vb").cogroup(right.groupBy("qb", "vb")).applyInPandas(multiply, kinds)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def dot_places(queries: DataFrame, vectors: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(query_id, id, rank) of a few pairs (query_id, id): one more than the vectors that ``dot_topk`` would rank before."""
+    own = pairs.join(queries.select("query_id", "qvec"), "query_id").join(vectors.select("id", "vec"), "id")
+    own = own.select("query_id", F.col("id").alias("own"), "qvec", F.round(dot(F.col("qvec"), F.col("vec")), DIGITS).alias("least"))
+    left, right = _dealt(own, vectors.select("id", "vec"), "query_id, own")
+    kinds = f"query_id {queries.schema['query_id'].dataType.simpleString()}, own {vectors.schema['id'].dataType.simpleString()}, ahead long"
+
+    def count(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
+        ahead = np.zeros(len(q), np.int64)
+        if len(q) and len(v):
+            scores, least, mine, others = _products(q["qvec"], v["vec"]), q["least"].to_numpy()[:, None], q["own"].to_numpy()[:, None], v["id"].to_numpy()[None, :]
+            ahead = (((scores > least) & (others != mine)) | ((scores == least) & (others < mine))).sum(axis=1)
+        return pd.DataFrame({"query_id": q["query_id"], "own": q["own"], "ahead": ahead})
+
+    found = left.groupBy("qb", "vb").cogroup(right.groupBy("qb", "vb")).applyInPandas(count, kinds)
+    return found.groupBy("query_id", F.col("own").alias("id")).agg((F.sum("ahead") + 1).alias("rank"))
