@@ -15,7 +15,7 @@ from leafpress.operators import assemble as A
 from leafpress.operators import audit, evaluate, gram_index, index, lines, quality, search, vectors
 from leafpress.operators.contract import Contract
 from leafpress.sources import readers
-from leafpress.storage import materialize, new_path
+from leafpress.storage import materialize, new_path, shared_dir
 
 #: White space in RE2, as the library sees it.
 WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -124,8 +124,20 @@ _ORDERS_SQL = _OWNED.replace("cast(o_custkey as string)", "cast(o_custkey as var
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Typed lines and pieces are written once: every other table is made of them."""
-    return A.assemble(transcript_pages(spark, sf_dir), cut=materialize)
+    """The transcript's corpus, assembled by the first query of a session that needs it."""
+    return shared(spark, sf_dir, "transcript", ("orders", "lineitem"), lambda: A.assemble(transcript_pages(spark, sf_dir)))
+
+
+_SHARED: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def shared(spark: SparkSession, sf_dir: str, name: str, sources: tuple[str, ...], make: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+    """The tables that ``make`` gives, written and read again, for all queries of a session over the same files."""
+    files = tuple(sorted(f for t in sources for f in table(spark, sf_dir, t).inputFiles()))
+    key = (spark.sparkContext.applicationId, shared_dir(spark), files, name)
+    if key not in _SHARED:
+        _SHARED[key] = {n: t if n in ("lines", "pieces") else materialize(t, f"{name}_{n}") for n, t in make().items()}
+    return _SHARED[key]
 
 
 @query(f"""with {_ORDERS_SQL}
@@ -172,7 +184,9 @@ def transcript_toc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     select book, case when promoted then 'open_promoted' else 'open_start' end as kind, count(*) as n from rid group by 1, 2
     union all select book, 'rejected_unnumbered', count(*) from o where refused group by 1
     union all select book, 'step_body', count(*) from b where kind = 1 group by 1
-    union all select book, 'no_marker_page', count(*) from (select book, page from ({_TRANSCRIPT_SQL}) where page > 0 group by 1, 2 having not bool_or(starts_with(line, '@@'))) group by 1""")
+    union all select book, 'no_marker_page', count(*) from (select book, page from ({_TRANSCRIPT_SQL}) where page > 0 group by 1, 2 having not bool_or(starts_with(line, '@@'))) group by 1
+    union all select book, 'toc_line', count(*) from o group by 1
+    union all select book, 'toc_page', 1 from o group by 1 having count(*) >= 3""")
 def transcript_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.drift_counts(corpus(spark, sf_dir))
 

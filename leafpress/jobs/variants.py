@@ -11,12 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafpress.jobs.queries import query, table
+from leafpress.jobs.queries import query, shared, table
 from leafpress.jobs.transcript import as_pages, over_tables
 from leafpress.operators import assemble as A
 from leafpress.operators import audit, lines, quality, vectors
 from leafpress.operators.contract import Contract
-from leafpress.storage import materialize
 
 #: An order a row, with its variants; runs in Spark and, as ``_duck`` writes it, in DuckDB.
 _ORDERS = """
@@ -78,8 +77,9 @@ def errata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").selectExpr("if(c_custkey % 3 > 0, concat('V', c_custkey), '*') as book", "concat('C0', c_custkey % 7 + 1, if(c_nationkey % 2 = 0, '-S01', ''), ' title') as scope", "'print_duplicate_number' as kind", "cast(c_nationkey % 4 + 1 as string) as value")
 
 
-def corpus(spark: SparkSession, sf_dir: str, named: DataFrame | None = None) -> dict[str, DataFrame]:
-    return A.assemble(variant_pages(spark, sf_dir), errata=named, cut=materialize)
+def corpus(spark: SparkSession, sf_dir: str, named: bool = False) -> dict[str, DataFrame]:
+    """The corpus, with ids told apart where errata name them or not."""
+    return shared(spark, sf_dir, f"variants_{named}", ("orders", "customer"), lambda: A.assemble(variant_pages(spark, sf_dir), errata=errata(spark, sf_dir) if named else None))
 
 
 @query(f"""with {_WANTED}, {_ERRATA}
@@ -87,7 +87,7 @@ def corpus(spark: SparkSession, sf_dir: str, named: DataFrame | None = None) ->
         sub_chapter, scope_id, case when unmarked then 'unmarked' else 'start' end as how, concat('米', k) as ingredients, concat('盐', k) as seasonings from d""")
 def variant_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with sub-chapters, unmarked starts, and repeated numbers told apart where an erratum names them."""
-    r = corpus(spark, sf_dir, errata(spark, sf_dir))["recipes"]
+    r = corpus(spark, sf_dir, named=True)["recipes"]
     return r.select("book", "recipe_id", "number", "name", "chapter", "sub_chapter", "scope_id", "how", F.array_join("ingredients", "|").alias("ingredients"), F.array_join("seasonings", "|").alias("seasonings"))
 
 
@@ -105,7 +105,8 @@ def variant_glossary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""with {_MARKED},
     c as (select book, unnest(['inline', 'group', 'bare_step', 'inline_step', case when okey % 6 = 0 then 'step_body' end, case when unmarked then 'open_unmarked' else 'open_start' end, case when sub then 'sub_chapter' end,
-        case when okey % 8 = 1 then 'spelling_制 法' end, case when okey % 2 = 1 then 'no_marker_page' end, case when okey % 4 <> 1 then 'splice' end]) as kind from o)
+        case when okey % 8 = 1 then 'spelling_制 法' end, case when okey % 2 = 1 then 'no_marker_page' end, case when okey % 4 <> 1 then 'splice' end, 'toc_line']) as kind from o
+        union all select book, 'toc_page' from o group by 1 having count(*) >= 3)
     select book, kind, count(*) as n from c where kind is not null group by 1, 2""")
 def variant_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.drift_counts(corpus(spark, sf_dir))

@@ -1,6 +1,8 @@
-"""Records and blocks from typed lines, with windows over a book's lines in order.
+"""Records and blocks from typed lines, for books of any size.
 
-One exchange by book serves all windows: finer keys start with the book.
+Chapters, sub-chapters and openings of records are few: they are numbered by scans over page ranges (``scan.before``), and each
+page learns the state it begins with.  All other state, the section in force, a step mark that waits for its text, the
+count of steps and whether a piece goes on across pages, ends where a record opens, so it is followed within records.
 """
 
 from __future__ import annotations
@@ -11,45 +13,68 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from leafpress.functions import text as T
+from leafpress.operators import scan
 from leafpress.operators.contract import Contract
-from leafpress.operators.lines import in_book, to_lines, type_lines
+from leafpress.operators.lines import is_toc_line, to_lines, type_lines
+from leafpress.storage import materialize
 
 #: Marks that end a sentence; fixed values.
 SENTENCE_ENDS = "。！？；：…”』"
 
 
-def _before() -> WindowSpec:
-    return in_book().rowsBetween(Window.unboundedPreceding, -1)
+def _in_record(*keys: str) -> WindowSpec:
+    """A record's lines in order; lines before the first record in the stretches between chapters and sub-chapters, where a section ends too."""
+    return Window.partitionBy("book", "record", "stretch", *keys).orderBy("page", "line")
 
 
-def _so_far() -> WindowSpec:
-    return in_book().rowsBetween(Window.unboundedPreceding, 0)
+def _two(c: str) -> Column:
+    return F.lpad(F.col(c).cast("string"), F.greatest(F.lit(2), F.length(F.col(c).cast("string"))), "0")
 
 
-def scoped(typed: DataFrame) -> DataFrame:
-    """Add chapter and sub-chapter numbers and titles, and ``scope_id``: ``Cnn`` or ``Cnn-Snn``."""
-    title = T.norm("tail")
-    chapters = typed.withColumn("chapter_seq", F.sum(F.col("chapter_line").cast("int")).over(_so_far()))
-    subs = chapters.withColumn("sub_seq", F.sum(F.col("sub_line").cast("int")).over(Window.partitionBy("book", "chapter_seq").orderBy("page", "line").rowsBetween(Window.unboundedPreceding, 0)))
-    two = lambda c: F.lpad(F.col(c).cast("string"), F.greatest(F.lit(2), F.length(F.col(c).cast("string"))), "0")
-    return subs.select(
-        "*",
-        F.coalesce(F.last(F.when(F.col("chapter_line"), title), ignorenulls=True).over(_so_far()), F.lit("")).alias("chapter"),
-        F.coalesce(F.last(F.when(F.col("chapter_line"), "").when(F.col("sub_line"), title), ignorenulls=True).over(_so_far()), F.lit("")).alias("sub_chapter"),
-        F.when(F.col("sub_seq") > 0, F.concat(F.lit("C"), two("chapter_seq"), F.lit("-S"), two("sub_seq"))).otherwise(F.concat(F.lit("C"), two("chapter_seq"))).alias("scope_id"),
-    )
-
+def openings(typed: DataFrame, span: int = scan.SPAN) -> DataFrame:
+    """Of the lines that may change the scope or open a record: scope, ``how`` they open one (start, promoted, unmarked or null) and its number in the book.
 
-def opened(lines: DataFrame) -> DataFrame:
-    """Add ``how`` a line opens a record (start, promoted, unmarked or null) and ``record``, the record's number in its book."""
-    at = F.struct("page", "line")
-    first = lambda c: F.min(F.when(c, at)).over(Window.partitionBy("book"))
-    marked = lines.withColumn("first_open", first(F.col("accepted") | F.col("candidate"))).withColumn("first_unmarked", first(F.col("unmarked_start")))
-    marked = marked.withColumn("unmarked_open", F.col("unmarked_start") & (at == F.col("first_unmarked")) & F.coalesce(at < F.col("first_open"), F.lit(True)))
-    number = F.when(F.col("accepted") | F.col("candidate") | F.col("unmarked_open"), F.col("start.number"))
-    numbered = marked.withColumn("number", number).withColumn("nth", F.row_number().over(Window.partitionBy("book", "scope_id", "number").orderBy("page", "line")))
+    The scope is ``Cnn`` or ``Cnn-Snn`` by chapters and the sub-chapters of a chapter.
+    """
+    at, title = F.struct("page", "line"), T.norm("tail")
+    few = typed.where("chapter_line or sub_line or accepted or candidate or unmarked_start").select("book", "page", "line", "chapter_line", "sub_line", "accepted", "candidate", "unmarked_start", F.col("start.number").alias("start_number"), title.alias("title"))
+    few = materialize(few, "few")
+    count = lambda c: F.col(c).cast("long")
+    few = scan.before(few, ["page", "line"], {"chapter_seq": count("chapter_line"), "subs": count("sub_line")}, span=span)
+    few = materialize(few.withColumns({"chapter_seq": F.col("chapter_seq") + count("chapter_line"), "subs": F.col("subs") + count("sub_line")}), "few")
+    events = {"chapter": F.when(F.col("chapter_line"), F.col("title")), "sub_chapter": F.when(F.col("chapter_line"), "").when(F.col("sub_line"), F.col("title")), "subs_before": F.when(F.col("chapter_line"), F.col("subs"))}
+    few = scan.before(few, ["page", "line"], lasts=events, span=span)
+    few = few.withColumns({n: F.coalesce(v, F.col(n), F.lit(0 if n == "subs_before" else "")) for n, v in events.items()}).withColumn("sub_seq", F.col("subs") - F.col("subs_before"))
+    few = few.withColumn("scope_id", F.concat(F.lit("C"), _two("chapter_seq"), F.when(F.col("sub_seq") > 0, F.concat(F.lit("-S"), _two("sub_seq"))).otherwise("")))
+    few = materialize(few, "scoped")
+    # The first opening of a book may lack its mark
+    first = lambda c: F.min(F.when(c, at))
+    firsts = few.groupBy("book").agg(first(F.col("unmarked_start")).alias("u"), first(F.col("accepted") | F.col("candidate")).alias("o")).where("u is not null and (o is null or u < o)")
+    few = scan.matched(few, firsts.selectExpr("book", "u.page as page", "u.line as line", "true as unmarked_open"), ["book", "page", "line"], "left").withColumn("unmarked_open", F.coalesce("unmarked_open", F.lit(False)))
+    opens = F.col("accepted") | F.col("candidate") | F.col("unmarked_open")
+    nth = F.row_number().over(Window.partitionBy("book", "scope_id", "number").orderBy("page", "line"))
     how = F.when(F.col("accepted"), "start").when(F.col("unmarked_open"), "unmarked").when(F.col("candidate") & (F.col("nth") == 1), "promoted")
-    return numbered.withColumn("how", how).withColumn("record", F.sum(F.col("how").isNotNull().cast("int")).over(_so_far())).drop("first_open", "first_unmarked", "nth")
+    numbered = few.where(opens).withColumn("number", F.col("start_number")).withColumn("nth", nth).withColumn("how", how).drop("nth")
+    few = materialize(numbered.unionByName(few.where(~opens), allowMissingColumns=True), "numbered")
+    few = scan.before(few, ["page", "line"], {"record": F.col("how").isNotNull().cast("long")}, span=span)
+    return few.select("book", "page", "line", *STATE, (F.col("record") + F.col("how").isNotNull().cast("long")).alias("record"), "how", "number")
+
+
+#: What holds from a line on, until another line changes it.
+STATE = ("chapter_seq", "sub_seq", "chapter", "sub_chapter", "scope_id")
+
+
+def placed(typed: DataFrame, found: DataFrame, span: int = scan.SPAN) -> DataFrame:
+    """Add to each line the scope in force, its ``record`` (0 before the first) and, if it opens one, ``how`` and ``number``."""
+    state = F.struct("line", *STATE, "record", "how", "number")
+    changes = found.groupBy("book", "page").agg(F.sort_array(F.collect_list(state)).alias("changes"))
+    pages = materialize(scan.matched(typed.select("book", "page").distinct(), changes, ["book", "page"], "left"), "page_states")
+    pages = scan.before(pages, ["page"], lasts={"came": F.element_at("changes", -1)}, span=span)
+    lines = scan.matched(typed, pages, ["book", "page"]).withColumn("own", F.expr("get(filter(changes, x -> x.line <= line), size(filter(changes, x -> x.line <= line)) - 1)"))
+    lines = lines.withColumn("state", F.coalesce("own", "came")).withColumn("opens", F.coalesce(F.col("own.line") == F.col("line"), F.lit(False)))
+    begin = {"chapter_seq": 0, "sub_seq": 0, "chapter": "", "sub_chapter": "", "scope_id": "C00", "record": 0}
+    lines = lines.select("*", *(F.coalesce(F.col(f"state.{c}"), F.lit(v)).alias(c) for c, v in begin.items()), *(F.when(F.col("opens"), F.col(f"own.{c}")).alias(c) for c in ("how", "number")))
+    return lines.withColumn("stretch", F.when(F.col("record") == 0, F.concat_ws("-", "chapter_seq", "sub_seq")).otherwise("")).drop("changes", "came", "own", "state", "opens")
 
 
 def stated(lines: DataFrame) -> DataFrame:
@@ -58,7 +83,7 @@ def stated(lines: DataFrame) -> DataFrame:
     inline = F.coalesce(F.col("inline.section").isNotNull(), F.lit(False))
     consumer = (F.col("record") > 0) & F.col("how").isNull() & ((F.col("mark").isNull() & ~inline) | F.col("mark").eqNullSafe("other"))
     event = F.when(step_only, "set").when(F.col("mark").eqNullSafe("footer") | F.col("how").isNotNull(), "reset").when(consumer, "use")
-    taking = lines.withColumn("event", event).withColumn("takes_step", F.coalesce((F.col("event") == "use") & (F.last("event", ignorenulls=True).over(_before()) == "set"), F.lit(False)))
+    taking = lines.withColumn("event", event).withColumn("takes_step", F.coalesce((F.col("event") == "use") & (F.last("event", ignorenulls=True).over(_in_record().rowsBetween(Window.unboundedPreceding, -1)) == "set"), F.lit(False)))
     bare_name = F.col("mark").isNull() & ~F.col("takes_step") & F.col("grp").isNull() & F.col("named").isNotNull()
     none = F.struct(F.lit(None).cast("string").alias("sec"))
     change = (
@@ -67,7 +92,7 @@ def stated(lines: DataFrame) -> DataFrame:
         .when(bare_name, F.struct(F.col("named").alias("sec")))
         .when(F.col("mark").eqNullSafe("section"), F.struct(F.coalesce("named", F.lit("other")).alias("sec")))
     )
-    return taking.withColumn("is_name", bare_name).withColumn("is_inline", inline).withColumn("sec", F.last(change, ignorenulls=True).over(_so_far())["sec"])
+    return taking.withColumn("is_name", bare_name).withColumn("is_inline", inline).withColumn("sec", F.last(change, ignorenulls=True).over(_in_record().rowsBetween(Window.unboundedPreceding, 0))["sec"])
 
 
 def pieces(lines: DataFrame, contract: Contract) -> DataFrame:
@@ -91,18 +116,23 @@ def pieces(lines: DataFrame, contract: Contract) -> DataFrame:
         F.when(F.col("via").isin("step_body", "bare_step", "inline_step"), "step").when(F.col("via") == "group", F.when(F.col("grp.group") == "seasoning", "seasoning").otherwise("ingredient")).otherwise(plain).alias("kind"),
         T.strip(F.when(F.col("via") == "inline", F.col("inline.rest")).when(F.col("via") == "group", F.col("grp.value")).when(F.col("via") == "bare_step", F.col("bare_step.rest")).when(F.col("via") == "inline_step", F.col("tail")).otherwise(F.col("st"))).alias("text"),
     )
-    step_no = F.sum((F.col("kind") == "step").cast("int")).over(Window.partitionBy("book", "record").orderBy("page", "line").rowsBetween(Window.unboundedPreceding, 0))
+    step_no = F.sum((F.col("kind") == "step").cast("int")).over(_in_record().rowsBetween(Window.unboundedPreceding, 0))
     label = F.when(F.col("kind") == "step", F.concat(F.lit("step"), step_no.cast("string"))).when(F.col("via") == "group", F.col("grp.group")).when(F.col("kind") == "note", "note").otherwise(F.col("sec"))
     return typed.where("kind is not null and not (via = 'inline' and text = '')").withColumn("label", label)
 
 
-def spliced(parts: DataFrame) -> DataFrame:
+def spliced(parts: DataFrame, span: int = scan.SPAN) -> DataFrame:
     """Add ``splice`` (the piece continues the block before it, across pages) and ``block``, counted in the book."""
     held = parts.where("record > 0 and text <> ''")
-    same = (F.lag("kind").over(in_book()) == F.col("kind")) & (F.lag("record").over(in_book()) == F.col("record")) & ~F.lag(F.substring("text", -1, 1)).over(in_book()).isin(*SENTENCE_ENDS) & (F.col("continued") | F.col("no_marker"))
-    on_page = Window.partitionBy("book", "page").orderBy("page", "line").rowsBetween(Window.unboundedPreceding, 0)
-    joined = held.withColumn("joins", F.coalesce(same, F.lit(False))).withColumn("splice", F.min("joins").over(on_page))
-    return joined.withColumn("block", F.sum((~F.col("splice")).cast("int")).over(_so_far()))
+    last = lambda c: F.lag(c).over(_in_record())
+    same = (last("kind") == F.col("kind")) & ~last(F.substring("text", -1, 1)).isin(*SENTENCE_ENDS) & (F.col("continued") | F.col("no_marker"))
+    up_to = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
+    # Another record on the page before would mean that this one opened there, with a piece that joins none
+    joined = held.withColumn("joins", F.coalesce(same, F.lit(False))).withColumn("splice", F.min("joins").over(up_to(_in_record("page"))))
+    joined = joined.withColumn("own_block", F.sum((~F.col("splice")).cast("long")).over(up_to(_in_record())))
+    counted = materialize(joined.groupBy("book", "record").agg(F.max("own_block").alias("n")), "block_counts")
+    before = scan.before(counted, ["record"], {"blocks_before": F.col("n")}, span=span).select("book", "record", "blocks_before")
+    return scan.matched(joined, before, ["book", "record"]).withColumn("block", F.col("own_block") + F.col("blocks_before")).drop("own_block", "blocks_before")
 
 
 def records(lines: DataFrame, contract: Contract, errata: DataFrame | None = None) -> DataFrame:
@@ -122,22 +152,24 @@ def records(lines: DataFrame, contract: Contract, errata: DataFrame | None = Non
     return rows.join(again, ["book", "record"], "left").withColumn("recipe_id", F.when(F.col("listed"), F.concat("base_id", F.char(F.lit(96) + F.col("occurrence")))).otherwise(F.col("base_id"))).drop("listed")
 
 
-def assemble(pages: DataFrame, contract: Contract | None = None, errata: DataFrame | None = None, cut: Callable[[DataFrame, str], DataFrame] = lambda df, _: df) -> dict[str, DataFrame]:
+def assemble(pages: DataFrame, contract: Contract | None = None, errata: DataFrame | None = None, cut: Callable[[DataFrame, str], DataFrame] = materialize, span: int = scan.SPAN) -> dict[str, DataFrame]:
     """All tables of a corpus from (book, page, text): typed lines, recipes, blocks, glossary, rejected and promoted starts.
 
-    Empty pages give nothing; null text is an empty page.  (book, page) should be unique.  ``cut`` may write the lines and
-    pieces, of which all other tables are made, and read them back.
+    Empty pages give nothing; null text is an empty page.  (book, page) should be unique.  ``cut`` writes the lines and
+    pieces, of which all other tables are made, and reads them back.  ``span`` pages or records are scanned in one task.
     """
     contract = contract or Contract()
-    typed = type_lines(to_lines(pages), contract)
+    raw = materialize(to_lines(pages), "raw_lines")
+    typed = materialize(type_lines(raw, contract), "typed_lines")
     bare = F.coalesce(F.col("tail").rlike(contract.step_number_bare) & F.col("mark").eqNullSafe("step"), F.lit(False))
-    lines = cut(stated(opened(scoped(typed)).withColumn("bare_number", bare)), "lines")
+    lines = cut(stated(placed(typed, openings(typed, span), span).withColumn("bare_number", bare)), "lines")
+    contents = raw.groupBy("book", "page").agg(F.count_if(is_toc_line("st", contract)).alias("hits"), F.count("*").alias("lines"))
     parts = cut(pieces(lines, contract), "pieces")
     heads = records(lines, contract, errata)
     ids = heads.select("book", "record", "recipe_id", "number")
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page", "line", "text"))), lambda x: x["text"]), "")
     first = F.min(F.struct("page", "line", "label"))
-    merged = spliced(parts).groupBy("book", "record", "block", "kind").agg(first.alias("first"), text.alias("text"), F.count("*").alias("n"))
+    merged = spliced(parts, span).groupBy("book", "record", "block", "kind").agg(first.alias("first"), text.alias("text"), F.count("*").alias("n"))
     blocks = merged.join(ids, ["book", "record"]).select(
         F.concat("recipe_id", F.lit("-¶"), F.lpad(F.col("block").cast("string"), F.greatest(F.lit(4), F.length(F.col("block").cast("string"))), "0")).alias("bid"),
         "book", "recipe_id", "record", "block", "number", F.col("kind").alias("type"), F.col("first.page").alias("page_from"), F.col("first.label").alias("group"), "text", F.col("n").alias("pieces"),
@@ -152,7 +184,7 @@ def assemble(pages: DataFrame, contract: Contract | None = None, errata: DataFra
     notes = lines.where(F.col("mark").isNull() | F.col("mark").eqNullSafe("other")).where("sec = 'notes' and not takes_step and not is_name and how is null")
     entry = T.glossary_entry(F.when(F.col("is_inline"), F.col("inline.rest")).otherwise(F.col("st")), contract.glossary_pattern)
     glossary = notes.where("grp is null").select("book", "page", "line", entry.alias("g")).where("g is not null").select("book", "page", "line", "g.*")
-    return {"lines": lines, "pieces": parts, "recipes": recipes, "blocks": blocks, "glossary": glossary}
+    return {"lines": lines, "pieces": parts, "recipes": recipes, "blocks": blocks, "glossary": glossary, "contents": contents}
 
 
 def promoted_starts(recipes: DataFrame) -> DataFrame:
@@ -160,7 +192,7 @@ def promoted_starts(recipes: DataFrame) -> DataFrame:
 
 
 def drift_counts(corpus: dict[str, DataFrame]) -> DataFrame:
-    """(book, kind, n): how often each tolerated variant, sub-chapter, page without marks, splice and spelling of an unmarked section occurs."""
+    """(book, kind, n): how often each tolerated variant, sub-chapter, page without marks, splice, spelling of an unmarked section, line and page of contents occurs."""
     lines, parts = corpus["lines"], corpus["pieces"]
     via = parts.where("via in ('inline', 'group', 'bare_step', 'inline_step', 'step_body')").select("book", F.col("via").alias("kind"))
     how = lines.where("how is not null").select("book", F.concat(F.lit("open_"), "how").alias("kind"))
@@ -170,7 +202,8 @@ def drift_counts(corpus: dict[str, DataFrame]) -> DataFrame:
     rows = via.unionByName(how).unionByName(refused).unionByName(subs).unionByName(spelt).withColumn("n", F.lit(1))
     unmarked = lines.where("no_marker").groupBy("book").agg(F.count_distinct("page").alias("n")).withColumn("kind", F.lit("no_marker_page"))
     splices = corpus["blocks"].where("pieces > 1").select("book", F.lit("splice").alias("kind"), (F.col("pieces") - 1).alias("n"))
-    return rows.unionByName(unmarked).unionByName(splices).groupBy("book", "kind").agg(F.sum("n").alias("n"))
+    toc = corpus["contents"].where("hits > 0").selectExpr("book", "stack(2, 'toc_line', hits, 'toc_page', if(hits >= 3 and 4 * hits >= lines, 1L, 0L)) as (kind, n)").where("n > 0")
+    return rows.unionByName(unmarked).unionByName(splices).unionByName(toc.select("book", "kind", "n")).groupBy("book", "kind").agg(F.sum("n").alias("n"))
 
 
 def signature(rows: DataFrame, keys: list[str], order: Column | str, id_col: str, text_col: str, model: str, dtype: str, slug: str) -> DataFrame:

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafpress.functions import text as T
+from leafpress.operators import scan
 from leafpress.operators.contract import Contract
-
-
-
-def in_book() -> WindowSpec:
-    """A book's lines in order."""
-    return Window.partitionBy("book").orderBy("page", "line")
+from leafpress.storage import materialize
 
 
 def to_lines(pages: DataFrame) -> DataFrame:
@@ -45,10 +41,17 @@ def toc_pages(lines: DataFrame, contract: Contract) -> DataFrame:
 
 
 def neighbours(lines: DataFrame, contract: Contract) -> DataFrame:
-    """Add ``next_line`` and ``next_content`` (neither footer nor continuation mark), across pages."""
+    """Add ``next_line`` and ``next_content`` (neither footer nor continuation mark), across pages.
+
+    ``lines`` are read twice.  A page's lines look ahead within it; only the first lines of pages look further.
+    """
     content = F.when(~F.col("st").startswith(contract.footer) & ~F.col("st").startswith(contract.recipe_cont), F.col("st"))
-    after = Window.partitionBy("book").orderBy(F.desc("page"), F.desc("line")).rowsBetween(Window.unboundedPreceding, -1)
-    return lines.withColumn("next_line", F.lead("st").over(in_book())).withColumn("next_content", F.last(content, ignorenulls=True).over(after))
+    first = lambda v: F.min(F.when(v.isNotNull(), F.struct("line", v.alias("v"))))["v"]
+    heads = materialize(lines.groupBy("book", "page").agg(first(F.col("st")).alias("head"), first(content).alias("head_content")), "page_heads")
+    after = scan.before(heads, ["page"], lasts={"after": F.col("head"), "after_content": F.col("head_content")}, reverse=True).select("book", "page", "after", "after_content")
+    behind = Window.partitionBy("book", "page").orderBy(F.desc("line")).rowsBetween(Window.unboundedPreceding, -1)
+    local = lines.withColumn("next_line", F.lead("st").over(Window.partitionBy("book", "page").orderBy("line"))).withColumn("next_content", F.last(content, ignorenulls=True).over(behind))
+    return scan.matched(local, after, ["book", "page"]).withColumns({"next_line": F.coalesce("next_line", "after"), "next_content": F.coalesce("next_content", "after_content")}).drop("after", "after_content")
 
 
 def is_section_line(c: Column, contract: Contract) -> Column:
