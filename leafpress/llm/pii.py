@@ -50,6 +50,8 @@ KINDS = (
 )
 #: A context word adds this; spans below the threshold are dropped, base kinds never.
 CONTEXT_SCORE, THRESHOLD, CONTEXT_CHARS = 0.4, 0.6, 40
+#: Matches whose places are summed up in one fold.
+CHUNK = 256
 _SPAN = "array<struct<kind:string,start:int,end:int,score:double,value:string>>"
 
 
@@ -72,10 +74,14 @@ def find_pii(df: DataFrame, text_col: str = "text", out: str = "pii") -> DataFra
 def _spans(kind: Kind) -> str:
     """Positions from the lengths of matches and of what lies between them; then checks and scores."""
     m, g, none = f"m_{kind.name}", f"g_{kind.name}", f"cast(array() as {_SPAN})"
+    # Running sums chunk by chunk: a fold that appends copies what it holds each time
+    begun = "aggregate({x}, named_struct('at', {at}, 'out', cast(array() as array<int>)), (acc, n) -> named_struct('at', acc.at + n, 'out', array_append(acc.out, acc.at)), acc -> acc.out)"
+    sizes = f"transform(sequence(0, (size({m}) - 1) div {CHUNK}), c -> transform(slice({m}, c * {CHUNK} + 1, {CHUNK}), (x, i) -> length({g}[c * {CHUNK} + i]) + length(x)))"
+    chunks = f"transform(array({sizes}), w -> named_struct('sizes', w, 'begun', {begun.format(x='transform(w, x -> aggregate(x, 0, (p, q) -> p + q))', at='0')}))[0]"
+    starts = f"transform(array({chunks}), w -> flatten(transform(w.sizes, (x, c) -> {begun.format(x='x', at='w.begun[c]')})))[0]"
     placed = (
-        f"aggregate(sequence(0, size({m}) - 1), named_struct('at', 0, 'out', {none}), (acc, i) -> named_struct("
-        f"'at', acc.at + length({g}[i]) + length({m}[i]), 'out', array_append(acc.out, named_struct('kind', '{kind.name}',"
-        f" 'start', acc.at + length({g}[i]), 'end', acc.at + length({g}[i]) + length({m}[i]), 'score', {kind.score}D, 'value', {m}[i]))), acc -> acc.out)"
+        f"transform(array({starts}), at -> transform({m}, (x, i) -> named_struct('kind', '{kind.name}', 'start', at[i] + length({g}[i]), 'end', at[i] + length({g}[i]) + length(x),"
+        f" 'score', {kind.score}D, 'value', x)))[0]"
     )
     nearby = f"lower(substring(__text, greatest(1, s.start + 1 - {CONTEXT_CHARS}), s.end - s.start + 2 * {CONTEXT_CHARS})) rlike '(?<![a-z])({kind.context})'"
     score = f"least(1.0D, s.score + case when {nearby} then {CONTEXT_SCORE}D else 0.0D end)" if kind.context else "s.score"
