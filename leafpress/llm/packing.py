@@ -9,6 +9,7 @@ lengths last.  The tasks then place their own pieces by rank; no piece passes th
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -138,18 +139,19 @@ def pack(pieces: DataFrame, capacity: int = 1024, written: DataFrame | None = No
     #: Exact while one length has under 2**50 pieces.
     wide = 1 << 50
     starts = runs["length"] * wide + runs["rank"]
-    bases = counts.selectExpr("part", "length", "sum(n) over (partition by length order by part) - n as before")
+    before, place_in_length = f"__before_{uuid.uuid4().hex}", f"__rank_{uuid.uuid4().hex}"
+    bases = counts.selectExpr("part", "length", f"sum(n) over (partition by length order by part) - n as {before}")
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            length, rank = (batch.column(n).to_numpy() for n in ("length", "rank"))
+            length, rank = (batch.column(n).to_numpy() for n in ("length", place_in_length))
             run = np.searchsorted(starts, length * wide + rank, side="right") - 1
-            kept = [n for n in batch.schema.names if n != "rank"]
+            kept = [n for n in batch.schema.names if n != place_in_length]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(runs["bin"][run] + rank - runs["rank"][run]), pa.array(runs["offset"][run])], [*kept, "sequence_id", "offset"])
 
     others = [c for c in pieces.columns if c not in ("part", "rank_in_part", "sequence_id", "offset")]
-    ranked = pieces.join(bases, ["part", "length"]).select(*others, (F.col("before") + F.col("rank_in_part")).alias("rank"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema if f.name != "rank")
+    ranked = pieces.join(bases, ["part", "length"]).select(*(F.col(f"`{c}`") for c in others), (F.col(before) + F.col("rank_in_part")).alias(place_in_length))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema if f.name != place_in_length)
     return ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long")
 
 
