@@ -228,21 +228,21 @@ def letter_runs(column: pa.Array) -> tuple[Spans, np.ndarray]:
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", fit_rows: int = FIT_ROWS) -> LanguageModels:
     """Fit on whole texts of at most ``fit_rows`` rows a language, of which one in ``HELD_BACK`` calibrates rejection.
 
-    Rows are drawn by a hash of their id, so the draw does not depend on the input's order.  Words are counted by the
+    Rows are drawn by a hash of their id and text, equal ones as one, so the draw does not depend on the input's order.  Words are counted by the
     tasks; their counts, bounded by the draw, come to the driver.  A language none of whose few rows were held back is calibrated on
     the rows that it was fitted on, and no tighter than any other.  Rows with null text, language or without letters
     teach nothing.  Without labelled rows there are no languages, and every text is rejected.
     """
-    rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.lit(7)).alias("draw"))
-    sizes = rows.groupBy("lang").count().collect()  # a row a language
+    rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string"), F.lit(7)).alias("draw"))
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("draw", 0.02).alias("count")).collect()  # a row a language
     if not sizes:
         return LanguageModels([], [], np.empty(0), uuid.uuid4().hex)
     # Hashes below a cut that leaves some more than are wanted, then the least of those
     cut = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], _cut(fit_rows, r["count"]))))[F.col("lang")]
     least = Window.partitionBy("lang").orderBy("draw")
-    last = rows.select("lang", "draw").where(F.col("draw") < cut).withColumn("k", F.row_number().over(least)).where(F.col("k") <= fit_rows).groupBy("lang").agg(F.max("draw").alias("last")).collect()
+    last = rows.select("lang", "draw").where(F.col("draw") < cut).distinct().withColumn("k", F.row_number().over(least)).where(F.col("k") <= fit_rows).groupBy("lang").agg(F.max("draw").alias("last")).collect()
     last = F.create_map(*(F.lit(x) for r in last for x in (r["lang"], r["last"])))[F.col("lang")]
-    drawn = rows.where(F.col("draw") <= last).withColumn("held", F.pmod(F.xxhash64("draw"), F.lit(HELD_BACK)) == 0)
+    drawn = rows.where(F.col("draw") <= last).dropDuplicates(["lang", "draw"]).withColumn("held", F.pmod(F.xxhash64("draw"), F.lit(HELD_BACK)) == 0)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
