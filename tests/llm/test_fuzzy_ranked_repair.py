@@ -313,3 +313,41 @@ def test_repair_of_nothing(spark):
     assert repair.report(none, repair.damage(none)).count() == 0
     one = spark.createDataFrame([(4, 1, "user", "a")], CONV)
     assert found(repair.report(one, none)) == {4: (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())}
+
+
+# Mended ones
+
+
+def test_packing_keeps_columns_named_like_its_own(spark):
+    from leafpress.llm import packing
+
+    table = spark.createDataFrame([(1, "a b c"), (2, None), (2, None), (3, "w " * 3000)], "doc_id long, text string")
+    pieces = packing.with_crc(packing.token_pieces(table)).select("*", *(F.lit(7).alias(c) for c in ("before", "rank", "n", "bin")))
+    got = packing.pack(pieces).collect()
+    assert all(r["before"] == r["rank"] == r["n"] == 7 for r in got)
+    placed = {}
+    for r in got:
+        placed.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for rows in placed.values():
+        assert [a for a, _ in sorted(rows)] == list(itertools.accumulate((n for _, n in sorted(rows)), initial=0))[:-1]
+    assert sum(r["doc_id"] == 2 for r in got) == 2
+
+
+def test_draws_are_bounded_when_ids_are_null_or_repeated(spark):
+    from leafpress.llm import langid, mixing
+
+    rows = spark.range(3000).selectExpr("cast(null as long) as doc_id", "concat('word', id % 1500, ' other text') as text", "'x' as lang", "id % 2 as quality", "0 as toxic")
+    assert mixing.fit_domains(rows, mixing.label_domain(), fit_rows=100) is not None
+    drawn = rows.select(F.xxhash64(F.col("doc_id").cast("string"), F.col("text"), mixing.label_domain(), F.lit(11)).alias("draw")).distinct()
+    assert drawn.count() == 1500  # so a bound of 100 takes 100 rows, not all of one id
+    assert langid.fit(rows).languages == ["x"]
+
+
+def test_many_spans_in_one_text(spark):
+    from leafpress.llm import pii
+
+    text = " ".join(f"é user{i}@mail{i}.com +1 555 {1000 + i} 10.0.{i % 256}.1" for i in range(1500))
+    found = pii.find_pii(spark.createDataFrame([(text,)], "text string")).first()["pii"]
+    plain = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(?:\.[0-9]+){3}")]
+    for kind, pattern in plain:
+        assert [(s["start"], s["end"]) for s in found if s["kind"] == kind] == [m.span() for m in re.finditer(pattern, text)]
