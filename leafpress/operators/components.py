@@ -1,6 +1,9 @@
-"""Connected components of an edge table by alternating stars.
+"""Connected components of an edge table, by smallest labels or by alternating stars.
 
-Edges point from the larger node to the smaller one.  A large star hangs the larger neighbours of each node on the node's smallest
+``connected_components`` passes smallest labels along edges: few steps a round, and each round deals out all edges again.  ``star_components``
+takes more steps a round but rewires the edges, so that none is multiplied and a hub's edges are never one task's.
+
+For it, edges point from the larger node to the smaller one.  A large star hangs the larger neighbours of each node on the node's smallest
 neighbour; a small star hangs a node and its smaller neighbours on the smallest of them.  No node gains neighbours that
 it must hand on to others, so a hub's edges are never multiplied, and the number of rounds grows with the logarithm of long chains.
 """
@@ -35,7 +38,29 @@ def _looked_up(edges: DataFrame, end: str, least: DataFrame, hub: int) -> DataFr
     return edges.join(few, end, "left_anti").join(table, end, "left").unionByName(edges.join(F.broadcast(hubs.join(table, end, "left")), end))
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", hub: int = HUB) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, component) for every node of ``edges``; the component is its smallest node.
+
+    Each round takes the smallest label among a node's neighbours and then follows the label's own label, so the
+    number of rounds grows with the logarithm of long chains; labels only fall, so it ends.  Labels are written after each round: lineage
+    stays short and lost executors cost one round.  Edges with a null end are ignored.  Nothing but one count per round
+    reaches the driver.
+    """
+    both = edges.where(f"{a} is not null and {b} is not null and {a} <> {b}").selectExpr(f"{a} as node", f"{b} as other")
+    both = materialize(both.union(both.selectExpr("other", "node")).distinct(), "edges")
+    labels = materialize(both.groupBy("node").agg(F.min("other").alias("o")).selectExpr("node", "least(node, o) as component"), "labels")
+    while True:
+        near = both.join(labels.selectExpr("node as other", "component as c"), "other").groupBy("node").agg(F.min("c").alias("c"))
+        lower = labels.join(near, "node").selectExpr("node", "component as was", "least(component, c) as c")
+        jumped = lower.join(labels.selectExpr("node as c", "component as cc"), "c").selectExpr("node", "least(c, cc) as component", "was")
+        new = materialize(jumped, "labels")
+        changed = new.where("component <> was").limit(1).count()
+        labels = new.select("node", "component")
+        if not changed:
+            return labels
+
+
+def star_components(edges: DataFrame, a: str = "a", b: str = "b", hub: int = HUB) -> DataFrame:
     """(node, component) for every node of ``edges`` that an edge joins to another; the component is its smallest node.
 
     Edges with a null end and from a node to itself are ignored; repeated ones count once; an empty table gives no rows.  Edges are written

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafpress.functions import text as T
-from leafpress.operators.components import connected_components
+from leafpress.operators.components import star_components
 
 #: Kinds of ledger entries that compare names; fixed values.
 NAME_KINDS = ("name", "name_toc", "name_body", "alias")
@@ -29,7 +29,7 @@ def ledger_pairs(ledger: DataFrame, witnesses: list[str], kinds: tuple[str, ...]
 
 def families(pairs: DataFrame) -> DataFrame:
     """(family, members sorted): connected characters; the family is its first member."""
-    rows = connected_components(pairs.selectExpr("x as a", "y as b"))
+    rows = star_components(pairs.selectExpr("x as a", "y as b"))
     return rows.groupBy(F.col("component").alias("family")).agg(F.sort_array(F.collect_list("node")).alias("members"))
 
 
