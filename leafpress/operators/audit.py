@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafpress.operators.literals import bounded, first_places
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -50,16 +52,15 @@ def scan_patterns(docs: DataFrame, path: str = "path", text: str = "text", rules
     return rows.select(path, "h.label", "line", F.get(F.split(text, "\n"), F.col("line") - 1).rlike(DEFINITION).alias("on_definition"))
 
 
-def scan_literals(docs: DataFrame, literals: DataFrame, path: str = "path", text: str = "text", most: int = 10_000) -> DataFrame:
-    """(path, literal_id, line): first line of each forbidden literal in a text.  The rule list is short; its size is checked."""
-    found = literals.select("literal_id", "literal").limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"more than {most} literals")
-    if not found:
-        return docs.select(path, F.lit(None).cast("long").alias("literal_id"), F.lit(None).cast("int").alias("line")).where("false")
-    each = F.transform(F.array(*(F.struct(F.lit(r["literal_id"]).alias("id"), F.lit(r["literal"]).alias("x")) for r in found)), lambda r: F.struct(r["id"].alias("id"), F.instr(F.col(text), r["x"]).alias("at")))
-    rows = docs.select(path, text, F.explode(F.filter(each, lambda h: h["at"] > 0)).alias("h"))
-    return rows.select(path, F.col("h.id").alias("literal_id"), _line_at(text, F.col("h.at")).alias("line"))
+def scan_literals(docs: DataFrame, literals: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
+    """(path, literal_id, line): first line of each forbidden literal (literal_id, literal) in a text, in one pass for any number of literals.
+
+    Null texts and literals have no hits; an empty literal is on line 1 of every text; a literal that stands in several rows hits for each.
+    """
+    found = literals.select("literal_id", "literal").where("literal is not null")
+    first = first_places(docs.select(path, F.col(text).alias("__text")), [r[0] for r in bounded(found.select("literal").distinct())], "__text")
+    rows = first.select(path, "literal", _line_at("__text", F.col("at")).alias("line"))
+    return rows.join(F.broadcast(found), "literal").select(path, "literal_id", "line")
 
 
 def apply_exemptions(hits: DataFrame, exempt: DataFrame, path: str = "path") -> DataFrame:

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafpress.functions import text as T
+from leafpress.operators import literals
+from leafpress.operators.scan import matched
+from leafpress.storage import materialize
 
 #: Kinds of errata that are accepted; fixed values.
 ERRATA_KINDS = ("print_duplicate_number", "print_missing_number")
@@ -17,11 +20,19 @@ def contiguous(numbers: DataFrame, by: list[str], number: str = "number") -> Dat
     return rows.withColumn("contiguous", F.coalesce(F.expr("lowest = 1 and highest = n and distinct_n = n"), F.lit(False)))
 
 
+def missing_ranges(numbers: DataFrame, by: list[str], number: str = "number") -> DataFrame:
+    """(by, first, last) of each run of numbers from 1 on that a group lacks below its highest: a row a run, however long.
+
+    Nulls and numbers below 1 do not count.  Numbers missing at the end cannot be seen.
+    """
+    held = numbers.select(*by, F.col(number).cast("long").alias("__n")).where("__n >= 1").distinct()
+    rows = held.withColumn("__before", F.lag("__n", 1, 0).over(Window.partitionBy(*by).orderBy("__n")))
+    return rows.where("__n - __before > 1").select(*by, (F.col("__before") + 1).alias("first"), (F.col("__n") - 1).alias("last"))
+
+
 def missing_numbers(numbers: DataFrame, by: list[str], number: str = "number") -> DataFrame:
-    """(by, missing) below a group's highest number.  Numbers missing at the end cannot be seen."""
-    top = numbers.groupBy(*by).agg(F.max(number).alias("top")).where("top >= 1")
-    wanted = top.select(*by, F.explode(F.sequence(F.lit(1), F.col("top").cast("int"))).alias("missing"))
-    return wanted.join(numbers.select(*by, F.col(number).cast("int").alias("missing")).distinct(), [*by, "missing"], "left_anti")
+    """(by, missing): the numbers of ``missing_ranges`` one by one."""
+    return missing_ranges(numbers, by, number).select(*by, F.explode(F.sequence("first", "last")).alias("missing")).withColumn("missing", F.col("missing").cast("int"))
 
 
 def numbers_in_scope(recipes: DataFrame) -> DataFrame:
@@ -104,17 +115,28 @@ def collision_attribution(recipes: DataFrame, blocks: DataFrame, lines: DataFram
 
 
 def products_equal(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
-    """(key, only_a, only_b, equal): rows that one of two tables has more often, compared by a digest of all columns."""
+    """(key, only_a, only_b, equal): rows that one of two tables has more often, over all columns.
+
+    Each group gets a digest that does not depend on the order of rows: sums of two hashes, added up where the rows are.  Rows
+    themselves are dealt out only for groups whose digests differ.  Nulls are values; a table without columns but the key compares counts.
+    """
     columns = sorted(set(a.columns) - set(key))
-    digest = lambda d: d.select(*key, F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256).alias("digest"))
-    both = digest(a).withColumn("side", F.lit(1)).unionByName(digest(b).withColumn("side", F.lit(-1))).groupBy(*key, "digest").agg(F.sum("side").alias("more"))
-    rows = both.groupBy(*key).agg(F.sum(F.greatest("more", F.lit(0))).alias("only_a"), F.sum(F.greatest(-F.col("more"), F.lit(0))).alias("only_b"))
-    return rows.withColumn("equal", F.expr("only_a = 0 and only_b = 0"))
+    text = F.to_json(F.struct(*(F.col(f"`{c}`") for c in columns)), {"ignoreNullFields": "false"}) if columns else F.lit("")
+    sided = lambda d, side: d.select(*key, text.alias("__row"), F.lit(side).alias("__side"))
+    rows = sided(a, 1).unionByName(sided(b, -1))
+    weighed = lambda seed: F.sum(F.xxhash64("__row", F.lit(seed)).cast("decimal(38,0)") * F.col("__side"))
+    groups = materialize(rows.groupBy(*key).agg(F.sum("__side").alias("__n"), weighed(1).alias("__p"), weighed(2).alias("__q")), "groups")
+    same = groups.where("__n = 0 and __p = 0 and __q = 0").select(*key, F.lit(0).cast("long").alias("only_a"), F.lit(0).cast("long").alias("only_b"))
+    differ = groups.where("__n <> 0 or __p <> 0 or __q <> 0").select(*key)
+    if differ.limit(1).count():
+        counted = matched(rows, differ, key).groupBy(*key, F.sha2("__row", 256).alias("__digest")).agg(F.sum("__side").alias("__more"))
+        same = same.unionByName(counted.groupBy(*key).agg(F.sum(F.greatest("__more", F.lit(0))).alias("only_a"), F.sum(F.greatest(-F.col("__more"), F.lit(0))).alias("only_b")))
+    return same.withColumn("equal", F.expr("only_a = 0 and only_b = 0"))
 
 
 def portable_scan(files: DataFrame, banned: list[str], marks: list[str], text: str = "text") -> DataFrame:
-    """Add ``drive_path``, ``banned`` and ``watermark``; the rule lists are short literals."""
-    has = lambda xs: F.coalesce(F.array_max(F.array(*(F.contains(F.col(text), F.lit(x)) for x in xs))), F.lit(False)) if xs else F.lit(False)
+    """Add ``drive_path``, ``banned`` and ``watermark``: whether a text has a drive path, a banned literal, a literal of a watermark."""
+    has = lambda xs: F.coalesce(literals.holds_any(xs, text), F.lit(False))
     return files.withColumn("drive_path", F.col(text).rlike(r"(?<![A-Za-z0-9:/])[A-Za-z]:[\\/]")).withColumn("banned", has(banned)).withColumn("watermark", has(marks))
 
 
