@@ -376,8 +376,12 @@ _LEDGER = """
     p as (select distinct substr(a, 2, 1) as x, substr(b, 2, 1) as y from w where a <> b)"""
 
 
+def char(e: str) -> str:
+    """SQL for the character of a code point from 2048 to 65535, by its UTF-8."""
+    return f"decode(unhex(hex(bigint(14680064 + shiftright(({e}), 12) * 65536 + 32768 + (shiftright(({e}), 6) & 63) * 256 + 128 + (({e}) & 63)))), 'UTF-8')"
+
+
 def _ledger_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    char = lambda e: f"decode(unhex(hex(bigint(14680064 + shiftright(({e}), 12) * 65536 + 32768 + (shiftright(({e}), 6) & 63) * 256 + 128 + (({e}) & 63)))), 'UTF-8')"  # noqa: E731  UTF-8 of a code point from 2048 to 65535
     ledger = table(spark, sf_dir, "customer").selectExpr("'name' as kind", "if(c_nationkey % 2 = 0, 'closed', 'OPEN: ask') as status", f"concat('A=甲', {char('19968 + cast(c_custkey % 300 as int)')}, '丙（x）') as witness_a", f"if(c_custkey % 10 = 0, 'n/a', concat('甲 ', {char('19968 + cast((c_custkey * 7 + c_nationkey) % 600 as int)')}, '丙')) as witness_b")
     return index.ledger_pairs(ledger, ["witness_a", "witness_b"])
 
@@ -657,15 +661,18 @@ def rerank_ab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _audit_sql(label: str, pattern: str, lead: str = "") -> str:
-    head = f"string_split_regex(text, '{lead}{pattern}')[1]"
-    return f"select doc_id as path, '{label}' as label, length({head}) - length(replace({head}, chr(10), '')) + 1 as line from documents where regexp_matches(text, '{lead}{pattern}')"
+    """The line of a pattern's first match; a ``lead`` before it may be the end of the line before."""
+    head, skipped = f"string_split_regex(text, '{lead}{pattern}')[1]", f"regexp_extract(text, '({lead}){pattern}', 1)"
+    ends = lambda x: f"length({x}) - length(replace({x}, chr(10), ''))"
+    return f"select doc_id as path, '{label}' as label, {ends(head)} + {ends(skipped)} + 1 as line from documents where regexp_matches(text, '{lead}{pattern}')"
 
 
+_W = r"\p{L}\p{N}_"
 _AUDIT = " union all ".join((
     _audit_sql("drive path", r"[A-Za-z]:[\\/]", "(?:^|[^A-Za-z0-9:/])"),
     _audit_sql("temp root", r"(?i)[A-Za-z]:\\[^\x22\x27\n]*system-temp"),
-    _audit_sql("e-mail", r"(?i)\b[\w.+-]+@[\w-]+\.[a-z]{2,}\b"),
-    _audit_sql("token", r"\b(?:sk-[A-Za-z0-9]{16,}|gh[pous]_[A-Za-z0-9]{20,})\b"),
+    _audit_sql("e-mail", rf"(?i)[.+\-]*[{_W}][{_W}.+\-]*@[{_W}\-]+\.[a-z]{{2,}}(?:[^{_W}]|$)"),
+    _audit_sql("token", rf"(?:sk-[A-Za-z0-9]{{16,}}|gh[pous]_[A-Za-z0-9]{{20,}})(?:[^{_W}]|$)", f"(?:^|[^{_W}])"),
 ))
 
 

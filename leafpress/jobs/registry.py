@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafpress.jobs import variants  # noqa: F401  registers its queries
+from leafpress.jobs import reports, variants  # noqa: F401  they register their queries
 from leafpress.jobs.queries import QUERIES
 
 FLAGSHIP = "search_benchmark_whole"

@@ -17,13 +17,15 @@ class Rule:
     pattern: str
 
 
+#: Letters, digits of any script and the underscore; written out, since what ``\\w`` and ``\\b`` mean differs between engines and versions.
+_W = r"\p{L}\p{N}_"
 #: What must not stand in a released text; fixed patterns.
 RULES = (
     Rule("drive path", r"(?<![A-Za-z0-9:/])[A-Za-z]:[\\/]"),
     Rule("temp root", r"(?i)[A-Za-z]:\\[^\"'\n]*system-temp"),
     # \b[\w.+-]+@[\w-]+\.[a-z]{2,}\b, tried once a run of such characters: long runs cost time in proportion
-    Rule("e-mail", r"(?i)(?<![\w.+-])[.+-]*+(?:\b\w|\w++[.+-])[\w.+-]*+@[\w-]++\.[a-z]{2,}\b"),
-    Rule("token", r"\b(?:sk-[A-Za-z0-9]{16,}|gh[pous]_[A-Za-z0-9]{20,})\b"),
+    Rule("e-mail", rf"(?i)(?<![{_W}.+-])[.+-]*+[{_W}][{_W}.+-]*+@[{_W}-]++\.[a-z]{{2,}}(?![{_W}])"),
+    Rule("token", rf"(?<![{_W}])(?:sk-[A-Za-z0-9]{{16,}}|gh[pous]_[A-Za-z0-9]{{20,}})(?![{_W}])"),
 )
 #: Lines that define rules may hold what the rules look for.
 DEFINITION = r"re\.compile\("
