@@ -31,7 +31,20 @@ def _two(c: str) -> Column:
     return F.lpad(F.col(c).cast("string"), F.greatest(F.lit(2), F.length(F.col(c).cast("string"))), "0")
 
 
-def openings(typed: DataFrame, span: int = scan.SPAN) -> DataFrame:
+#: What a book's first line finds, unless its pages go on from earlier ones.
+BEGIN = {"chapter_seq": 0, "sub_seq": 0, "chapter": "", "sub_chapter": "", "scope_id": "C00", "record": 0, "blocks": 0}
+
+
+def _with_begin(rows: DataFrame, began: DataFrame | None) -> DataFrame:
+    """Add ``begin``, what the first of a book's pages here finds."""
+    kinds = {n: F.lit(v).cast("long") if isinstance(v, int) else F.lit(v) for n, v in BEGIN.items()}
+    if began is None:
+        return rows.withColumn("begin", F.struct(*(v.alias(n) for n, v in kinds.items())))
+    found = scan.matched(rows, began.select("book", F.struct(*(F.col(n).cast("long" if isinstance(v, int) else "string").alias(n) for n, v in BEGIN.items())).alias("begin")), ["book"], "left")
+    return found.withColumn("begin", F.coalesce("begin", F.struct(*(v.alias(n) for n, v in kinds.items()))))
+
+
+def openings(typed: DataFrame, span: int = scan.SPAN, began: DataFrame | None = None, taken: DataFrame | None = None) -> DataFrame:
     """Of the lines that may change the scope or open a record: scope, ``how`` they open one (start, promoted, unmarked or null) and its number in the book.
 
     The scope is ``Cnn`` or ``Cnn-Snn`` by chapters and the sub-chapters of a chapter.
@@ -41,30 +54,36 @@ def openings(typed: DataFrame, span: int = scan.SPAN) -> DataFrame:
     few = materialize(few, "few")
     count = lambda c: F.col(c).cast("long")
     few = scan.before(few, ["page", "line"], {"chapter_seq": count("chapter_line"), "subs": count("sub_line")}, span=span)
-    few = materialize(few.withColumns({"chapter_seq": F.col("chapter_seq") + count("chapter_line"), "subs": F.col("subs") + count("sub_line")}), "few")
+    few = _with_begin(few, began).withColumns({"chapter_seq": F.col("begin.chapter_seq") + F.col("chapter_seq") + count("chapter_line"), "subs": F.col("subs") + count("sub_line")})
+    few = materialize(few, "few")
     events = {"chapter": F.when(F.col("chapter_line"), F.col("title")), "sub_chapter": F.when(F.col("chapter_line"), "").when(F.col("sub_line"), F.col("title")), "subs_before": F.when(F.col("chapter_line"), F.col("subs"))}
     few = scan.before(few, ["page", "line"], lasts=events, span=span)
-    few = few.withColumns({n: F.coalesce(v, F.col(n), F.lit(0 if n == "subs_before" else "")) for n, v in events.items()}).withColumn("sub_seq", F.col("subs") - F.col("subs_before"))
+    first = {"chapter": F.col("begin.chapter"), "sub_chapter": F.col("begin.sub_chapter"), "subs_before": -F.col("begin.sub_seq")}
+    few = few.withColumns({n: F.coalesce(v, F.col(n), first[n]) for n, v in events.items()}).withColumn("sub_seq", F.col("subs") - F.col("subs_before"))
     few = few.withColumn("scope_id", F.concat(F.lit("C"), _two("chapter_seq"), F.when(F.col("sub_seq") > 0, F.concat(F.lit("-S"), _two("sub_seq"))).otherwise("")))
     few = materialize(few, "scoped")
     # The first opening of a book may lack its mark
     first = lambda c: F.min(F.when(c, at))
-    firsts = few.groupBy("book").agg(first(F.col("unmarked_start")).alias("u"), first(F.col("accepted") | F.col("candidate")).alias("o")).where("u is not null and (o is null or u < o)")
+    firsts = few.groupBy("book").agg(first(F.col("unmarked_start")).alias("u"), first(F.col("accepted") | F.col("candidate")).alias("o"), F.max("begin.record").alias("r")).where("r = 0 and u is not null and (o is null or u < o)")
     few = scan.matched(few, firsts.selectExpr("book", "u.page as page", "u.line as line", "true as unmarked_open"), ["book", "page", "line"], "left").withColumn("unmarked_open", F.coalesce("unmarked_open", F.lit(False)))
     opens = F.col("accepted") | F.col("candidate") | F.col("unmarked_open")
     nth = F.row_number().over(Window.partitionBy("book", "scope_id", "number").orderBy("page", "line"))
-    how = F.when(F.col("accepted"), "start").when(F.col("unmarked_open"), "unmarked").when(F.col("candidate") & (F.col("nth") == 1), "promoted")
-    numbered = few.where(opens).withColumn("number", F.col("start_number")).withColumn("nth", nth).withColumn("how", how).drop("nth")
+    how = F.when(F.col("accepted"), "start").when(F.col("unmarked_open"), "unmarked").when(F.col("candidate") & (F.col("nth") == 1) & ~F.col("taken"), "promoted")
+    numbered = few.where(opens).withColumn("number", F.col("start_number")).withColumn("nth", nth)
+    if taken is not None:
+        earlier = taken.select("book", "scope_id", "number", F.lit(True).alias("taken")).distinct()
+        numbered = scan.matched(numbered, earlier, ["book", "scope_id", "number"], "left")
+    numbered = numbered.withColumn("taken", F.coalesce("taken", F.lit(False)) if taken is not None else F.lit(False)).withColumn("how", how).drop("nth", "taken")
     few = materialize(numbered.unionByName(few.where(~opens), allowMissingColumns=True), "numbered")
     few = scan.before(few, ["page", "line"], {"record": F.col("how").isNotNull().cast("long")}, span=span)
-    return few.select("book", "page", "line", *STATE, (F.col("record") + F.col("how").isNotNull().cast("long")).alias("record"), "how", "number")
+    return few.select("book", "page", "line", *STATE, (F.col("begin.record") + F.col("record") + F.col("how").isNotNull().cast("long")).alias("record"), "how", "number")
 
 
 #: What holds from a line on, until another line changes it.
 STATE = ("chapter_seq", "sub_seq", "chapter", "sub_chapter", "scope_id")
 
 
-def placed(typed: DataFrame, found: DataFrame, span: int = scan.SPAN) -> DataFrame:
+def placed(typed: DataFrame, found: DataFrame, span: int = scan.SPAN, began: DataFrame | None = None) -> DataFrame:
     """Add to each line the scope in force, its ``record`` (0 before the first) and, if it opens one, ``how`` and ``number``."""
     state = F.struct("line", *STATE, "record", "how", "number")
     changes = found.groupBy("book", "page").agg(F.sort_array(F.collect_list(state)).alias("changes"))
@@ -72,9 +91,9 @@ def placed(typed: DataFrame, found: DataFrame, span: int = scan.SPAN) -> DataFra
     pages = scan.before(pages, ["page"], lasts={"came": F.element_at("changes", -1)}, span=span)
     lines = scan.matched(typed, pages, ["book", "page"]).withColumn("own", F.expr("get(filter(changes, x -> x.line <= line), size(filter(changes, x -> x.line <= line)) - 1)"))
     lines = lines.withColumn("state", F.coalesce("own", "came")).withColumn("opens", F.coalesce(F.col("own.line") == F.col("line"), F.lit(False)))
-    begin = {"chapter_seq": 0, "sub_seq": 0, "chapter": "", "sub_chapter": "", "scope_id": "C00", "record": 0}
-    lines = lines.select("*", *(F.coalesce(F.col(f"state.{c}"), F.lit(v)).alias(c) for c, v in begin.items()), *(F.when(F.col("opens"), F.col(f"own.{c}")).alias(c) for c in ("how", "number")))
-    return lines.withColumn("stretch", F.when(F.col("record") == 0, F.concat_ws("-", "chapter_seq", "sub_seq")).otherwise("")).drop("changes", "came", "own", "state", "opens")
+    lines = _with_begin(lines, began)
+    lines = lines.select("*", *(F.coalesce(f"state.{c}", f"begin.{c}").alias(c) for c in (*STATE, "record")), *(F.when(F.col("opens"), F.col(f"own.{c}")).alias(c) for c in ("how", "number")))
+    return lines.withColumn("stretch", F.when(F.col("record") == 0, F.concat_ws("-", "chapter_seq", "sub_seq")).otherwise("")).drop("changes", "came", "own", "state", "opens", "begin")
 
 
 def stated(lines: DataFrame) -> DataFrame:
@@ -121,7 +140,7 @@ def pieces(lines: DataFrame, contract: Contract) -> DataFrame:
     return typed.where("kind is not null and not (via = 'inline' and text = '')").withColumn("label", label)
 
 
-def spliced(parts: DataFrame, span: int = scan.SPAN) -> DataFrame:
+def spliced(parts: DataFrame, span: int = scan.SPAN, began: DataFrame | None = None) -> DataFrame:
     """Add ``splice`` (the piece continues the block before it, across pages) and ``block``, counted in the book."""
     held = parts.where("record > 0 and text <> ''")
     last = lambda c: F.lag(c).over(_in_record())
@@ -131,7 +150,8 @@ def spliced(parts: DataFrame, span: int = scan.SPAN) -> DataFrame:
     joined = held.withColumn("joins", F.coalesce(same, F.lit(False))).withColumn("splice", F.min("joins").over(up_to(_in_record("page"))))
     joined = joined.withColumn("own_block", F.sum((~F.col("splice")).cast("long")).over(up_to(_in_record())))
     counted = materialize(joined.groupBy("book", "record").agg(F.max("own_block").alias("n")), "block_counts")
-    before = scan.before(counted, ["record"], {"blocks_before": F.col("n")}, span=span).select("book", "record", "blocks_before")
+    before = _with_begin(scan.before(counted, ["record"], {"blocks_before": F.col("n")}, span=span), began)
+    before = before.select("book", "record", (F.col("begin.blocks") + F.col("blocks_before")).alias("blocks_before"))
     return scan.matched(joined, before, ["book", "record"]).withColumn("block", F.col("own_block") + F.col("blocks_before")).drop("own_block", "blocks_before")
 
 
@@ -152,24 +172,27 @@ def records(lines: DataFrame, contract: Contract, errata: DataFrame | None = Non
     return rows.join(again, ["book", "record"], "left").withColumn("recipe_id", F.when(F.col("listed"), F.concat("base_id", F.char(F.lit(96) + F.col("occurrence")))).otherwise(F.col("base_id"))).drop("listed")
 
 
-def assemble(pages: DataFrame, contract: Contract | None = None, errata: DataFrame | None = None, cut: Callable[[DataFrame, str], DataFrame] = materialize, span: int = scan.SPAN) -> dict[str, DataFrame]:
+def assemble(pages: DataFrame, contract: Contract | None = None, errata: DataFrame | None = None, cut: Callable[[DataFrame, str], DataFrame] = materialize, span: int = scan.SPAN, began: DataFrame | None = None, taken: DataFrame | None = None) -> dict[str, DataFrame]:
     """All tables of a corpus from (book, page, text): typed lines, recipes, blocks, glossary, rejected and promoted starts.
 
     Empty pages give nothing; null text is an empty page.  (book, page) should be unique.  ``cut`` writes the lines and
     pieces, of which all other tables are made, and reads them back.  ``span`` pages or records are scanned in one task.
+
+    Pages that go on from earlier ones have what those left: ``began`` (book and the columns of ``BEGIN``; a first page with a state must
+    begin with a line that opens a record) and ``taken`` (book, scope_id, number), the numbers of earlier records.
     """
     contract = contract or Contract()
     raw = materialize(to_lines(pages), "raw_lines")
     typed = materialize(type_lines(raw, contract), "typed_lines")
     bare = F.coalesce(F.col("tail").rlike(contract.step_number_bare) & F.col("mark").eqNullSafe("step"), F.lit(False))
-    lines = cut(stated(placed(typed, openings(typed, span), span).withColumn("bare_number", bare)), "lines")
+    lines = cut(stated(placed(typed, openings(typed, span, began, taken), span, began).withColumn("bare_number", bare)), "lines")
     contents = raw.groupBy("book", "page").agg(F.count_if(is_toc_line("st", contract)).alias("hits"), F.count("*").alias("lines"))
     parts = cut(pieces(lines, contract), "pieces")
     heads = records(lines, contract, errata)
     ids = heads.select("book", "record", "recipe_id", "number")
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page", "line", "text"))), lambda x: x["text"]), "")
     first = F.min(F.struct("page", "line", "label"))
-    merged = spliced(parts, span).groupBy("book", "record", "block", "kind").agg(first.alias("first"), text.alias("text"), F.count("*").alias("n"))
+    merged = spliced(parts, span, began).groupBy("book", "record", "block", "kind").agg(first.alias("first"), text.alias("text"), F.count("*").alias("n"))
     blocks = merged.join(ids, ["book", "record"]).select(
         F.concat("recipe_id", F.lit("-¶"), F.lpad(F.col("block").cast("string"), F.greatest(F.lit(4), F.length(F.col("block").cast("string"))), "0")).alias("bid"),
         "book", "recipe_id", "record", "block", "number", F.col("kind").alias("type"), F.col("first.page").alias("page_from"), F.col("first.label").alias("group"), "text", F.col("n").alias("pieces"),
