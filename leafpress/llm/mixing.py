@@ -103,12 +103,18 @@ class DomainModel:
 def fit_domains(labelled: DataFrame, domain: Column, text_col: str = "text", id_col: str = "doc_id", domains: tuple[str, ...] = DOMAINS, fit_rows: int = FIT_ROWS) -> DomainModel:
     """Multinomial logistic regression on the features most associated with a domain.
 
-    ``fit_rows`` bounds the rows drawn (by a hash of id, text and domain; equal rows are drawn as one); rows with null text or domain, or a domain not named,
+    ``fit_rows`` bounds the rows drawn (by a hash of the id; of an id with more rows than the bound leaves room for, by a hash of the text, equal ones as one); rows with null text or domain, or a domain not named,
     are left out.
     Without labelled rows all domains are equally likely.
     """
-    rows = labelled.select(F.col(text_col).alias("text"), domain.alias("domain"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col), domain, F.lit(11)).alias("draw")).where(F.col("text").isNotNull() & F.col("domain").isin(*domains))
-    last = rows.select("draw").distinct().orderBy("draw").limit(fit_rows).agg(F.max("draw")).first()[0]
+    rows = labelled.select(F.col(text_col).alias("text"), domain.alias("domain"), F.xxhash64(F.col(id_col).cast("string"), F.lit(11)).alias("draw")).where(F.col("text").isNotNull() & F.col("domain").isin(*domains))
+    # Ids up to the one with which the bound is reached; of that one, as many rows as there is room for
+    sizes = rows.groupBy("draw").agg(F.count("*").alias("n")).orderBy("draw").limit(fit_rows).collect()  # bounded by ``fit_rows``
+    last, room = None, fit_rows
+    for r in sizes:
+        if room <= 0:
+            break
+        last, room = r, room - r["n"]
 
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,7 +123,13 @@ def fit_domains(labelled: DataFrame, domain: Column, text_col: str = "text", id_
                 lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(tokens) + 1)).astype(np.int32)), pa.array(slot.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([chunk.column("domain"), lists], ["domain", "slots"])
 
-    drawn = rows.where(F.col("draw") <= last).dropDuplicates(["draw"]).select("text", "domain").mapInArrow(describe, "domain string, slots array<int>").toPandas() if last is not None else None
+    drawn = None
+    if last is not None:
+        taken = rows.where(F.col("draw") <= last["draw"])
+        if room < 0:
+            many = rows.where(F.col("draw") == last["draw"]).dropDuplicates(["text", "domain"]).orderBy(F.xxhash64("text", "domain")).limit(last["n"] + room)
+            taken = rows.where(F.col("draw") < last["draw"]).unionByName(many)
+        drawn = taken.select("text", "domain").mapInArrow(describe, "domain string, slots array<int>").toPandas()
     k = len(domains)
     y = np.empty(0, int) if drawn is None else drawn["domain"].map({d: i for i, d in enumerate(domains)}).to_numpy(int)
     column = np.full(SLOTS, -1, np.int32)

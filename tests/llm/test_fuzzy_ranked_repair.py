@@ -333,13 +333,20 @@ def test_packing_keeps_columns_named_like_its_own(spark):
     assert sum(r["doc_id"] == 2 for r in got) == 2
 
 
-def test_draws_are_bounded_when_ids_are_null_or_repeated(spark):
+def test_draws_are_bounded_when_ids_are_null_or_repeated(spark, monkeypatch):
     from leafpress.llm import langid, mixing
 
     rows = spark.range(3000).selectExpr("cast(null as long) as doc_id", "concat('word', id % 1500, ' other text') as text", "'x' as lang", "id % 2 as quality", "0 as toxic")
-    assert mixing.fit_domains(rows, mixing.label_domain(), fit_rows=100) is not None
-    drawn = rows.select(F.xxhash64(F.col("doc_id").cast("string"), F.col("text"), mixing.label_domain(), F.lit(11)).alias("draw")).distinct()
-    assert drawn.count() == 1500  # so a bound of 100 takes 100 rows, not all of one id
+    counted = spark.sparkContext.accumulator(0)
+    features = mixing._features
+    monkeypatch.setattr(mixing, "_features", lambda column: counted.add(len(column)) or features(column))
+    for table in (rows, rows.withColumn("doc_id", F.expr("7L")), rows.withColumn("doc_id", F.col("quality"))):
+        before = counted.value
+        mixing.fit_domains(table, mixing.label_domain(), fit_rows=100)
+        assert counted.value - before == 100
+    before = counted.value
+    mixing.fit_domains(rows.withColumn("doc_id", F.monotonically_increasing_id()), mixing.label_domain(), fit_rows=100)
+    assert counted.value - before == 100
     assert langid.fit(rows).languages == ["x"]
 
 
