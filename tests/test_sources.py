@@ -1,8 +1,9 @@
 """Files written and read back."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from leafpress.operators import quality, search
+from leafpress.operators import quality, search, vector_store
 from leafpress.sources import readers
 
 
@@ -54,3 +55,63 @@ def test_rank_of_wanted_and_sizes(spark):
     assert {r["path"]: r["passes"] for r in quality.size_check(recorded, files).collect()} == {"x": True, "y": False, "z": None}
     steps = spark.createDataFrame([("step", "12"), ("step", "１２"), ("step", "12 a"), ("step", "1234"), ("group", "1")], "type string, text string")
     assert sorted(r["text"] for r in quality.pseudo_steps(steps).collect()) == ["12", "１２"]
+
+
+def test_pages_are_read_and_compacted(spark, tmp_path):
+    """Page files with odd texts give the same rows read one by one and from parts; only new and changed ones are taken in again."""
+    root, out = tmp_path / "kb", str(tmp_path / "out")
+    texts = {(b, p): f"{b} 第{p}页\r\n" + "行\n" * (p * 7) for b in ("B01", "007") for p in range(12)} | {("B01", 12): ""}
+    for (b, p), t in texts.items():
+        folder = root / b / "_pages"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"p{p:04d}.md").write_bytes(t.encode())
+    (root / "B01/_pages/pxx.md").write_text("no page")
+    rows = lambda df: {(r["book"], r["page"]): r["text"] for r in df.collect()}
+    n_files = len(texts) - 1  # an empty file gives no row
+    del texts["B01", 12]
+    assert rows(readers.read_pages(spark, str(root))) == texts
+    assert readers.compact_pages(spark, str(root), out, part_bytes=300) == n_files
+    assert rows(readers.read_compacted(spark, out)) == texts
+    parts = [r["n"] for r in spark.read.parquet(f"{out}/pages").groupBy(F.input_file_name()).agg(F.sum(F.octet_length("text")).alias("n")).collect()]
+    assert 3 < len(parts) < len(texts)
+    assert readers.compact_pages(spark, str(root), out) == 0
+    texts["B01", 3] = "neu"
+    (root / "B01/_pages/p0003.md").write_text("neu")
+    assert readers.compact_pages(spark, str(root), out) == 1
+    assert rows(readers.read_compacted(spark, out)) == texts
+    assert spark.read.parquet(f"{out}/manifest").count() == n_files + 1
+
+
+def test_store_encodes_only_what_changed(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    def encode(texts):
+        calls.add(1)
+        return np.array([[float(len(t)), float(sum(map(ord, t)) % 97)] for t in texts])
+
+    path = str(tmp_path / "store")
+    schema = "book string, kind string, id string, text string, extra int"
+    rows = [(f"b{k % 3}", "text", f"i{k}", f"text {k}", 1) for k in range(300)] + [(None, "card", "n", "null book", 1), ("b0", "card", "none", None, 1)]
+
+    def stored(inputs, model="m"):
+        before = calls.value
+        got = {(r["book"], r["kind"], r["id"]): r["vec"][0] for r in vector_store.refresh(spark.createDataFrame(inputs, schema), path, encode, model, "f32").collect()}
+        assert got == {(b, k, i): float(len(t)) for b, k, i, t, _ in inputs if t is not None}
+        return calls.value - before
+
+    assert stored(rows) == -(-301 // 32)
+    assert stored(rows) == 0  # nothing changed: no version, no call
+    changed = [(b, k, i, "longer than before" if i == "i7" else t, 1) for b, k, i, t, _ in rows]
+    assert stored(changed) == 1
+    assert stored(changed[1:]) == 0  # one is gone
+    assert stored(changed[1:], model="m2") == -(-300 // 32)
+    told = [tuple(r) for r in vector_store.versions(spark, path).orderBy("version").collect()]
+    assert told == [(1, 301, 301, 0), (2, 301, 1, 1), (3, 300, 0, 1), (4, 300, 300, 300)]
+    assert vector_store.read_store(spark, path, 1).count() == 301
+
+
+def test_rerank_with_a_function(spark):
+    hits = spark.createDataFrame([(1, 10, 1, "q"), (1, 11, 2, "q"), (1, 12, 3, "q")], "query_id long, record_id long, rank int, q string")
+    texts = spark.createDataFrame([(10, "short"), (11, "the longest text"), (12, "longer")], "record_id long, text string")
+    scored = search.rerank_with(hits, texts, lambda qs, ts: [float(len(t)) for t in ts], depth=2)
+    assert sorted(map(tuple, scored.collect())) == [(1, 10, 5.0), (1, 11, 16.0)]
