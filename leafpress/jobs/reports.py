@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafpress.jobs.queries import _AUDIT, _HYBRID, _LEDGER, QUERIES, _ledger_pairs, _three_layers, char, query, table
-from leafpress.operators import audit, evaluate, index, quality, search, vectors
+from leafpress.operators import audit, clustered, evaluate, index, quality, search, vectors
 
 # Families of characters against stored ones
 
@@ -55,6 +55,15 @@ def signature_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.signature_status(now, report).withColumn("reasons", F.array_join("reasons", ","))
 
 
+@query(QUERIES["dot_topk"].sql)
+def dot_topk_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of every hundredth vector, with clusters of vectors that bound what a query can find in them."""
+    e = table(spark, sf_dir, "embeddings")
+    held = clustered.cluster(e.selectExpr("vec_id as id", "embedding as vec"))
+    hits = clustered.dot_topk(e.where("vec_id % 100 = 0").selectExpr("vec_id as query_id", "embedding as qvec"), held, 10)
+    return hits.select("query_id", "rank", "id", F.round("score", 5).alias("score"))
+
+
 @query("select c_nationkey as book, c_name as q, c_custkey as want, cast(case when c_custkey % 3 = 0 then 3 else c_custkey % 5 end as int) as topn, c_custkey % 4 = 1 as expect_none, false as needs_vectors from customer join nation on n_nationkey = c_nationkey where n_regionkey = 1")
 def registered_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as cases of the books of one region; what they leave out has defaults."""

@@ -183,3 +183,30 @@ def test_a_star_of_many_leaves_is_not_one_task(spark):
     leaves = 300_000
     labels = star_components(spark.range(leaves).selectExpr("id as a", "9000000L as b"))
     assert labels.selectExpr("count(*)", "max(component)").first() == (leaves + 1, 0)
+
+
+# Clusters of vectors
+
+
+@pytest.mark.parametrize(("kind", "most"), [("clustered", 0.5), ("scattered", 1.0)])
+def test_clusters_give_the_best_products(spark, kind, most, monkeypatch):
+    """Equal to all products, ties and copies included; where vectors lie in clusters, most products are not computed."""
+    from leafpress.operators import clustered, vectors
+
+    monkeypatch.setattr(clustered, "VECTOR_BLOCK", 40)
+    rng = np.random.default_rng(3)
+    middle = rng.normal(size=(12, 8)) * 5
+    points = middle[rng.integers(0, 12, 600)] + rng.normal(size=(600, 8)) * 0.3 if kind == "clustered" else rng.normal(size=(600, 8))
+    points[50:90] = points[50]  # copies tie
+    table = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)] + [(1000, None)], "id long, vec array<double>")
+    asked = spark.createDataFrame([(i, points[i].tolist()) for i in range(0, 600, 37)] + [(7000, [0.0] * 8), (7001, None)], "query_id long, qvec array<double>")
+    held = clustered.cluster(table, centres=40)
+    for k in (1, 7, 700):
+        got = clustered.dot_topk(asked, held, k)
+        share = got.first()["share"]
+        assert share <= (most if k < 700 else 1.0)
+        expected = vectors.dot_topk(asked.where("qvec is not null"), table.where("vec is not null"), k)
+        rows = lambda df: sorted(map(tuple, df.select("query_id", "rank", "id", F.round("score", 9)).collect()))
+        assert rows(got) == rows(expected)
+    none = clustered.cluster(table.limit(0))
+    assert clustered.dot_topk(asked, none, 3).count() == 0
