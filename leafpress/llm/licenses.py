@@ -24,6 +24,7 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "Apache License Version 2.0, January 2004",
+        "Licensed under the Apache License 2.0.",
     ],
     "MIT": [
         "Released under the MIT License.",
@@ -60,10 +61,20 @@ TEMPLATES = {
         "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License version 3 as published by the Free Software Foundation",
         "GNU Affero General Public License Version 3, 19 November 2007",
     ],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; version 2.1 of the License",
+        "GNU Lesser General Public License Version 2.1, February 1999",
+    ],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "Licensed under the ISC License."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.", "Licensed under the Unlicense."],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "Eclipse Public License - v 2.0"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Mozilla Public License Version 2.0"],
     "CC0-1.0": ["This work is dedicated to the public domain under CC0 1.0.", "Creative Commons Legal Code CC0 1.0 Universal"],
     "CC-BY-4.0": [
         "Licensed under CC BY 4.0.",
+        "Licensed under CC-BY-4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "Creative Commons Attribution 4.0 International Public License",
     ],
@@ -83,9 +94,11 @@ for _name in [n for n in TEMPLATES if "GPL" in n]:  # the same notices with the
     TEMPLATES[f"{_name}-or-later"] = [*(f"{t}, or (at your option) any later version" for t in TEMPLATES[_name] if "either version" in t), f"SPDX-License-Identifier: {_name}-or-later"]
     TEMPLATES[_name].append(f"SPDX-License-Identifier: {_name}-only")
 for _name in [n for n in TEMPLATES if n != "all-rights-reserved" and not n.endswith("-or-later")]:
-    TEMPLATES[_name].append(f"SPDX-License-Identifier: {_name}")
+    TEMPLATES[_name] += [f"SPDX-License-Identifier: {_name}", f"License: {_name}"]
+    if "GPL" in _name:  # as in GPLv3
+        TEMPLATES[_name].append(f"Licensed under the {_name.removesuffix('.0').replace('-', 'v')}.")
 #: Words right before a notice, light words aside, that make it say the contrary.
-_NOT = frozenset("not never cannot neither nor longer".split())
+_NOT = frozenset("not never cannot neither nor longer unlike without reject rejects rejected rejecting refuse refused than except excluding instead".split())
 #: Words that may differ without changing what is granted: wording around the license's name.
 _LIGHT = frozenset("this work is released licensed under the a an of by to and in with or code file software source form terms subject".split())
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
@@ -96,8 +109,12 @@ SCHEMA = "block int, start int, end int, license string, template string, plain_
 _EXPRESSION = re.compile(r"(SPDX-License-Identifier:)((?:[ \t(]*+(?:(?:AND|OR|WITH)[ \t(]++)?[A-Za-z0-9.-]++\+?+[ \t)]*+)(?:(?:AND|OR|WITH)[ \t(]++[A-Za-z0-9.-]++\+?+[ \t)]*+)*+)")
 
 
+#: Creative Commons names are one word: their ``BY`` is no light word.
+_BY = re.compile(r"(?i)(?<![A-Za-z0-9])CC[ \t]+(?=BY(?![A-Za-z0-9]))")
+
+
 def words_of(text: str) -> list[str]:
-    return [m[0].lower() for m in _WORD.finditer(text)]
+    return [m[0].lower() for m in _WORD.finditer(_BY.sub("CC-", text))]
 
 
 def said_by(block: str) -> list[str]:
@@ -114,7 +131,7 @@ def said_by(block: str) -> list[str]:
 def _gate() -> str:
     """A pattern that every confirmed block matches: of each template, the longest word that must stand in the block."""
     needed = {max((w for w in words_of(t.replace("*", " ")) if w not in _LIGHT), key=lambda w: (w[0].isalpha(), len(w), w)) for group in TEMPLATES.values() for t in group}
-    return "(?i)(?<![A-Za-z0-9])(?:" + "|".join(re.escape(w) for w in sorted(needed)) + ")(?![A-Za-z0-9])"
+    return "(?i)(?<![A-Za-z0-9])(?:" + "|".join(re.escape(w).replace(r"cc\-by", r"cc[ \t-]+by") for w in sorted(needed)) + ")(?![A-Za-z0-9])"
 
 
 GATE = _gate()

@@ -358,3 +358,18 @@ def test_many_spans_in_one_text(spark):
     plain = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(?:\.[0-9]+){3}")]
     for kind, pattern in plain:
         assert [(s["start"], s["end"]) for s in found if s["kind"] == kind] == [m.span() for m in re.finditer(pattern, text)]
+
+
+def test_licenses_that_are_said_and_that_are_not():
+    from leafpress.llm import licenses
+
+    gate = re.compile(licenses.GATE)
+    names = lambda text: {r[3] for r in licenses.scan_text(text, gate)}
+    for text, wanted in {
+        "Licensed under the Apache License 2.0": {"Apache-2.0"}, "Licensed under the Apache License, Version 2.0.": {"Apache-2.0"}, "License: MIT": {"MIT"}, "License: Apache-2.0": {"Apache-2.0"}, "licensed under the GPLv3": {"GPL-3.0"},
+        "License: CC-BY-4.0": {"CC-BY-4.0"}, "Licensed under CC BY 4.0.": {"CC-BY-4.0"}, "Licensed under CC BY-SA 4.0.": {"CC-BY-SA-4.0"}, "SPDX-License-Identifier: ISC": {"ISC"}, "Licensed under the ISC License.": {"ISC"},
+        "This is free and unencumbered software released into the public domain.": {"Unlicense"}, "SPDX-License-Identifier: LGPL-2.1-only": {"LGPL-2.1"}, "SPDX-License-Identifier: EPL-2.0": {"EPL-2.0"}, "Released under the MIT License.": {"MIT"},
+        "SPDX-License-Identifier: LGPL-2.1-or-later": {"LGPL-2.1-or-later"}, "Licensed under the BSD 2-Clause License.": {"BSD-2-Clause"},
+        "CC 4.0 is a number": set(), "unlike the MIT License": set(), "without the MIT License": set(), "we reject the MIT License": set(), "rather than the MIT License": set(), "a license for drivers": set(),
+    }.items():
+        assert names(text) == wanted, text
