@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,14 +130,16 @@ def fit_domains(labelled: DataFrame, domain: Column, text_col: str = "text", id_
         if room < 0:
             many = rows.where(F.col("draw") == last["draw"]).dropDuplicates(["text", "domain"]).orderBy(F.xxhash64("text", "domain")).limit(last["n"] + room)
             taken = rows.where(F.col("draw") < last["draw"]).unionByName(many)
-        drawn = taken.select("text", "domain").mapInArrow(describe, "domain string, slots array<int>").toPandas()
+        # As Arrow, four bytes a feature: rows of Python's numbers would take over ten times that, in the JVM too
+        drawn = taken.select("text", "domain").mapInArrow(describe, "domain string, slots array<int>").toArrow()
     k = len(domains)
-    y = np.empty(0, int) if drawn is None else drawn["domain"].map({d: i for i, d in enumerate(domains)}).to_numpy(int)
+    y = np.empty(0, int) if drawn is None else pc.index_in(drawn["domain"], pa.array(domains, pa.string())).to_numpy().astype(int)
     column = np.full(SLOTS, -1, np.int32)
     if not len(y):
         return DomainModel(domains, column, np.zeros((1, k)))
-    row = np.repeat(np.arange(len(y)), [len(s) for s in drawn["slots"]])
-    slot = np.concatenate([np.asarray(s, np.int64) for s in drawn["slots"]])
+    row = np.repeat(np.arange(len(y), dtype=np.int32), pc.list_value_length(drawn["slots"]).to_numpy())
+    slot = pc.list_flatten(drawn["slots"]).to_numpy()
+    del drawn
     size = np.bincount(y, minlength=k) / len(y)
     seen = np.bincount(slot, minlength=SLOTS)
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -146,7 +149,8 @@ def fit_domains(labelled: DataFrame, domain: Column, text_col: str = "text", id_
     chosen = chosen[strength[chosen] > 16.0]
     column[chosen] = np.arange(len(chosen))
     held = column[slot] >= 0
-    r, c = row[held], column[slot[held]]
+    r, c = row[held].astype(np.int64), column[slot[held]].astype(np.int64)
+    del row, slot, held
     target = np.eye(k)[y]
     w = np.zeros((len(chosen) + 1, k))
     w[-1] = np.log(np.maximum(size, 1e-6))

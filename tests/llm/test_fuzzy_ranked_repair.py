@@ -350,6 +350,23 @@ def test_draws_are_bounded_when_ids_are_null_or_repeated(spark, monkeypatch):
     assert langid.fit(rows).languages == ["x"]
 
 
+def test_the_draw_comes_to_the_driver_in_few_bytes_a_feature(spark):
+    import tracemalloc
+
+    from leafpress.llm import mixing
+
+    words, n = 400, 3000
+    rows = spark.range(n).selectExpr("id as doc_id", f"array_join(transform(sequence(1, {words}), k -> concat('w', pmod(xxhash64(id, k), 100000))), ' ') || ' of' || id % 2 as text", "id % 2 as quality", "0 as toxic")
+    mixing.fit_domains(rows.limit(10), mixing.label_domain())  # modules are loaded
+    tracemalloc.start()
+    try:
+        model = mixing.fit_domains(rows, mixing.label_domain())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(model.weights) > 1 and peak < 40 * words * n
+
+
 def test_many_spans_in_one_text(spark):
     from leafpress.llm import pii
 
