@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -318,6 +319,16 @@ def test_repair_of_nothing(spark):
 # Mended ones
 
 
+@pytest.mark.parametrize("name, key", [("op12_lexical_search", ["item_id", "rank"]), ("op13_conversation_repair", ["conv_id"])])
+def test_sql_over_the_other_tables(spark, name, key):
+    c = duckdb.connect()
+    for t in ("documents", "benchmark", "conversations"):
+        c.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    ours, theirs = queries.queries()[name](spark, SF).toPandas(), c.execute(queries.ORACLES[name]).df()
+    ours, theirs = (d[sorted(theirs.columns)].sort_values(key).astype(object).where(d.notna(), None).values.tolist() for d in (ours, theirs))
+    assert ours and ours == theirs
+
+
 def test_packing_keeps_columns_named_like_its_own(spark):
     from leafpress.llm import packing
 
