@@ -105,6 +105,12 @@ def parse_start(c: Column | str, style: str, pattern: str) -> Column:
     return let(let(let(cleaned, split), read), judge)
 
 
+def may_number(c: Column | str) -> Column:
+    """Whether a stripped text may be read as a start: ``parse_start`` gives no number where a text does not begin with one, stars and one bracket aside."""
+    blank = rf"[*＊\s\x1c-\x1f]*"
+    return _c(c).rlike(rf"(?U)^{blank}[（(〔\[【]?{blank}[0-9{_FULL_WIDTH}{CN_DIGITS}十]")
+
+
 def lookup(c: Column, table: dict[str, str]) -> Column:
     """The value of a small fixed table, null if it has none."""
     return F.try_element_at(F.create_map(*(F.lit(x) for kv in table.items() for x in kv)), c)

@@ -132,11 +132,11 @@ _SHARED: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def shared(spark: SparkSession, sf_dir: str, name: str, sources: tuple[str, ...], make: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
-    """The tables that ``make`` gives, written and read again, for all queries of a session over the same files."""
+    """The tables that ``make`` gives, for all queries of a session over the same files: what it writes is written once, the rest each query computes as far as it needs it."""
     files = tuple(sorted(f for t in sources for f in table(spark, sf_dir, t).inputFiles()))
     key = (spark.sparkContext.applicationId, shared_dir(spark), files, name)
     if key not in _SHARED:
-        _SHARED[key] = {n: t if n in ("lines", "pieces") else materialize(t, f"{name}_{n}") for n, t in make().items()}
+        _SHARED[key] = make()
     return _SHARED[key]
 
 
@@ -165,19 +165,19 @@ _TRANSCRIPT_SQL = SQL.replace(" as string)", " as varchar)")
 @query(f"""with t as ({_TRANSCRIPT_SQL})
     select book, page, at_line + 1 as line, substr(line, 16) as rest, 'unnumbered' as reason from t where line like '@@RECIPE_START 名%'""")
 def transcript_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.rejected_starts(corpus(spark, sf_dir)["lines"])
+    return lines.rejected_starts(corpus(spark, sf_dir)["starts"])
 
 
 @query(f"""with t as ({_TRANSCRIPT_SQL})
     select book, page, at_line + 1 as line, regexp_extract(line, '（([0-9]+)）', 1) as raw, cast(regexp_extract(line, '（([0-9]+)）', 1) as int) as number, regexp_extract(line, '名[0-9]+') as name
     from t where line like '@@SECTION （%'""")
 def transcript_promoted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.promoted_starts(corpus(spark, sf_dir)["recipes"]).drop("scope_id")
+    return A.promoted_starts(corpus(spark, sf_dir)["heads"]).drop("scope_id")
 
 
 @query(f"""with t as ({_TRANSCRIPT_SQL}) select book, page, count(*) as hits, count(*) as lines from t where page = 0 group by book, page having count(*) >= 3""")
 def transcript_toc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.toc_pages(lines.to_lines(transcript_pages(spark, sf_dir)), Contract())
+    return A.page_contents(transcript_pages(spark, sf_dir), Contract()).where("hits >= 3 and 4 * hits >= lines").select("book", "page", "hits", "lines")
 
 
 @query(f"""with {_ORDERS_SQL}
@@ -195,7 +195,7 @@ def transcript_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     select book, concat('C', lpad(cast(chap as varchar), 2, '0')) as scope_id, concat('C', lpad(cast(chap as varchar), 2, '0'), ' 一、', cast(yr as varchar)) as title, string_agg(cast(num as varchar), ',' order by num) as numbers
     from rid group by book, chap, yr""")
 def transcript_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.numbers_in_scope(corpus(spark, sf_dir)["recipes"]).withColumn("numbers", F.array_join(F.col("numbers").cast("array<string>"), ","))
+    return quality.numbers_in_scope(corpus(spark, sf_dir)["heads"]).withColumn("numbers", F.array_join(F.col("numbers").cast("array<string>"), ","))
 
 
 _MISSING = "m as (select o.book, concat('C', lpad(cast(chap as varchar), 2, '0')) as scope_id, cast(num as int) as missing from o where refused and exists (select 1 from o x where x.book = o.book and x.chap = o.chap and x.num > o.num and not x.refused))"
@@ -203,7 +203,7 @@ _MISSING = "m as (select o.book, concat('C', lpad(cast(chap as varchar), 2, '0')
 
 @query(f"with {_ORDERS_SQL}, {_MISSING} select * from m")
 def transcript_missing_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.missing_numbers(corpus(spark, sf_dir)["recipes"], ["book", "scope_id"])
+    return quality.missing_numbers(corpus(spark, sf_dir)["heads"], ["book", "scope_id"])
 
 
 @query(f"""with {_ORDERS_SQL}, {_MISSING},
@@ -215,7 +215,7 @@ def exempt_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing numbers of the transcripts against errata made from customers, some of them for all books."""
     c = table(spark, sf_dir, "customer")
     errata = c.selectExpr("if(c_custkey % 3 > 0, concat('K', c_custkey), '*') as book", "concat('C0', c_custkey % 7 + 1, ' title') as scope", "'print_missing_number' as kind", "cast(if(c_custkey % 3 > 0, c_nationkey % 4, c_nationkey % 2) + 1 as string) as value")
-    missing = quality.missing_numbers(corpus(spark, sf_dir)["recipes"], ["book", "scope_id"])
+    missing = quality.missing_numbers(corpus(spark, sf_dir)["heads"], ["book", "scope_id"])
     return quality.exempt_missing(missing, errata)
 
 
@@ -223,7 +223,7 @@ def exempt_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     select o.book, count(*) filter (not promoted) as start_lines, 0::bigint as unmarked, count(*) filter (promoted) as promoted, count(*) filter (not refused) as records, count(*) filter (refused) as refused,
         true as balanced, count(*) filter (refused) = 0 as none_rejected from o group by 1""")
 def transcript_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.starts_balance(corpus(spark, sf_dir)["lines"])
+    return quality.starts_balance(corpus(spark, sf_dir)["starts"])
 
 
 @query(f"""with {_ORDERS_SQL},
@@ -235,11 +235,11 @@ def transcript_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transcript_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gates of every book with a record; vectors are not there, so that gate cannot be decided."""
     c = corpus(spark, sf_dir)
-    recipes = c["recipes"]
+    recipes = c["heads"]
     scopes = quality.contiguous(recipes, ["book", "scope_id"]).groupBy("book").agg(F.bool_and("contiguous").alias("ok")).select("book", quality.gate("contiguous", F.col("ok")).alias("g"))
     bare = quality.without_method(recipes, c["blocks"]).groupBy("book").agg(F.count("*").alias("n"))
     methods = recipes.select("book").distinct().join(bare, "book", "left").select("book", quality.gate("methods", F.coalesce("n", F.lit(0)) == 0).alias("g"))
-    starts = quality.starts_balance(c["lines"]).where("records > 0").select("book", quality.gate("starts", F.col("balanced") & F.col("none_rejected")).alias("g"))
+    starts = quality.starts_balance(c["starts"]).where("records > 0").select("book", quality.gate("starts", F.col("balanced") & F.col("none_rejected")).alias("g"))
     ids = quality.ids_unique(recipes, "recipe_id", ["book"]).select("book", quality.gate("ids", F.col("unique")).alias("g"))
     vector = recipes.select("book").distinct().select("book", quality.gate("vectors", F.lit(None).cast("boolean")).alias("g"))
     rows = scopes.unionByName(methods).unionByName(starts).unionByName(ids).unionByName(vector).select("book", "g.*")
@@ -251,13 +251,13 @@ def transcript_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
         coalesce((select count(*) from b where b.book = rid.book and kind = 0), 0) as ingredient_blocks, 0::bigint as unread from rid group by book""")
 def transcript_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = corpus(spark, sf_dir)
-    return quality.corpus_counts(c["recipes"], c["blocks"])
+    return quality.corpus_counts(c["heads"], c["blocks"])
 
 
 @query(f"""with {_ORDERS_SQL}, k2 as (select book, rec, recipe_id, unnest([concat('#', cast(num as varchar)), concat('名', cast(okey as varchar))]) as key from rid)
     select book, key, string_agg(recipe_id, ',' order by rec) as recipe_ids from k2 group by 1, 2""")
 def transcript_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.terms(corpus(spark, sf_dir)["recipes"]).withColumn("recipe_ids", F.array_join("recipe_ids", ","))
+    return index.terms(corpus(spark, sf_dir)["heads"]).withColumn("recipe_ids", F.array_join("recipe_ids", ","))
 
 
 @query(f"""with {_ORDERS_SQL},

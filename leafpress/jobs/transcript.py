@@ -46,8 +46,30 @@ SQL = f"""
 
 
 def transcript_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(book, page, text) of all orders."""
-    return as_pages(over_tables(spark, sf_dir, SQL, "orders", "lineitem"))
+    """(book, page, text) of all orders: the lines of ``SQL``, but moved as orders with their items and as stretches of pages, not one by one."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("concat('K', cast(o_custkey as string)) as book", "o_orderkey as okey", "year(o_orderdate) as yr")
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("l_orderkey as okey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "concat(l_returnflag, l_linestatus) as flags")
+    held = items.repartition("okey").groupBy("okey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "flags"))).alias("items"))
+    texts = F.expr("transform(items, x -> struct(concat('P', cast(x.l_partkey as string), ' x', cast(cast(x.l_quantity as int) as string), '。') as part, concat('via ', x.flags, '。') as ship))")
+    o = orders.join(held, "okey", "left").select("book", "okey", "yr", texts.alias("items")).selectExpr(
+        "book", "okey", "yr", "coalesce(items, array()) as items",
+        "row_number() over (partition by book, yr order by okey) as num", "row_number() over (partition by book order by yr, okey) as seq",
+    )
+    o = o.withColumn("lines", F.expr("""concat(
+        if(num = 1, array(concat('@@SECTION 一、', cast(yr as string))), array()),
+        array(case when okey % 37 = 0 then concat('@@RECIPE_START 名', cast(okey as string))
+            when okey % 13 = 0 then concat('@@SECTION （', cast(num as string), '）名', cast(okey as string))
+            else concat('@@RECIPE_START （', cast(num as string), '） 名', cast(okey as string)) end, '@@SECTION 〔主料〕'),
+        transform(items, x -> x.part), array('@@SECTION 〔制法〕'),
+        flatten(transform(items, (x, i) -> array(concat('@@STEP ', cast(i + 1 as string)), x.ship))))""")).drop("items")
+    o = o.withColumn("k", F.expr("coalesce(sum(size(lines)) over (partition by book order by yr, okey, seq rows between unbounded preceding and 1 preceding), 0)"))
+    cut = f"""concat(
+        array(struct(0 as page, cast(seq as bigint) as at, concat('名', cast(okey as string), '……', cast(seq % 900 + 1 as string)) as text)),
+        transform(sequence(k div {LINES_A_PAGE}, (k + size(lines) - 1) div {LINES_A_PAGE}), p -> struct(cast(1 + p as int) as page, k as at,
+            nullif(array_join(slice(lines, cast(greatest(p * {LINES_A_PAGE} - k, 0) + 1 as int), cast(least((p + 1) * {LINES_A_PAGE} - k, size(lines)) - greatest(p * {LINES_A_PAGE} - k, 0) as int)), '\n'), '') as text)))"""
+    stretches = o.select("book", F.expr(f"inline({cut})"))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), "\n")
+    return stretches.groupBy("book", "page").agg(text.alias("text"))
 
 
 def over_tables(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:

@@ -122,22 +122,21 @@ def variant_pseudo_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     select book, scope_id, cast(printed as int) as number, base_id as recipe_id, count(*) as n from d group by all having count(*) > 1 and not bool_or(listed)""")
 def variant_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Printed duplicates that no erratum names."""
-    return quality.exempt_duplicates(corpus(spark, sf_dir)["recipes"], errata(spark, sf_dir)).select("book", "scope_id", "number", "recipe_id", "n")
+    return quality.exempt_duplicates(corpus(spark, sf_dir)["heads"], errata(spark, sf_dir)).select("book", "scope_id", "number", "recipe_id", "n")
 
 
 @query(f"with {_WANTED} select book, base_id as recipe_id, case when bool_or(odd and not unmarked) then 'assembly' else 'transcription' end as cause from r group by 1, 2 having count(*) > 1")
 def variant_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated ids, and whether a heading of no kind before a start on one of their pages explains them."""
     c = corpus(spark, sf_dir)
-    return quality.collision_attribution(c["recipes"], c["blocks"], c["lines"])
+    return quality.collision_attribution(c["heads"], c["blocks"], c["lines"])
 
 
 @query(f"""with {_MARKED} select book, cast(2 * seq + 1 as int) as page, okey % 2 = 1 as no_marker, okey % 2 = 0 as continued, false as toc_page from o union all select book, cast(2 * seq as int), false, false, false from o
     union all select book, 0, true, false, count(*) >= 3 from o group by 1""")
 def variant_pages_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each page: bears no mark, goes on from the page before, is a table of contents."""
-    flagged = lines.page_flags(lines.to_lines(variant_pages(spark, sf_dir)), Contract())
-    return flagged.select("book", "page", "no_marker", "continued", "toc_page").distinct()
+    return lines.page_rows(variant_pages(spark, sf_dir), Contract()).where("exists(rows, x -> x <> '')").select("book", "page", "no_marker", "continued", "toc_page").distinct()
 
 
 # Reports over the other tables

@@ -62,11 +62,33 @@ def is_section_line(c: Column, contract: Contract) -> Column:
     return F.coalesce(named, F.lit(False))
 
 
-def type_lines(lines: DataFrame, contract: Contract) -> DataFrame:
-    """Add each line's ``mark``, ``tail``, parsed start and the types that need no state; lines of contents are dropped.
+#: Lines end here; ``_ODD`` are blanks and line ends other than a space and a line feed.
+_ENDS, _ODD = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]", r"(?U)[\s\x1c-\x1f&&[^ \n]]"
+
 
-    ``mark``: toc, start, section, cont, step, footer, other (another mark) or null (unmarked).
+def page_rows(pages: DataFrame, contract: Contract) -> DataFrame:
+    """(book, page, other columns of ``pages`` but text, ``rows``, hinted, toc_page, no_marker, continued): a page's stripped lines as an array, so that no line is moved.
+
+    The places are those of ``to_lines``, blank lines stay as empty strings; the flags are those of ``page_flags``.  Only ``hinted`` pages may hold lines of contents.
     """
+    text, pattern = F.col("text"), contract.toc_line_pattern
+    plain = ~(text.rlike(_ODD) | text.contains(" \n") | text.contains("\n ") | text.startswith(" ") | text.endswith(" "))
+    clean = F.when(plain, text).otherwise(F.array_join(F.transform(F.split("text", _ENDS), lambda x: T.strip(x)), "\n"))
+    local = not any(x in pattern for x in (r"\A", r"\Z", r"\z", r"\G", "(?<", "(?=", "(?!"))  # else a line may match that does not match within its page
+    held = lambda mark: F.col("clean").startswith(mark) | F.col("clean").contains("\n" + mark)
+    rows = pages.withColumn("clean", clean).drop("text").select("*", F.split("clean", "\n").alias("rows"), (F.col("clean").rlike("(?m)" + pattern) if local else F.lit(True)).alias("hinted"), (~held("@@")).alias("no_marker"), held(contract.recipe_cont).alias("continued"))
+    hits, n = F.size(F.filter("rows", lambda x: is_toc_line(x, contract))), F.size(F.filter("rows", lambda x: x != ""))
+    return rows.withColumn("toc_page", F.when(F.col("hinted"), (hits >= 3) & (4 * hits >= n)).otherwise(F.lit(False))).drop("clean")
+
+
+def exploded(rows: DataFrame, contract: Contract) -> DataFrame:
+    """A row a line (``line``, ``st``) of ``page_rows``; lines of contents are dropped."""
+    hit = F.col("hinted") & is_toc_line("st", contract)
+    return rows.select("*", F.posexplode("rows").alias("line", "st")).where((F.col("st") != "") & ~hit)
+
+
+def marked(lines: DataFrame, contract: Contract) -> DataFrame:
+    """Add ``mark``: toc, start, section, cont, step, footer, other (another mark) or null (unmarked), and ``tail``, the text behind it."""
     marks = [("toc", contract.toc), ("start", contract.recipe_start), ("section", contract.section), ("cont", contract.recipe_cont), ("step", contract.step), ("footer", contract.footer)]
     st = F.col("st")
     mark = F.when(~st.startswith("@@"), None)
@@ -74,17 +96,24 @@ def type_lines(lines: DataFrame, contract: Contract) -> DataFrame:
     for name, text in marks:
         mark = mark.when(st.startswith(text), name)
         tail = tail.when(st.startswith(text), T.strip(F.substring(st, len(text) + 1, 1_000_000)))
-    keys = contract.section_keys()
-    base = neighbours(page_flags(lines, contract), contract).where(~F.col("toc_hit")).select("*", mark.otherwise("other").alias("mark"), tail.otherwise(st).alias("tail"))
-    can_start = F.coalesce(F.col("mark").isin("start", "section"), F.lit(True))
-    parsed = base.select(
+    return lines.select("*", mark.otherwise("other").alias("mark"), tail.otherwise(st).alias("tail"))
+
+
+def named_parts(lines: DataFrame, contract: Contract) -> DataFrame:
+    """Add what marked lines hold: a section before text, a group and a section's name; each pattern is tried only where it can match."""
+    keys, unmarked = contract.section_keys(), F.col("mark").isNull()
+    return lines.select(
         "*",
-        F.when(can_start, T.parse_start("tail", contract.number_style, contract.recipe_number_pattern)).alias("start"),
-        F.when(F.col("mark").isNull(), T.inline_section("st", keys)).alias("inline"),
-        F.when(F.col("mark").isNull(), T.bare_group("st", contract.group_keys())).alias("grp"),
-        F.when(F.col("mark").isNull(), T.bare_step("st", contract.step_number_patterns)).alias("bare_step"),
-        F.when(F.col("mark").eqNullSafe("section"), T.lookup(T.norm_key("tail"), keys)).when(F.col("mark").isNull() & (F.length("st") <= 6), T.lookup(T.norm_key("st"), keys)).alias("named"),
+        F.when(unmarked & F.substring("st", 1, 1).isin("〔", "[", "【"), T.inline_section("st", keys)).alias("inline"),
+        F.when(unmarked & (F.contains("st", F.lit("：")) | F.contains("st", F.lit(":"))), T.bare_group("st", contract.group_keys())).alias("grp"),
+        F.when(F.col("mark").eqNullSafe("section"), T.lookup(T.norm_key("tail"), keys)).when(unmarked & (F.length("st") <= 6), T.lookup(T.norm_key("st"), keys)).alias("named"),
     )
+
+
+def start_flags(lines: DataFrame, contract: Contract) -> DataFrame:
+    """Add the parsed ``start`` of marked lines that may have one, and whether they are or may be chapters, sub-chapters and openings of records."""
+    can_start = F.col("mark").eqNullSafe("start") | ((F.col("mark").isNull() | (F.col("mark") == "section")) & T.may_number("tail"))
+    parsed = lines.withColumn("start", F.when(can_start, T.parse_start("tail", contract.number_style, contract.recipe_number_pattern)))
     section = F.col("mark").eqNullSafe("section")
     ok = F.coalesce(F.col("start.reason") == "ok", F.lit(False))
     flags = parsed.withColumn("chapter_line", section & T.norm("tail").rlike(contract.chapter_pattern))
@@ -98,6 +127,12 @@ def type_lines(lines: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
+def type_lines(lines: DataFrame, contract: Contract) -> DataFrame:
+    """Add each line's ``mark``, ``tail``, parsed start and the types that need no state; lines of contents are dropped."""
+    base = marked(neighbours(page_flags(lines, contract), contract).where(~F.col("toc_hit")), contract)
+    return start_flags(named_parts(base, contract), contract)
+
+
 def rejected_starts(typed: DataFrame) -> DataFrame:
     """Start lines of body pages that give no record, with the reason; lines counted from 1."""
     return typed.where("rejected").select("book", "page", (F.col("line") + 1).alias("line"), F.col("tail").alias("rest"), F.col("start.reason").alias("reason"))
