@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafpress.jobs.queries import query, shared, table
-from leafpress.jobs.transcript import as_pages, over_tables
 from leafpress.operators import assemble as A
 from leafpress.operators import audit, lines, quality, vectors
 from leafpress.operators.contract import Contract
@@ -68,8 +67,21 @@ _ERRATA = """
 
 
 def variant_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(book, page, text) of all orders."""
-    return as_pages(over_tables(spark, sf_dir, _PAGES, "orders"))
+    """(book, page, text) of all orders: the lines of ``_PAGES``, but made page by page from orders, not moved one by one."""
+    orders = table(spark, sf_dir, "orders").selectExpr("concat('V', cast(o_custkey as string)) as book", "o_orderkey as okey", "cast(o_orderkey as string) as k", "year(o_orderdate) as yr")
+    o = orders.selectExpr("*", "row_number() over (partition by book, yr order by okey) as num", "row_number() over (partition by book order by yr, okey) as seq")
+    o = o.selectExpr("*", "seq = 1 and okey % 3 = 0 as unmarked", "okey % 5 = 0 and not (seq = 1 and okey % 3 = 0) as sub")
+    o = o.selectExpr("*", "okey % 9 = 0 and not sub as odd", "case when okey % 7 = 0 and num > 1 and not sub then num - 1 else num end as printed")
+    first = """array_join(array(
+        if(num = 1, concat('@@SECTION 一、', cast(yr as string)), null), if(sub, concat('@@SECTION 甲', cast(okey % 10000 as string), '类'), null), if(odd, concat('@@SECTION 杂', k), null),
+        concat(case when unmarked then '' else '@@RECIPE_START ' end, '（', cast(printed as string), '）名', k), concat('〔调料〕盐', k), concat('主料：米', k),
+        case when okey % 8 = 1 then '制 法' else '@@SECTION 〔制法〕' end, concat('1. 煮', k), if(okey % 6 = 0, '@@STEP 3', null), if(okey % 6 = 0, '12', null),
+        concat('@@STEP 炒', k, case when okey % 4 = 1 then '。' else '' end)), '\n')"""
+    second = "array_join(array(if(okey % 2 = 0, '@@RECIPE_CONT', null), concat('续', k, '。'), if(okey % 2 = 0, '@@SECTION 〔注释〕', null), if(okey % 2 = 0, concat('①词', k, '：义'), null)), '\n')"
+    pages = f"array(struct(0 as page, seq as at, concat('名', k, '……', cast(seq % 900 + 1 as string)) as text), struct(cast(2 * seq as int) as page, seq as at, {first} as text), struct(cast(2 * seq + 1 as int) as page, seq as at, {second} as text))"
+    stretches = o.select("book", F.expr(f"inline({pages})"))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), "\n")
+    return stretches.groupBy("book", "page").agg(text.alias("text"))
 
 
 def errata(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from leafpress.jobs import transcript
+from leafpress.jobs import transcript, variants
 from leafpress.operators import assemble as A
 from leafpress.operators import quality
 from leafpress.storage import materialize, shared_dir
@@ -61,3 +61,12 @@ def test_pages_are_those_of_the_sql(spark):
     ours = transcript.transcript_pages(spark, SF)
     theirs = transcript.as_pages(transcript.over_tables(spark, SF, transcript.SQL, "orders", "lineitem"))
     assert ours.count() == theirs.count() and not ours.exceptAll(theirs).count()
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_variant_pages_are_those_of_the_sql(spark):
+    """And orders meet by book only: no line is moved."""
+    ours = variants.variant_pages(spark, SF)
+    theirs = transcript.as_pages(transcript.over_tables(spark, SF, variants._PAGES, "orders"))
+    assert ours.count() == theirs.count() and not ours.exceptAll(theirs).count()
+    assert "Union" not in ours._jdf.queryExecution().optimizedPlan().toString()
